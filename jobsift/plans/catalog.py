@@ -59,8 +59,8 @@ _TITLE_WORDS = "regexp_matches(title, '\\b(" + "|".join(rules.TITLE_EXCLUDED_WOR
 _TITLE_OK = f"NOT ({_TITLE_SUBSTR} OR {_TITLE_WORDS})"
 _LOCATION_OK = " OR ".join(f"location ILIKE '%{p}%'" for p in rules.LOCATION_INCLUDED_SUBSTRINGS)
 _JUNIOR = " OR ".join(f"title ILIKE '%{p}%'" for p in rules.JUNIOR_TITLE_SUBSTRINGS)
-_WORK_MODE_SQL = ("CASE WHEN location ILIKE '%remote%' THEN 'remote' WHEN location ILIKE '%hybrid%' THEN 'hybrid' "
-                  "WHEN location IS NOT NULL THEN 'on-site' END")
+_WORK_MODE_SQL = ("CASE WHEN l.location ILIKE '%remote%' THEN 'remote' WHEN l.location ILIKE '%hybrid%' "
+                  "THEN 'hybrid' WHEN l.location IS NOT NULL THEN 'on-site' END")
 _MODE_OK_SQL = ("CASE WHEN {sl} = 'Remote' THEN {m} = 'remote' WHEN {src} = 'Indeed' THEN TRUE "
                 "ELSE {m} IN ('on-site', 'hybrid') END")
 
@@ -347,7 +347,7 @@ SELECT l.listing_id, l.source, CAST(t.idx AS BIGINT) AS term_idx, t.keyword, t.l
          AS query_location
 FROM listings l JOIN terms t ON l.source = t.source
 WHERE list_bool_and(list_transform(string_split_regex(lower(trim(t.keyword)), '\\s+'),
-                                   tok -> position(tok IN lower(l.title)) > 0))
+                                   lambda tok: position(tok IN lower(l.title)) > 0))
   AND {_MODE_OK_SQL.format(sl='t.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings")
           .replace("WITH ", "WITH " + _terms_cte() + ",\n", 1))
 def q_search_term_match(spark, sf_dir):
