@@ -513,3 +513,24 @@ FROM result_pages""", "result_pages"))
 def q_next_page(spark, sf_dir):
     p = fx.result_pages(spark, sf_dir)
     return p.select("source", "page_id", X.next_page(F.col("source"), F.col("html")).alias("next_page"))
+
+
+def _decoded(x: str) -> str:
+    """DuckDB: decode the entities the pages use (with or without the closing ';', as
+    HTML5 does for these legacy names), collapse whitespace, '' -> NULL."""
+    for ent, ch in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("nbsp", " "),
+                    ("amp", "&")):
+        x = f"regexp_replace({x}, '&{ent};?', '{ch}', 'g')"
+    x = f"replace({x}, '&#39;', chr(39))"
+    return f"nullif(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
+
+
+@register("extract_page_fields", f"""
+SELECT CAST(page_id AS BIGINT) AS page_id,
+       {_decoded("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")} AS title,
+       {_decoded("regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1, 's')")} AS h1,
+       CAST(len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a\\s[^>]*href=')) AS BIGINT)
+         AS n_nav_links
+FROM pages""")
+def q_extract_page_fields(spark, sf_dir):
+    return X.extract_page_fields(fx.table(spark, sf_dir, "pages"))
