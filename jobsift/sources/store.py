@@ -40,3 +40,20 @@ def append_listings(df: DataFrame, store: str, batch_id) -> None:
     out = conform_listing(df).withColumn("load_batch", F.lit(str(batch_id)))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("load_batch", "source").parquet(store))
+
+
+def read_known_keys_jdbc(spark: SparkSession, url: str, table: str, properties: dict, sources=None) -> DataFrame:
+    """S3 over JDBC: the two key columns only, one read partition per site.
+
+    Each predicate becomes its own query (``WHERE source = '<site>'``), so the
+    sites are read in parallel and the projection reaches the database.
+    """
+    from ..schema import SOURCES
+
+    preds = [f"source = '{s}'" for s in (sources or SOURCES)]
+    return spark.read.jdbc(url=url, table=table, predicates=preds, properties=properties).select(*KEY)
+
+
+def append_listings_jdbc(df: DataFrame, url: str, table: str, properties: dict) -> None:
+    """S4 over JDBC: append the 8 conformed columns (one insert stream per partition)."""
+    conform_listing(df).write.jdbc(url=url, table=table, mode="append", properties=properties)
