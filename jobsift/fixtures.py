@@ -186,7 +186,12 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.regexp_replace(F.col("link"), ".*/", "").cast("bigint")
     cards = b.select("source", F.floor(seq / PAGE_SPAN).cast("bigint").alias("page_id"), seq.alias("seq"),
                      card_html(F.col("source")).alias("card_html"))
-    pages = cards.groupBy("source", "page_id").agg(
+    # One exchange on the page key, sized by the session's shuffle-partition
+    # count (a cluster sets it to its scale); the group-by reuses it. An explicit
+    # count is not coalesced by AQE, so the CPU-bound parsing that follows keeps
+    # its parallelism even when the compressed shuffle is small.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pages = cards.repartition(n_parts, "source", "page_id").groupBy("source", "page_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "card_html"))),
                                  lambda x: x["card_html"]), "").alias("cards_html"))
     last = pages.groupBy("source").agg(F.max("page_id").alias("last_page_id"))

@@ -21,7 +21,7 @@ from ..operators.quality import (conform_listing, file_quarantine, ingest_outcom
                                  violates_not_null)
 from ..schema import KEY, LISTING_COLUMNS
 from ..session import cut_lineage
-from ..sources.listing_csv import discover_listing_files, read_listings_csv, top_level_csv
+from ..sources.listing_csv import list_listing_files, read_listings_csv, top_level_csv
 from ..sources.store import append_listings, read_known_keys
 
 
@@ -30,13 +30,17 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     """``(to_append, outcomes)`` for a batch of listing-file rows.
 
     ``rows``: the 8 text columns + ``file_name`` (+ ``file_time``).
-    ``known``: the stored keys. The new rows feed both the outcome and the
-    append, so they are checkpointed once to the shared folder (lineage cut,
-    and a lost executor does not send the batch back to the files and store).
+    ``known``: the stored keys. With ``checkpoint`` the conformed rows are
+    materialised once in the shared folder (the listing files are parsed once,
+    not once per use), and so are the new rows, which feed both the outcome
+    and the append (the store is probed once). Both cut the lineage: a lost
+    executor does not send the batch back to the files and the store.
     """
     if "file_time" not in rows.columns:
         rows = rows.withColumn("file_time", F.lit(None).cast("timestamp"))
     conformed = conform_listing(rows, keep=["file_name", "file_time"])
+    if checkpoint:
+        conformed = cut_lineage(conformed)
     new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
     if checkpoint:
         new = cut_lineage(new)
@@ -72,6 +76,6 @@ def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outco
 
 def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes_path: str | None = None) -> None:
     """Bulk load of every listing file in ``folder`` (header-only files reported as EMPTY)."""
-    files = discover_listing_files(spark, folder).select("file_name")
+    files = list_listing_files(spark, folder).select("file_name")
     rows = read_listings_csv(spark, top_level_csv(folder))
     load_batch(spark, rows, store, batch_id, outcomes_path, files)

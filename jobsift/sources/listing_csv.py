@@ -54,6 +54,17 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True) -> Data
     )
 
 
+def list_listing_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file_name, file_time, n_bytes)`` of the listing files in ``folder``, from
+    the file listing alone (``binaryFile`` with path, time and length selected:
+    no file content is read)."""
+    return (spark.read.format("binaryFile").load(top_level_csv(folder))
+            .select(file_name_of_path(F.col("path")).alias("file_name"),
+                    F.col("modificationTime").alias("mtime"), F.col("length"))
+            .groupBy("file_name")
+            .agg(F.min("mtime").alias("file_time"), F.sum("length").alias("n_bytes")))
+
+
 def discover_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, file_time, n_bytes, n_rows)`` for every listing file in ``folder``.
 
@@ -62,11 +73,7 @@ def discover_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     kept with ``n_rows = 0``. Row counts are a grouped count over the CSV read.
     """
     glob = top_level_csv(folder)
-    files = (spark.read.format("binaryFile").load(glob)
-             .select(file_name_of_path(F.col("path")).alias("file_name"),
-                     F.col("modificationTime").alias("mtime"), F.col("length"))
-             .groupBy("file_name")
-             .agg(F.min("mtime").alias("file_time"), F.sum("length").alias("n_bytes")))
+    files = list_listing_files(spark, folder)
     rows = (read_listings_csv(spark, glob).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")))
     return (files.join(rows, "file_name", "left")
             .select("file_name", "file_time", "n_bytes", F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows")))
