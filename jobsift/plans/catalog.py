@@ -243,7 +243,7 @@ def _delivery_batch(spark, sf_dir):
 SELECT {_L8}, file_name FROM new_rows WHERE file_name NOT IN (SELECT file_name FROM bad_files)"""))
 def q_file_quarantine(spark, sf_dir):
     rows, known = _delivery_batch(spark, sf_dir)
-    to_append, _ = L.plan_batch(rows, known, checkpoint=False)
+    to_append, _ = L.plan_batch(rows, known)
     return to_append
 
 
@@ -285,7 +285,7 @@ LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM conformed GROUP BY file_nam
 LEFT JOIN stats s ON s.file_name = c.file_name"""))
 def q_ingest_outcome(spark, sf_dir):
     rows, known = _delivery_batch(spark, sf_dir)
-    _, outcomes = L.plan_batch(rows, known, files=run_calendar(spark, sf_dir), checkpoint=False)
+    _, outcomes = L.plan_batch(rows, known, files=run_calendar(spark, sf_dir))
     return outcomes
 
 

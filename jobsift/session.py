@@ -33,6 +33,19 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
     return spark
 
 
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict:
+    """Settings sized to the input: about ``partition_bytes`` per scan split and
+    per shuffle partition (AQE coalesces small ones and splits skewed ones), and
+    at least two tasks per core."""
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 

@@ -75,3 +75,14 @@ def test_newest_first_rank_is_dense(spark):
     assert sorted(r["rank"] for r in out) == list(range(1, 51))
     by_rank = sorted(out, key=lambda r: r["rank"])
     assert [r.time_when_scraped for r in by_rank] == sorted((r.time_when_scraped for r in out), reverse=True)
+
+
+def test_blocklist_is_pushed_to_the_parquet_scan(spark, tmp_dir):
+    from jobsift import fixtures
+    from jobsift.sources import store as st
+
+    st.append_listings(fixtures.listings(spark, "/root/testdata/sf0.001"), tmp_dir + "/store", "0")
+    df = S.screen_listings(st.read_listings(spark, tmp_dir + "/store"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Not(In(company" in plan
+    assert df.count() == S.screen_listings(fixtures.listings(spark, "/root/testdata/sf0.001")).count()
