@@ -15,9 +15,14 @@ COUNT_COL = "number_of_jobs_posted"
 
 
 def jobs_per_day(df: DataFrame, ts_col: str = "time_when_scraped", sort: bool = True) -> DataFrame:
-    """A1: date, blank-padded day name, count; by date."""
+    """A1: day, blank-padded day name, count; by day.
+
+    ``date_only`` is the day's start as TIMESTAMP_NTZ (midnight), the type the
+    tables use for dates; it is free of any session time zone.
+    """
     ts = F.col(ts_col)
-    out = df.groupBy(F.to_date(ts).alias("date_only"), padded_day_name(ts).alias("day_of_week")) \
+    day = F.to_date(ts).cast("timestamp_ntz")
+    out = df.groupBy(day.alias("date_only"), padded_day_name(ts).alias("day_of_week")) \
         .agg(F.count(F.lit(1)).alias(COUNT_COL))
     return out.orderBy("date_only") if sort else out
 

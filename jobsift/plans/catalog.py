@@ -139,7 +139,7 @@ def q_newest_first(spark, sf_dir):
 # --- A1-A4: trends -------------------------------------------------------------
 
 @register("jobs_per_day", with_views("""
-SELECT CAST(time_when_scraped AS DATE) AS date_only, rpad(strftime(time_when_scraped, '%A'), 9, ' ') AS day_of_week,
+SELECT CAST(CAST(time_when_scraped AS DATE) AS TIMESTAMP) AS date_only, rpad(strftime(time_when_scraped, '%A'), 9, ' ') AS day_of_week,
        count(*) AS number_of_jobs_posted
 FROM listings GROUP BY 1, 2""", "listings"))
 def q_jobs_per_day(spark, sf_dir):
@@ -223,7 +223,8 @@ per_key AS (
   SELECT file_name, listing_id, source, count(*) AS n, count(*) FILTER (WHERE null_bad) AS n_null_bad
   FROM new_rows GROUP BY file_name, listing_id, source),
 stats AS (
-  SELECT file_name, sum(n) AS n_new, sum(CASE WHEN n > 1 THEN n ELSE n_null_bad END) AS n_bad
+  SELECT file_name, CAST(sum(n) AS BIGINT) AS n_new,
+         CAST(sum(CASE WHEN n > 1 THEN n ELSE n_null_bad END) AS BIGINT) AS n_bad
   FROM per_key GROUP BY file_name),
 bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)"""
 

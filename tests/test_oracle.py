@@ -35,6 +35,10 @@ def duck():
     return con
 
 
+_DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP",
+              "date": "DATE", "double": "DOUBLE", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
+
+
 def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
@@ -47,6 +51,9 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    stypes = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(ocols, [d[1] for d in duck.sql(E.oracle_sql()[name]).description])} \
+        or stypes == dict(zip(duck.sql(E.oracle_sql()[name]).columns, map(str, duck.sql(E.oracle_sql()[name]).types)))
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 
