@@ -297,8 +297,9 @@ _VIEW_DEPS = {
 }
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with the CTEs for the named views (and what they need)."""
+def with_views(sql: str, *names: str, extra=()) -> str:
+    """Prefix ``sql`` with the CTEs for the named views (and what they need),
+    followed by the ``extra`` CTEs (``"name AS (...)"`` strings) in order."""
     order: list[str] = []
 
     def visit(n):
@@ -309,5 +310,5 @@ def with_views(sql: str, *names: str) -> str:
 
     for n in names:
         visit(n)
-    ctes = ",\n".join(f"{n} AS ({_VIEW_SQL[n].strip()})" for n in order)
-    return f"WITH {ctes}\n{sql.strip()}"
+    ctes = [f"{n} AS ({_VIEW_SQL[n].strip()})" for n in order] + [e.strip() for e in extra]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()

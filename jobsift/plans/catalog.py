@@ -119,8 +119,7 @@ def q_recency_filter(spark, sf_dir):
 @register("work_mode_filter", with_views(f"""
 SELECT l.listing_id, l.source, s.location AS search_location, {_WORK_MODE_SQL} AS work_mode
 FROM listings l JOIN (SELECT DISTINCT source, location FROM terms) s ON l.source = s.source
-WHERE {_MODE_OK_SQL.format(sl='s.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings")
-          .replace("WITH ", "WITH " + _terms_cte() + ",\n", 1))
+WHERE {_MODE_OK_SQL.format(sl='s.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings", extra=[_terms_cte()]))
 def q_work_mode_filter(spark, sf_dir):
     searches = load_search_terms(spark).select("source", F.col("location").alias("search_location")).distinct()
     return (S.work_mode_filter(_listings(spark, sf_dir).join(F.broadcast(searches), "source"),
@@ -197,8 +196,7 @@ _CONFORMED_CTE = ("conformed AS (SELECT listing_id, source, title, company, link
                   "FROM delivery)")
 
 
-@register("not_null_check", with_views(_not_null_sql(), "delivery").replace(
-    "\nSELECT listing_id, source, 'listing_id'", ",\n" + _CONFORMED_CTE + "\nSELECT listing_id, source, 'listing_id'", 1))
+@register("not_null_check", with_views(_not_null_sql(), "delivery", extra=[_CONFORMED_CTE]))
 def q_not_null_check(spark, sf_dir):
     return Q.not_null_check(Q.conform_listing(fx.delivery(spark, sf_dir)))
 
@@ -210,28 +208,27 @@ def q_primary_key_check(spark, sf_dir):
     return Q.primary_key_check(fx.card_sequence(spark, sf_dir))
 
 
-# The new rows of the delivery: P2, then not stored (J1), with their NOT NULL flag.
-_NEW_ROWS_SQL = f"""
-{_CONFORMED_CTE},
+# The new rows of the delivery: P2, then not stored (J1), with their NOT NULL
+# flag; per-file counts; the files with a bad new row.
+_NEW_ROWS_CTES = [_CONFORMED_CTE, """
 new_rows AS (
   SELECT c.*, (listing_id IS NULL OR link IS NULL OR title IS NULL OR company IS NULL
                OR time_when_scraped IS NULL OR source IS NULL) AS null_bad
   FROM conformed c
   WHERE CASE WHEN source = 'LinkedIn' THEN NOT regexp_matches(listing_id, '[^0-9]') ELSE TRUE END
-    AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.listing_id = c.listing_id AND s.source = c.source)),
+    AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.listing_id = c.listing_id AND s.source = c.source))""", """
 per_key AS (
   SELECT file_name, listing_id, source, count(*) AS n, count(*) FILTER (WHERE null_bad) AS n_null_bad
-  FROM new_rows GROUP BY file_name, listing_id, source),
+  FROM new_rows GROUP BY file_name, listing_id, source)""", """
 stats AS (
   SELECT file_name, CAST(sum(n) AS BIGINT) AS n_new,
          CAST(sum(CASE WHEN n > 1 THEN n ELSE n_null_bad END) AS BIGINT) AS n_bad
-  FROM per_key GROUP BY file_name),
-bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)"""
+  FROM per_key GROUP BY file_name)""", """
+bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)"""]
 
 
-def _with_new_rows(sql: str) -> str:
-    base = with_views("SELECT 1", "delivery", "stored")
-    return base[: -len("SELECT 1")].rstrip() + ",\n" + _NEW_ROWS_SQL.strip() + "\n" + sql.strip()
+def _with_new_rows(sql: str, *more) -> str:
+    return with_views(sql, "delivery", "stored", extra=[*_NEW_ROWS_CTES, *more])
 
 
 def _delivery_batch(spark, sf_dir):
@@ -269,21 +266,13 @@ def run_calendar(spark, sf_dir) -> DataFrame:
     return months.select(result_set_file_name(F.col("source"), F.col("m").cast("timestamp_ntz")).alias("file_name"))
 
 
-def _with_calendar(sql: str) -> str:
-    full = _with_new_rows(sql)
-    i = full.index("SELECT", full.index("bad_files AS"))
-    # place the calendar CTE after the others
-    head, tail = full[: full.rindex(")", 0, i) + 1], full[full.rindex(")", 0, i) + 1:]
-    return head + ",\n" + _CALENDAR_SQL.strip() + tail
-
-
-@register("ingest_outcome", _with_calendar("""
+@register("ingest_outcome", _with_new_rows("""
 SELECT c.file_name, coalesce(r.n_rows, 0) AS n_rows, coalesce(s.n_new, 0) AS n_new, coalesce(s.n_bad, 0) AS n_bad,
        CASE WHEN coalesce(r.n_rows, 0) = 0 THEN 'EMPTY' WHEN coalesce(s.n_new, 0) = 0 THEN 'NO_NEW'
             WHEN s.n_bad > 0 THEN 'ERROR' ELSE 'LOADED' END AS outcome
 FROM calendar c
 LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM conformed GROUP BY file_name) r ON r.file_name = c.file_name
-LEFT JOIN stats s ON s.file_name = c.file_name"""))
+LEFT JOIN stats s ON s.file_name = c.file_name""", _CALENDAR_SQL))
 def q_ingest_outcome(spark, sf_dir):
     rows, known = _delivery_batch(spark, sf_dir)
     _, outcomes = L.plan_batch(rows, known, files=run_calendar(spark, sf_dir))
@@ -349,8 +338,7 @@ SELECT l.listing_id, l.source, CAST(t.idx AS BIGINT) AS term_idx, t.keyword, t.l
 FROM listings l JOIN terms t ON l.source = t.source
 WHERE list_bool_and(list_transform(string_split_regex(lower(trim(t.keyword)), '\\s+'),
                                    lambda tok: position(tok IN lower(l.title)) > 0))
-  AND {_MODE_OK_SQL.format(sl='t.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings")
-          .replace("WITH ", "WITH " + _terms_cte() + ",\n", 1))
+  AND {_MODE_OK_SQL.format(sl='t.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings", extra=[_terms_cte()]))
 def q_search_term_match(spark, sf_dir):
     return J.search_term_match(_listings(spark, sf_dir), load_search_terms(spark))
 
@@ -387,8 +375,7 @@ def q_write_result_set_csv(spark, sf_dir):
 @register("discover_listing_files", with_views(f"""
 SELECT c.file_name, coalesce(d.n_rows, 0) AS n_rows
 FROM calendar c LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM delivery GROUP BY file_name) d
-  ON d.file_name = c.file_name""", "delivery", "listings").replace(
-    "\nSELECT c.file_name", ",\n" + _CALENDAR_SQL.strip() + "\nSELECT c.file_name", 1))
+  ON d.file_name = c.file_name""", "delivery", "listings", extra=[_CALENDAR_SQL]))
 def q_discover_listing_files(spark, sf_dir):
     folder = scratch_path(spark, "drop")
     d = fx.delivery(spark, sf_dir)

@@ -52,8 +52,8 @@ def test_query_matches_oracle(spark, duck, name):
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     stypes = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
-    assert stypes == {c: str(t) for c, t in zip(ocols, [d[1] for d in duck.sql(E.oracle_sql()[name]).description])} \
-        or stypes == dict(zip(duck.sql(E.oracle_sql()[name]).columns, map(str, duck.sql(E.oracle_sql()[name]).types)))
+    rel = duck.sql(E.oracle_sql()[name])
+    assert stypes == dict(zip(rel.columns, map(str, rel.types)))
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 
