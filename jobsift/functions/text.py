@@ -95,6 +95,20 @@ def result_set_file_name(source, ts) -> Column:
     return F.concat(_col(source), F.lit("_"), F.date_format(_col(ts), "yyyyMMdd_HHmm"), F.lit(".csv"))
 
 
+def file_name_collisions(result_sets, set_cols=("term_idx",)):
+    """File names that more than one result set maps to (minute grain: a later
+    set of the same site and minute overwrites the earlier file).
+
+    ``result_sets`` has ``file_name`` and the columns naming a result set.
+    """
+    from pyspark.sql import functions as F
+
+    ident = F.struct(*[F.col(c) for c in set_cols])
+    return (result_sets.groupBy("file_name")
+            .agg(F.count_distinct(ident).alias("n_result_sets"))
+            .filter(F.col("n_result_sets") > 1))
+
+
 FILE_NAME_PATTERN = r"^(.*)_(\d{8}_\d{4})\.csv$"
 
 

@@ -110,6 +110,26 @@ def _cards_fn(extractor, source_tag):
     return run
 
 
+def _all_sites_fn(batches):
+    for pdf in batches:
+        out = []
+        for source, page_id, url, html in zip(pdf["source"], pdf["page_id"], pdf["url"], pdf["html"]):
+            extractor = SITE_EXTRACTORS.get(source)
+            if extractor is None:
+                continue
+            doc = H.parse(html)
+            for i, (lid, title, company, link, location, pay) in enumerate(extractor(doc, url)):
+                out.append((page_id, i, lid, source, title, company, link, location, pay))
+        yield pd.DataFrame(out, columns=CARD_SCHEMA.fieldNames())
+
+
+def extract_listing_cards(pages: DataFrame) -> DataFrame:
+    """X1-X4 in one pass: pages of every site ``(source, page_id, url, html)``,
+    each parsed with its site's rules (chosen per row by ``source``)."""
+    return pages.select("source", F.col("page_id").cast("bigint"), "url", "html").mapInPandas(
+        _all_sites_fn, CARD_SCHEMA)
+
+
 def extract_cards(pages: DataFrame, site: str, source_tag: str | None = None) -> DataFrame:
     """Cards of ``site``'s result pages ``(page_id, url, html)`` as listing rows.
 

@@ -12,14 +12,15 @@ from .joins import bounded_broadcast
 TERM_BROADCAST_LIMIT = 100_000
 
 
-def search_term_match(listings: DataFrame, terms: DataFrame) -> DataFrame:
+def search_term_match(listings: DataFrame, terms: DataFrame, keep=()) -> DataFrame:
     """``(listing_id, source, term_idx, keyword, search_location, query_location)``.
 
     A listing answers a term of its own site when every keyword token occurs
     in the title (case-insensitive) and its work mode is one that site's
     search returns for the term's location. The terms are broadcast (size
     checked), so listings are never shuffled: an equi join on the site with a
-    higher-order ``forall`` condition, evaluated JVM-side.
+    higher-order ``forall`` condition, evaluated JVM-side. ``keep`` names
+    listing columns to carry along.
     """
     t = terms.select(
         F.col("source").alias("t_source"),
@@ -37,4 +38,4 @@ def search_term_match(listings: DataFrame, terms: DataFrame) -> DataFrame:
         & work_mode_allowed(F.col("source"), F.col("search_location"), work_mode(F.col("location")))
     )
     return listings.join(t, cond).select("listing_id", "source", "term_idx", "keyword", "search_location",
-                                         "query_location")
+                                         "query_location", *keep)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..fixtures import with_views
 from ..functions import rules
-from ..functions.text import (compensation_gate, file_name_source, file_name_time, listing_link,
-                              result_set_file_name, work_mode)
+from ..functions.text import (compensation_gate, file_name_collisions, file_name_source, file_name_time,
+                              listing_link, result_set_file_name)
 from ..operators import cards as X
 from ..operators import dedupe as D
 from ..operators import quality as Q
@@ -403,6 +403,25 @@ def q_result_set_file_name(spark, sf_dir):
                           file_name_time(F.col("file_name")).alias("run_time"), "n_listings")
 
 
+@register("result_set_collisions", with_views(f"""
+SELECT file_name, count(DISTINCT term_idx) AS n_result_sets FROM (
+  SELECT l.source || '_' || strftime(date_trunc('month', l.time_when_scraped), '%Y%m%d_%H%M') || '.csv' AS file_name,
+         t.idx AS term_idx
+  FROM listings l JOIN terms t ON l.source = t.source
+  WHERE list_bool_and(list_transform(string_split_regex(lower(trim(t.keyword)), '\\s+'),
+                                     lambda tok: position(tok IN lower(l.title)) > 0))
+    AND {_MODE_OK_SQL.format(sl='t.location', src='l.source', m=_WORK_MODE_SQL)})
+GROUP BY file_name HAVING count(DISTINCT term_idx) > 1""", "listings", extra=[_terms_cte()]))
+def q_result_set_collisions(spark, sf_dir):
+    """Result sets are (site, search term, run); a run's sets of one site share a minute, so they
+    share a file name and all but the last are overwritten."""
+    lst = _listings(spark, sf_dir)
+    matched = J.search_term_match(lst, load_search_terms(spark), keep=["time_when_scraped"])
+    sets = matched.select(result_set_file_name(F.col("source"), fx.run_time(F.col("time_when_scraped")))
+                          .alias("file_name"), "term_idx")
+    return file_name_collisions(sets)
+
+
 @register("read_known_keys", with_views("SELECT listing_id, source FROM stored", "stored"))
 def q_read_known_keys(spark, sf_dir):
     store = scratch_path(spark, "store")
@@ -478,6 +497,16 @@ def q_extract_dice_cards(spark, sf_dir):
     return X.extract_dice_cards(_pages(spark, sf_dir, "Dice")).select(*X.CARD_COLUMNS)
 
 
+@register("extract_listing_cards", with_views(f"""
+SELECT listing_id, source, title, company,
+       CASE source WHEN 'LinkedIn' THEN 'https://www.linkedin.com/jobs/view/' || listing_id
+                   WHEN 'Indeed' THEN 'https://www.indeed.com/viewjob?jk=' || listing_id ELSE link END AS link,
+       location, CASE WHEN source IN ('BuiltIn', 'Dice') THEN {_GATED} ELSE compensation END AS compensation
+FROM listings WHERE source <> 'LinkedIn' OR compensation IS NOT NULL""", "listings"))
+def q_extract_listing_cards(spark, sf_dir):
+    return X.extract_listing_cards(fx.result_pages(spark, sf_dir)).select(*X.CARD_COLUMNS)
+
+
 @register("listing_link", with_views("""
 SELECT listing_id, source,
        CASE source WHEN 'LinkedIn' THEN 'https://www.linkedin.com/jobs/view/' || listing_id

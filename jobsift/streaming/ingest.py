@@ -17,10 +17,17 @@ from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA
 from ..sources.listing_csv import CSV_READ_OPTIONS, top_level_csv
 
 
-def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: int | None = None):
+def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: int | None = None,
+                        archive_dir: str | None = None):
+    """The drop folder's listing files as a stream. With ``archive_dir`` the file
+    source moves files it has finished with there (``cleanSource=archive``), the
+    counterpart of moving them to ``Processed``; the outcome table stays the
+    record of what happened to each file."""
     reader = spark.readStream.schema(LISTING_TEXT_SCHEMA).options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.csv(top_level_csv(drop)).select(
         *LISTING_COLUMNS,
         file_name_of_path(F.col("_metadata.file_path")).alias("file_name"),
@@ -30,14 +37,14 @@ def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: i
 
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
-                       processing_time: str = "4 hours"):
+                       processing_time: str = "4 hours", archive_dir: str | None = None):
     """Run the ingest; with ``available_now`` it processes what is there and stops.
 
     ``max_files_per_trigger=1`` gives the one-file-at-a-time order of the
     original loader (a file sees the rows of every earlier file as stored);
     leaving it unset loads all waiting files in one set-based batch.
     """
-    stream = listing_file_stream(spark, drop, max_files_per_trigger)
+    stream = listing_file_stream(spark, drop, max_files_per_trigger, archive_dir)
 
     def run_batch(batch_df, batch_id):
         load_batch(batch_df.sparkSession, batch_df, store, batch_id, outcomes_path)

@@ -77,3 +77,21 @@ def test_search_term_match_tokens(spark):
     assert ("1", "Junior Developer", "Columbus, OH") in got
     assert ("2", "Junior Developer", "Remote") in got and ("2", "Junior Developer", "Columbus, OH") in got
     assert ("3", "QA", "Columbus, OH, USA") in got and ("3", "QA", "Remote") not in got
+
+
+def test_all_sites_in_one_pass(spark):
+    pages = spark.createDataFrame([("LinkedIn", 1, "https://e.com/a", LINKEDIN), ("BuiltIn", 2, "https://e.com/b", BUILTIN),
+                                   ("Indeed", 3, "https://e.com/c", INDEED), ("Other", 4, "https://e.com/d", INDEED)],
+                                  "source string, page_id long, url string, html string")
+    got = sorted((r.source, r.listing_id) for r in X.extract_listing_cards(pages).collect())
+    assert got == [("BuiltIn", "7"), ("Indeed", "5"), ("LinkedIn", "11")]
+
+
+def test_file_name_collisions(spark):
+    from jobsift.functions.text import file_name_collisions, result_set_file_name
+    sets = spark.createDataFrame([("LinkedIn", "2024-01-01 08:00:10", 0), ("LinkedIn", "2024-01-01 08:00:50", 1),
+                                  ("LinkedIn", "2024-01-01 08:01:00", 2), ("Indeed", "2024-01-01 08:00:10", 0)],
+                                 "source string, ts string, term_idx int")
+    named = sets.select(result_set_file_name(F.col("source"), F.col("ts").cast("timestamp_ntz")).alias("file_name"),
+                        "term_idx")
+    assert [tuple(r) for r in file_name_collisions(named).collect()] == [("LinkedIn_20240101_0800.csv", 2)]

@@ -104,3 +104,12 @@ def test_known_keys_scan_is_pruned(spark, tmp_dir):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<listing_id:string>" in plan and "PartitionFilters" in plan
     assert [tuple(r) for r in keys.collect()] == [("1", "LinkedIn")]
+
+
+def test_streaming_ingest_can_archive_files(spark, tmp_dir):
+    d = _drop(tmp_dir)
+    root = tmp_dir + "/a"
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes", archive_dir=tmp_dir + "/archive")
+    assert st.read_listings(spark, root + "/store").count() == 2
+    outcomes = {r.file_name: r.outcome for r in spark.read.parquet(root + "/outcomes").collect()}
+    assert outcomes["Indeed_20240101_0800.csv"] == "ERROR"
