@@ -75,9 +75,15 @@ def screen_condition(fix_list: bool = False, junior_only: bool = False) -> Colum
 
 def screen_listings(df: DataFrame, fix_list: bool = False, junior_only: bool = False,
                     sort: bool = True) -> DataFrame:
-    """The screening report: P4 and P5/P6 and P7, screen column order, newest first."""
+    """The screening report: P4 and P5/P6 and P7, screen column order, newest first.
+
+    The key breaks ties in the sort: the order is deterministic, and the range
+    partitioner can split a timestamp shared by a large share of the rows.
+    """
     out = df.filter(screen_condition(fix_list, junior_only)).select(*SCREEN_COLUMNS)
-    return out.orderBy(F.col("time_when_scraped").desc_nulls_first()) if sort else out
+    if not sort:
+        return out
+    return out.orderBy(F.col("time_when_scraped").desc_nulls_first(), *[F.col(c).asc_nulls_first() for c in KEY])
 
 
 def junior_quick_search(df: DataFrame, sort: bool = True) -> DataFrame:

@@ -36,15 +36,18 @@ def top_level_csv(folder: str) -> str:
     return f"{folder.rstrip('/')}/*.csv"
 
 
-def read_listings_csv(spark: SparkSession, path, with_file: bool = True) -> DataFrame:
+def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_line: bool = True) -> DataFrame:
     """Listing files as 8 text columns (+ ``file_name``, ``file_time``).
 
     No schema inference: every column is a string, as the files are text. A
     multi-line CSV file is read by one task, so parallelism comes from the
-    number of files (one per result set).
+    number of files (result sets Spark writes are split into several part
+    files). Files known to hold no line break inside a value can be read with
+    ``multi_line=False``, which makes each file splittable.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**CSV_READ_OPTIONS).csv(paths)
+    opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
+    df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
     if not with_file:
         return df
     return df.select(
