@@ -184,3 +184,39 @@ INDEED_VIEW_BASE = "https://www.indeed.com/viewjob?jk="
 ANNUAL_PAY_MARKER = "Annually"
 REMOTE_SEARCH_LOCATION = "Remote"
 BUILTIN_REMOTE_QUERY_LOCATION = "United States"
+
+
+# --- Fixed values: the search terms per site, in the order each site runs them. ---
+# (site, keyword, search location); Dice is listed although no schedule runs it.
+SEARCH_TERMS = [
+    ("LinkedIn", "Junior Developer", "Remote"),
+    ("LinkedIn", "Junior Developer", "Columbus, Ohio Metropolitan Area"),
+    ("LinkedIn", "Developer", "Remote"),
+    ("LinkedIn", "Developer", "Columbus, Ohio Metropolitan Area"),
+    ("LinkedIn", "Software Engineer", "Remote"),
+    ("LinkedIn", "Software Engineer", "Columbus, Ohio Metropolitan Area"),
+    ("LinkedIn", "QA", "Remote"),
+    ("LinkedIn", "QA", "Columbus, Ohio Metropolitan Area"),
+    ("Indeed", "Junior Developer", "Remote"),
+    ("Indeed", "Junior Developer", "Columbus, OH"),
+    ("Indeed", "Developer", "Remote"),
+    ("Indeed", "Developer", "Columbus, OH"),
+    ("Indeed", "Software Engineer", "Remote"),
+    ("Indeed", "Software Engineer", "Columbus, OH"),
+    ("Indeed", "QA", "Remote"),
+    ("Indeed", "QA", "Columbus, OH"),
+    ("BuiltIn", "Developer", "Remote"),
+    ("BuiltIn", "Developer", "Columbus, OH, USA"),
+    ("BuiltIn", "Software Engineer", "Remote"),
+    ("BuiltIn", "Software Engineer", "Columbus, OH, USA"),
+    ("BuiltIn", "QA", "Remote"),
+    ("BuiltIn", "QA", "Columbus, OH, USA"),
+    ("Dice", "Junior Developer", "Remote"),
+    ("Dice", "Junior Developer", "Columbus, OH, USA"),
+    ("Dice", "Developer", "Remote"),
+    ("Dice", "Developer", "Columbus, OH, USA"),
+    ("Dice", "Software Engineer", "Remote"),
+    ("Dice", "Software Engineer", "Columbus, OH, USA"),
+    ("Dice", "QA", "Remote"),
+    ("Dice", "QA", "Columbus, OH, USA"),
+]

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_TERMS_PATH = os.path.join(os.path.dirname(__file__), "..", "conf", "search_terms.json")
+from ..functions import rules
+
 SUFFIX = "_Search_Terms"
 
 _TERM = T.ArrayType(T.StructType([T.StructField("keyword", T.StringType()),
                                    T.StructField("location", T.StringType())]))
 
 
+def default_terms_document() -> str:
+    """The configured terms (``rules.SEARCH_TERMS``) as a search-terms JSON document."""
+    doc: dict[str, list] = {}
+    for site, keyword, location in rules.SEARCH_TERMS:
+        doc.setdefault(f"{site}{SUFFIX}", []).append({"keyword": keyword, "location": location})
+    return json.dumps(doc)
+
+
 def _explode_sites(raw: DataFrame) -> DataFrame:
     sites = [c for c in raw.columns if c.endswith(SUFFIX)]
     stack = ", ".join(f"'{c[: -len(SUFFIX)]}', `{c}`" for c in sites)
@@ -28,13 +36,16 @@ def _explode_sites(raw: DataFrame) -> DataFrame:
 def load_search_terms(spark: SparkSession, path: str | None = None) -> DataFrame:
     """``(source, idx, keyword, location)``, one row per term, in file order per site.
 
-    The configuration file is read as text on the driver (it is a few
-    kilobytes and need not be on the executors' file system) and parsed by
-    Spark (``from_json`` + ``stack`` + ``posexplode``).
+    ``path`` is a search-terms JSON file on the driver (a few kilobytes of
+    configuration, so it need not be on the executors' file system); without
+    it the configured terms are used. The document is parsed by Spark
+    (``from_json`` + ``stack`` + ``posexplode``).
     """
-    path = path or DEFAULT_TERMS_PATH
-    with open(path, encoding="utf-8") as fh:
-        text = fh.read()
+    if path:
+        with open(path, encoding="utf-8") as fh:
+            text = fh.read()
+    else:
+        text = default_terms_document()
     sites = list(json.loads(text).keys())
     schema = T.StructType([T.StructField(s, _TERM) for s in sites])
     raw = spark.createDataFrame([(text,)], "doc string").select(F.from_json("doc", schema).alias("j")).select("j.*")
@@ -48,8 +59,11 @@ def read_search_terms_json(spark: SparkSession, path: str) -> DataFrame:
 
 def terms_values_sql(path: str | None = None) -> str:
     """The terms as a SQL ``VALUES`` list ``(source, idx, keyword, location)`` (for the oracle)."""
-    with open(path or DEFAULT_TERMS_PATH, encoding="utf-8") as fh:
-        doc = json.load(fh)
+    if path:
+        with open(path, encoding="utf-8") as fh:
+            doc = json.load(fh)
+    else:
+        doc = json.loads(default_terms_document())
     rows = []
     for key, arr in doc.items():
         site = key[: -len(SUFFIX)]

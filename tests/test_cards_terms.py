@@ -95,3 +95,15 @@ def test_file_name_collisions(spark):
     named = sets.select(result_set_file_name(F.col("source"), F.col("ts").cast("timestamp_ntz")).alias("file_name"),
                         "term_idx")
     assert [tuple(r) for r in file_name_collisions(named).collect()] == [("LinkedIn_20240101_0800.csv", 2)]
+
+
+def test_terms_from_a_json_file(spark, tmp_dir):
+    import json
+    path = tmp_dir + "/terms.json"
+    with open(path, "w") as fh:
+        json.dump({"Indeed_Search_Terms": [{"keyword": "QA", "location": "Remote"},
+                                           {"keyword": "Developer", "location": "Columbus, OH"}]}, fh)
+    from jobsift.sources.terms import read_search_terms_json
+    for df in (load_search_terms(spark, path), read_search_terms_json(spark, path)):
+        assert [tuple(r) for r in df.orderBy("idx").collect()] == [("Indeed", 0, "QA", "Remote"),
+                                                                    ("Indeed", 1, "Developer", "Columbus, OH")]
