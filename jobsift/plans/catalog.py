@@ -30,6 +30,7 @@ from ..sources import listing_csv as csvio
 from ..sources import store as st
 from ..sources.terms import load_search_terms, terms_values_sql
 from . import load as L
+from . import sql as Q_SQL
 
 RECENCY_AS_OF = "2024-01-30 00:00:00"
 EXCLUDED_REGIONS = ["MIDDLE EAST", "NATION_0"]
@@ -160,6 +161,24 @@ def q_jobs_per_year(spark, sf_dir):
     return A.jobs_per_year(_listings(spark, sf_dir))
 
 
+# --- the same reports as Spark SQL text over a view of the table ----------------
+
+def _sql_twin(name: str, statement):
+    @register(f"{name}_sql", ORACLE[name])
+    def q(spark, sf_dir):
+        return Q_SQL.run(spark, _listings(spark, sf_dir), statement)
+    q.__name__ = f"q_{name}_sql"
+    return q
+
+
+for _name, _stmt in (("screen_listings", Q_SQL.screen_sql),
+                     ("junior_quick_search", lambda t: Q_SQL.screen_sql(t, junior_only=True)),
+                     ("jobs_per_day", Q_SQL.jobs_per_day_sql),
+                     ("jobs_per_week", Q_SQL.jobs_per_week_sql),
+                     ("jobs_per_year", Q_SQL.jobs_per_year_sql)):
+    _sql_twin(_name, _stmt)
+
+
 @register("estimated_row_count", "SELECT count(*) AS estimate FROM orders")
 def q_estimated_row_count(spark, sf_dir):
     store = scratch_path(spark, "store")
