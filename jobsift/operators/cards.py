@@ -81,19 +81,17 @@ def _builtin_like(resolve_href):
     return extract
 
 
-def _keep_href(url, href):
-    return href
-
-
 def _resolve_href(url, href):
+    """The link as a browser reports an anchor's ``href``: resolved against the page url."""
     return urljoin(url or "", href) if href is not None else None
 
 
-# Per-site rule sets: site tag -> card extractor.
+# Per-site rule sets: site tag -> card extractor. BuiltIn and Dice share the
+# card layout; both links are the anchor's resolved href.
 SITE_EXTRACTORS = {
     "LinkedIn": _linkedin,
     "Indeed": _indeed,
-    "BuiltIn": _builtin_like(_keep_href),
+    "BuiltIn": _builtin_like(_resolve_href),
     "Dice": _builtin_like(_resolve_href),
 }
 
@@ -150,12 +148,13 @@ def extract_indeed_cards(pages: DataFrame) -> DataFrame:
 
 
 def extract_builtin_cards(pages: DataFrame) -> DataFrame:
-    """Cards ``div[data-id=job-card]``; pay kept only when annual."""
+    """Cards ``div[data-id=job-card]``; link = the title anchor's resolved href;
+    pay kept only when annual."""
     return extract_cards(pages, "BuiltIn")
 
 
 def extract_dice_cards(pages: DataFrame, source_tag: str = "Dice") -> DataFrame:
-    """As X3, the href resolved against the page url."""
+    """As X3 (same card layout), tagged with ``source_tag``."""
     return extract_cards(pages, "Dice", source_tag)
 
 

@@ -37,7 +37,7 @@ def test_linkedin_skips_card_without_pay(spark):
 
 def test_builtin_and_dice_links_and_pay_gate(spark):
     b = X.extract_builtin_cards(_pages(spark, BUILTIN)).collect()[0]
-    assert (b.listing_id, b.link, b.location, b.compensation) == ("7", "/job/7", "Remote", None)
+    assert (b.listing_id, b.link, b.location, b.compensation) == ("7", "https://example.com/job/7", "Remote", None)
     d = X.extract_dice_cards(_pages(spark, BUILTIN)).collect()[0]
     assert d.link == "https://example.com/job/7" and d.source == "Dice"
 
