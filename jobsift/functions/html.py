@@ -144,6 +144,15 @@ def find_chain(node: Node, steps):
     return None
 
 
+def has_ancestor(n: Node, tag: str) -> bool:
+    p = n.parent
+    while p is not None:
+        if p.tag == tag:
+            return True
+        p = p.parent
+    return False
+
+
 def _inside(n: Node, ancestor: Node) -> bool:
     while n is not None:
         if n is ancestor:

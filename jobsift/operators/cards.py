@@ -212,7 +212,7 @@ def _page_fields(batches):
             title = _text(H.find(doc, tag="title"))
             art = H.find(doc, tag="article")
             h1 = _text(H.find(art, tag="h1")) if art is not None else None
-            n_nav = sum(len(H.find_all(nav, tag="a", has=("href",))) for nav in H.find_all(doc, tag="nav"))
+            n_nav = sum(1 for a in H.find_all(doc, tag="a", has=("href",)) if H.has_ancestor(a, "nav"))
             out.append((page_id, title, h1, n_nav))
         yield pd.DataFrame(out, columns=PAGE_FIELDS_SCHEMA.fieldNames())
 

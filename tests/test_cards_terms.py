@@ -107,3 +107,12 @@ def test_terms_from_a_json_file(spark, tmp_dir):
     for df in (load_search_terms(spark, path), read_search_terms_json(spark, path)):
         assert [tuple(r) for r in df.orderBy("idx").collect()] == [("Indeed", 0, "QA", "Remote"),
                                                                     ("Indeed", 1, "Developer", "Columbus, OH")]
+
+
+def test_generic_page_fields(spark):
+    html = ('<html><head><title> A &amp; B </title></head><body><nav><a href="/x">x</a><nav><a href="/y">y</a>'
+            '<a>no href</a></nav></nav><article><p>intro</p><h1>Head <b>line</b></h1></article>'
+            '<script>var t = "</p><h1>no</h1>";</script></body></html>')
+    df = spark.createDataFrame([(1, html), (2, "<p>nothing</p>")], "page_id long, html string")
+    got = {r.page_id: (r.title, r.h1, r.n_nav_links) for r in X.extract_page_fields(df).collect()}
+    assert got == {1: ("A & B", "Head line", 2), 2: (None, None, 0)}
