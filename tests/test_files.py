@@ -113,3 +113,32 @@ def test_streaming_ingest_can_archive_files(spark, tmp_dir):
     assert st.read_listings(spark, root + "/store").count() == 2
     outcomes = {r.file_name: r.outcome for r in spark.read.parquet(root + "/outcomes").collect()}
     assert outcomes["Indeed_20240101_0800.csv"] == "ERROR"
+
+
+def test_replayed_batch_is_written_once(spark, tmp_dir, monkeypatch):
+    """A batch that fails after its append (before the stream commits it) is replayed on
+    restart: it replaces its own partition and does not see its own rows as stored."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    import jobsift.plans.load as load_mod
+
+    d = _drop(tmp_dir)
+    root = tmp_dir + "/r"
+    real = load_mod.write_outcomes
+    calls = {"n": 0}
+
+    def flaky(outcomes, path, batch_id):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("lost the driver after the append")
+        return real(outcomes, path, batch_id)
+
+    monkeypatch.setattr(load_mod, "write_outcomes", flaky)
+    with pytest.raises(StreamingQueryException):
+        ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    assert st.read_listings(spark, root + "/store").count() == 2  # appended, not committed
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    assert sorted(r.listing_id for r in st.read_listings(spark, root + "/store").collect()) == ["1", "5"]
+    res = {r.file_name: r.outcome for r in spark.read.parquet(root + "/outcomes").collect()}
+    assert res["LinkedIn_20240101_0800.csv"] == "LOADED" and res["Indeed_20240101_0800.csv"] == "ERROR"
