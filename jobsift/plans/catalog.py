@@ -19,6 +19,7 @@ from ..functions.text import (compensation_gate, file_name_collisions, file_name
                               listing_link, result_set_file_name)
 from ..operators import cards as X
 from ..operators import dedupe as D
+from ..operators.joins import bounded_broadcast
 from ..operators import quality as Q
 from ..operators import relations as R
 from ..operators import screen as S
@@ -123,7 +124,8 @@ FROM listings l JOIN (SELECT DISTINCT source, location FROM terms) s ON l.source
 WHERE {_MODE_OK_SQL.format(sl='s.location', src='l.source', m=_WORK_MODE_SQL)}""", "listings", extra=[_terms_cte()]))
 def q_work_mode_filter(spark, sf_dir):
     searches = load_search_terms(spark).select("source", F.col("location").alias("search_location")).distinct()
-    return (S.work_mode_filter(_listings(spark, sf_dir).join(F.broadcast(searches), "source"),
+    searches = bounded_broadcast(searches, J.TERM_BROADCAST_LIMIT)
+    return (S.work_mode_filter(_listings(spark, sf_dir).join(searches, "source"),
                                F.col("search_location"))
             .select("listing_id", "source", "search_location", "work_mode"))
 
