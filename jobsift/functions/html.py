@@ -119,28 +119,37 @@ def nth_child(node: Node) -> int:
     return node.parent.element_children().index(node) + 1 if node.parent is not None else 1
 
 
+def _step_ok(n: Node, step: dict, position: int) -> bool:
+    nth = step.get("nth")
+    if nth is not None and position != nth:
+        return False
+    return match(n, **{k: v for k, v in step.items() if k != "nth"})
+
+
+def _descend(n: Node, steps):
+    if not steps:
+        return n
+    for i, c in enumerate(n.element_children(), 1):
+        if _step_ok(c, steps[0], i):
+            found = _descend(c, steps[1:])
+            if found is not None:
+                return found
+    return None
+
+
 def find_chain(node: Node, steps):
     """First descendant matching a child-combinator chain ``s1 > s2 > ...``.
 
     Each step is a dict of ``match`` arguments plus an optional ``nth`` (1-based
-    position among the parent's element children, ``:nth-child``).
+    position among the parent's element children, ``:nth-child``). The walk
+    starts at each element matching ``s1`` (document order) and follows the
+    remaining steps down through children only.
     """
-    def ok(n, step):
-        step = dict(step)
-        nth = step.pop("nth", None)
-        return match(n, **step) and (nth is None or nth_child(n) == nth)
-
-    for n in node.iter():
-        if not ok(n, steps[-1]):
-            continue
-        p, good = n, True
-        for step in reversed(steps[:-1]):
-            p = p.parent
-            if p is None or not ok(p, step):
-                good = False
-                break
-        if good and _inside(p, node):
-            return n
+    for start in node.iter():
+        if _step_ok(start, steps[0], nth_child(start) if "nth" in steps[0] else 0):
+            found = _descend(start, steps[1:])
+            if found is not None:
+                return found
     return None
 
 
@@ -151,11 +160,3 @@ def has_ancestor(n: Node, tag: str) -> bool:
             return True
         p = p.parent
     return False
-
-
-def _inside(n: Node, ancestor: Node) -> bool:
-    while n is not None:
-        if n is ancestor:
-            return True
-        n = n.parent
-    return False
