@@ -2,12 +2,15 @@
 
 The file source remembers (in the checkpoint) which files it has handed
 out, which replaces moving files to ``Processed``; each micro-batch runs the
-load plan in ``foreachBatch`` and records per-file outcomes. A replayed batch
-overwrites its own ``load_batch`` partition, so the append is exactly-once.
+load plan in ``foreachBatch`` and records per-file outcomes. Micro-batch ``n`` writes
+``load_batch=stream-<checkpoint hash>-<n>``; a replayed batch overwrites its
+own partition, so the append is exactly-once.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,12 @@ def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: i
     )
 
 
+def stream_tag(checkpoint: str) -> str:
+    """Names this stream's store partitions: stable across restarts (same checkpoint),
+    distinct from other streams and from bulk loads writing the same store."""
+    return "stream-" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+
+
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
                        processing_time: str = "4 hours", archive_dir: str | None = None):
@@ -45,9 +54,10 @@ def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: s
     leaving it unset loads all waiting files in one set-based batch.
     """
     stream = listing_file_stream(spark, drop, max_files_per_trigger, archive_dir)
+    tag = stream_tag(checkpoint)
 
     def run_batch(batch_df, batch_id):
-        load_batch(batch_df.sparkSession, batch_df, store, batch_id, outcomes_path)
+        load_batch(batch_df.sparkSession, batch_df, store, f"{tag}-{batch_id}", outcomes_path)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -142,3 +142,14 @@ def test_replayed_batch_is_written_once(spark, tmp_dir, monkeypatch):
     assert sorted(r.listing_id for r in st.read_listings(spark, root + "/store").collect()) == ["1", "5"]
     res = {r.file_name: r.outcome for r in spark.read.parquet(root + "/outcomes").collect()}
     assert res["LinkedIn_20240101_0800.csv"] == "LOADED" and res["Indeed_20240101_0800.csv"] == "ERROR"
+
+
+def test_stream_and_bulk_batches_do_not_collide(spark, tmp_dir):
+    d = _drop(tmp_dir)
+    store = tmp_dir + "/store"
+    load_folder(spark, d, store, "0")  # a bulk load named like a micro-batch number
+    _write(d + "/Indeed_20240102_0800.csv", HEADER + "9,Indeed,QA,Acme,https://i/9,2024-01-02 08:00:00,Remote,\n")
+    ingest_drop_folder(spark, d, store, tmp_dir + "/ckpt", tmp_dir + "/outcomes")
+    batches = {r.load_batch for r in spark.read.parquet(store).select("load_batch").distinct().collect()}
+    assert "0" in batches and any(b.startswith("stream-") for b in batches)
+    assert sorted(r.listing_id for r in st.read_listings(spark, store).collect()) == ["1", "5", "9"]
