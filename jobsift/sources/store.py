@@ -10,13 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import KEY, LISTING_COLUMNS
+from ..schema import KEY, LISTING_COLUMNS, LISTING_SCHEMA
 from ..operators.quality import conform_listing
 
 
+# The store as read: the 8 columns plus the partition columns, all typed
+# explicitly (partition discovery would otherwise infer ``load_batch=0`` as a
+# number and break comparisons with named batches).
+STORE_SCHEMA = T.StructType(
+    [T.StructField(f.name, f.dataType, True) for f in LISTING_SCHEMA.fields]
+    + [T.StructField("load_batch", T.StringType(), True)])
+
+
 def read_store(spark: SparkSession, store: str, exclude_batch: str | None = None) -> DataFrame:
-    df = spark.read.parquet(store)
+    df = spark.read.schema(STORE_SCHEMA).parquet(store)
     if exclude_batch is not None:
         df = df.filter(F.col("load_batch") != F.lit(str(exclude_batch)))
     return df
