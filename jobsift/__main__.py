@@ -36,7 +36,7 @@ def extract_to_drop(spark, pages_path: str, drop: str, run_time: str) -> None:
     when present, names its result set) -> listing files, one per result set."""
     pages = spark.read.parquet(pages_path)
     found = cards.extract_listing_cards(pages.select("source", "page_id", "url", "html"))
-    ts = F.lit(dt.datetime.fromisoformat(run_time)).cast("timestamp_ntz")
+    ts = F.lit(dt.datetime.fromisoformat(run_time).isoformat(sep=" ")).cast("timestamp_ntz")
     rows = found.withColumn("time_when_scraped", ts).withColumn("run_time", ts).withColumn(
         "seq", F.col("page_id") * 1000 + F.col("card_no"))
     latest = dedupe.latest_per_listing(rows.drop("page_id", "card_no"))

@@ -77,8 +77,9 @@ def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_time(ts) -> Column:
-    """A scrape run per site and month: the run time is the month start."""
-    return F.date_trunc("month", ts).cast("timestamp_ntz")
+    """A scrape run per site and month: the run time is the month start (date
+    arithmetic, so no session time zone is involved)."""
+    return F.trunc(F.to_date(ts), "month").cast("timestamp_ntz")
 
 
 def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,5 +20,5 @@ def iso_week(ts: Column) -> Column:
 
 def iso_week_year(ts: Column) -> Column:
     """The year an ISO week belongs to: the year of its Thursday (2024-12-30 -> 2025)."""
-    monday = F.date_trunc("week", ts).cast("date")
+    monday = F.trunc(F.to_date(ts), "week")
     return F.year(F.date_add(monday, 3)).cast("bigint")

@@ -100,8 +100,12 @@ def recency_filter(df: DataFrame, as_of, ts_col: str = "time_when_scraped", hour
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
     lo = as_of - _dt.timedelta(hours=hours)
+
+    def wall_clock(t):  # a TIMESTAMP_NTZ literal from text: no time zone is involved
+        return F.lit(t.isoformat(sep=" ")).cast(T.TimestampNTZType())
+
     ts = F.col(ts_col)
-    return df.filter((ts > F.lit(lo).cast(T.TimestampNTZType())) & (ts <= F.lit(as_of).cast(T.TimestampNTZType())))
+    return df.filter((ts > wall_clock(lo)) & (ts <= wall_clock(as_of)))
 
 
 def with_work_mode(df: DataFrame, location: str = "location") -> DataFrame:

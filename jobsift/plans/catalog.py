@@ -281,8 +281,8 @@ def run_calendar(spark, sf_dir) -> DataFrame:
     lst = _listings(spark, sf_dir)
     span = lst.groupBy("source").agg(F.min("time_when_scraped").alias("lo"), F.max("time_when_scraped").alias("hi"))
     months = span.select("source", F.explode(F.sequence(
-        F.date_trunc("month", "lo").cast("date"),
-        F.add_months(F.date_trunc("month", "hi").cast("date"), 1),
+        F.trunc(F.to_date("lo"), "month"),
+        F.add_months(F.trunc(F.to_date("hi"), "month"), 1),
         F.expr("INTERVAL 1 MONTH"))).alias("m"))
     return months.select(result_set_file_name(F.col("source"), F.col("m").cast("timestamp_ntz")).alias("file_name"))
 

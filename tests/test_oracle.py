@@ -65,3 +65,17 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     ts = [r["time_when_scraped"] for r in rows]
     assert ts == sorted(ts, reverse=True)
+
+
+@pytest.mark.parametrize("name", ["jobs_per_day", "jobs_per_week", "recency_filter", "result_set_file_name",
+                                  "first_file_wins", "ingest_outcome"])
+def test_time_queries_ignore_the_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    assert _digest(df.columns, rows) == _digest([d[0] for d in res.description], res.fetchall())
