@@ -63,8 +63,10 @@ def main(argv=None, spark=None):
     p.add_argument("--out"), p.add_argument("--show", type=int, default=100)
     p = sub.add_parser("extract")
     p.add_argument("pages"), p.add_argument("drop"), p.add_argument("--run-time", required=True)
+    ap.add_argument("--input-bytes", type=int, help="data volume, to size splits and shuffle partitions")
+    ap.add_argument("--cores", type=int, help="total executor cores of the cluster")
     a = ap.parse_args(argv)
-    spark = spark or build_session()
+    spark = spark or build_session(input_bytes=a.input_bytes, cores=a.cores)
 
     if a.cmd == "load":
         load_folder(spark, a.drop, a.store, a.batch, a.outcomes)

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "jobsift", shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Session with the settings the operators are tuned for (AQE on, UI off)."""
+                  extra: dict | None = None, input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
+    """Session with the settings the operators are tuned for (AQE on, UI off).
+
+    With ``input_bytes`` (and the cluster's ``cores``) the split and shuffle
+    sizes come from ``scale_settings``.
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -23,6 +27,8 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if input_bytes:
+        conf.update(scale_settings(input_bytes, cores or 8))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -26,3 +26,10 @@ def test_estimated_row_count_reads_no_columns(spark, tmp_dir):
     df = A.estimated_row_count(spark, tmp_dir + "/t")
     assert df.collect()[0].estimate == 5
     assert "ReadSchema: struct<>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scale_settings():
+    from jobsift.session import scale_settings
+    s = scale_settings(100 * 2**40, cores=4000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    assert int(scale_settings(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
