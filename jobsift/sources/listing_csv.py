@@ -105,18 +105,10 @@ def write_result_set_csv(df: DataFrame, folder: str, run_time_col: str | None =
     (out.write.mode("append").partitionBy("file_name").options(**CSV_WRITE_OPTIONS).csv(folder.rstrip("/")))
 
 
-def write_header_only(spark: SparkSession, folder: str, names) -> None:
-    """Header-only listing files (a search that found nothing), one per name."""
-    empty = spark.createDataFrame([], LISTING_TEXT_SCHEMA)
-    for n in names:
-        empty.coalesce(1).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(
-            f"{folder.rstrip('/')}/file_name={n}")
-
-
 def write_empty_result_sets(names: DataFrame, folder: str) -> None:
-    """Header-only files for the result sets in ``names`` (searches that found nothing).
-
-    ``names`` is one row per empty run (a bounded configuration-sized list), so
-    it is gathered to the driver to name the files.
-    """
-    write_header_only(names.sparkSession, folder, [r["file_name"] for r in names.select("file_name").collect()])
+    """Header-only listing files (searches that found nothing), one per ``file_name``
+    in ``names``, written by one job: the header line goes out through the text
+    writer partitioned by file, so each result set's folder holds just a header."""
+    header = ",".join(LISTING_COLUMNS)
+    (names.select("file_name", F.lit(header).alias("value")).distinct()
+     .write.mode("append").partitionBy("file_name").text(folder.rstrip("/")))

@@ -153,3 +153,11 @@ def test_stream_and_bulk_batches_do_not_collide(spark, tmp_dir):
     batches = {r.load_batch for r in spark.read.parquet(store).select("load_batch").distinct().collect()}
     assert "0" in batches and any(b.startswith("stream-") for b in batches)
     assert sorted(r.listing_id for r in st.read_listings(spark, store).collect()) == ["1", "5", "9"]
+
+
+def test_header_only_result_sets(spark, tmp_dir):
+    names = spark.createDataFrame([("Dice_20240101_0800.csv",), ("Indeed_20240101_1200.csv",)], "file_name string")
+    csvio.write_empty_result_sets(names, tmp_dir + "/drop")
+    got = {r.file_name: r.n_rows for r in csvio.discover_listing_files(spark, tmp_dir + "/drop").collect()}
+    assert got == {"Dice_20240101_0800.csv": 0, "Indeed_20240101_1200.csv": 0}
+    assert csvio.read_listings_csv(spark, csvio.top_level_csv(tmp_dir + "/drop")).count() == 0
