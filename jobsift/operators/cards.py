@@ -96,23 +96,14 @@ SITE_EXTRACTORS = {
 }
 
 
-def _cards_fn(extractor, source_tag):
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for page_id, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-                doc = H.parse(html)
-                for i, (lid, title, company, link, location, pay) in enumerate(extractor(doc, url)):
-                    out.append((page_id, i, lid, source_tag, title, company, link, location, pay))
-            yield pd.DataFrame(out, columns=CARD_SCHEMA.fieldNames())
-    return run
-
-
-def _all_sites_fn(batches):
+def _extract_batches(batches):
+    """Parse each page with the rule set named in its ``_rules`` column; tag the
+    cards with its ``source`` column."""
     for pdf in batches:
         out = []
-        for source, page_id, url, html in zip(pdf["source"], pdf["page_id"], pdf["url"], pdf["html"]):
-            extractor = SITE_EXTRACTORS.get(source)
+        for rule_set, source, page_id, url, html in zip(pdf["_rules"], pdf["source"], pdf["page_id"], pdf["url"],
+                                                         pdf["html"]):
+            extractor = SITE_EXTRACTORS.get(rule_set)
             if extractor is None:
                 continue
             doc = H.parse(html)
@@ -121,11 +112,16 @@ def _all_sites_fn(batches):
         yield pd.DataFrame(out, columns=CARD_SCHEMA.fieldNames())
 
 
+def _extract(pages: DataFrame, rule_set: Column, source: Column) -> DataFrame:
+    return (pages.select(rule_set.alias("_rules"), source.alias("source"), F.col("page_id").cast("bigint"),
+                         "url", "html")
+            .mapInPandas(_extract_batches, CARD_SCHEMA))
+
+
 def extract_listing_cards(pages: DataFrame) -> DataFrame:
     """X1-X4 in one pass: pages of every site ``(source, page_id, url, html)``,
     each parsed with its site's rules (chosen per row by ``source``)."""
-    return pages.select("source", F.col("page_id").cast("bigint"), "url", "html").mapInPandas(
-        _all_sites_fn, CARD_SCHEMA)
+    return _extract(pages, F.col("source"), F.col("source"))
 
 
 def extract_cards(pages: DataFrame, site: str, source_tag: str | None = None) -> DataFrame:
@@ -133,8 +129,7 @@ def extract_cards(pages: DataFrame, site: str, source_tag: str | None = None) ->
 
     Output: ``page_id, card_no`` (position on the page) and the 7 card columns.
     """
-    fn = _cards_fn(SITE_EXTRACTORS[site], source_tag or site)
-    return pages.select(F.col("page_id").cast("bigint"), "url", "html").mapInPandas(fn, CARD_SCHEMA)
+    return _extract(pages, F.lit(site), F.lit(source_tag or site))
 
 
 def extract_linkedin_cards(pages: DataFrame) -> DataFrame:

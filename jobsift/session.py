@@ -26,6 +26,8 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # page parsing ships whole HTML pages to Python: keep Arrow batches small
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     }
     if input_bytes:
         conf.update(scale_settings(input_bytes, cores or 8))
