@@ -161,3 +161,16 @@ def test_header_only_result_sets(spark, tmp_dir):
     got = {r.file_name: r.n_rows for r in csvio.discover_listing_files(spark, tmp_dir + "/drop").collect()}
     assert got == {"Dice_20240101_0800.csv": 0, "Indeed_20240101_1200.csv": 0}
     assert csvio.read_listings_csv(spark, csvio.top_level_csv(tmp_dir + "/drop")).count() == 0
+
+
+def test_empty_id_quarantines_its_file(spark, tmp_dir):
+    d = tmp_dir + "/drop"
+    _write(d + "/Indeed_20240105_0800.csv", HEADER + ",Indeed,Dev,Acme,https://i/x,2024-01-05 08:00:00,Remote,\n"
+           + "21,Indeed,QA,Acme,https://i/21,2024-01-05 08:00:00,Remote,\n")
+    _write(d + "/BuiltIn_20240105_0800.csv", HEADER + "22,BuiltIn,QA,Acme,https://b/22,2024-01-05 08:00:00,,\n")
+    rows = csvio.read_listings_csv(spark, csvio.top_level_csv(d)).collect()
+    assert any(r.listing_id is None for r in rows)
+    load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/out")
+    res = {r.file_name: (r.n_new, r.n_bad, r.outcome) for r in spark.read.parquet(tmp_dir + "/out").collect()}
+    assert res == {"Indeed_20240105_0800.csv": (2, 1, "ERROR"), "BuiltIn_20240105_0800.csv": (1, 0, "LOADED")}
+    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["22"]
