@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from ..functions import rules
 
 
+def member_of_pairs(roles: DataFrame, members: DataFrame, exclude=None) -> DataFrame:
+    """``(r_oid, rolname, member_of)``: one row per membership of each kept role, and one
+    row with ``member_of`` NULL for a role that belongs to nothing.
+
+    ``roles(oid, rolname)``, ``members(roleid, member)``; the correlated subquery
+    becomes two equi-joins. No grouping: this long form has no hot group.
+    """
+    exclude = rules.EXCLUDED_ROLE_NAMES if exclude is None else list(exclude)
+    r = roles.filter(~F.col("rolname").isin(exclude)).select(F.col("oid").alias("r_oid"), F.col("rolname"))
+    b = roles.select(F.col("oid").alias("b_oid"), F.col("rolname").alias("member_of"))
+    m = members.select("roleid", "member").join(b, F.col("roleid") == F.col("b_oid"))
+    return r.join(m, F.col("member") == F.col("r_oid"), "left").select("r_oid", "rolname", "member_of")
+
+
 def member_of_array(roles: DataFrame, members: DataFrame, exclude=None) -> DataFrame:
     """``(rolname, memberof)`` with ``memberof`` the sorted names of the roles
     each role belongs to (an empty array when none), excluded names left out.
 
-    ``roles(oid, rolname)``, ``members(roleid, member)``. The correlated
-    ``ARRAY(SELECT ...)`` becomes two equi-joins and a grouped collect; the
-    array of one role holds its memberships only.
+    The array is the report's shape: one role's array holds that role's
+    memberships (a catalog-sized list); ``member_of_pairs`` is the same result
+    without the grouping.
     """
-    exclude = rules.EXCLUDED_ROLE_NAMES if exclude is None else list(exclude)
-    r = roles.filter(~F.col("rolname").isin(exclude)).select(F.col("oid").alias("r_oid"),
-                                                              F.col("rolname"))
-    b = roles.select(F.col("oid").alias("b_oid"), F.col("rolname").alias("b_name"))
-    m = members.select("roleid", "member").join(b, F.col("roleid") == F.col("b_oid"))
-    joined = r.join(m, F.col("member") == F.col("r_oid"), "left")
-    return (joined.groupBy("r_oid", "rolname")
-            .agg(F.sort_array(F.collect_list("b_name")).alias("memberof"))
+    return (member_of_pairs(roles, members, exclude)
+            .groupBy("r_oid", "rolname")
+            .agg(F.sort_array(F.collect_list("member_of")).alias("memberof"))
             .select("rolname", "memberof"))
