@@ -245,7 +245,12 @@ stats AS (
   SELECT file_name, CAST(sum(n) AS BIGINT) AS n_new,
          CAST(sum(CASE WHEN n > 1 THEN n ELSE n_null_bad END) AS BIGINT) AS n_bad
   FROM per_key GROUP BY file_name)""", """
-bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)"""]
+bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)""", """
+to_append AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY listing_id, source ORDER BY file_name) AS rn
+    FROM new_rows WHERE file_name NOT IN (SELECT file_name FROM bad_files))
+  WHERE rn = 1)"""]
 
 
 def _with_new_rows(sql: str, *more) -> str:
@@ -259,7 +264,7 @@ def _delivery_batch(spark, sf_dir):
 
 
 @register("file_quarantine", _with_new_rows(f"""
-SELECT {_L8}, file_name FROM new_rows WHERE file_name NOT IN (SELECT file_name FROM bad_files)"""))
+SELECT {_L8}, file_name FROM to_append"""))
 def q_file_quarantine(spark, sf_dir):
     rows, known = _delivery_batch(spark, sf_dir)
     to_append, _ = L.plan_batch(rows, known)
@@ -289,11 +294,14 @@ def run_calendar(spark, sf_dir) -> DataFrame:
 
 @register("ingest_outcome", _with_new_rows("""
 SELECT c.file_name, coalesce(r.n_rows, 0) AS n_rows, coalesce(s.n_new, 0) AS n_new, coalesce(s.n_bad, 0) AS n_bad,
+       coalesce(a.n_loaded, 0) AS n_loaded,
        CASE WHEN coalesce(r.n_rows, 0) = 0 THEN 'EMPTY' WHEN coalesce(s.n_new, 0) = 0 THEN 'NO_NEW'
-            WHEN s.n_bad > 0 THEN 'ERROR' ELSE 'LOADED' END AS outcome
+            WHEN s.n_bad > 0 THEN 'ERROR' WHEN coalesce(a.n_loaded, 0) = 0 THEN 'NO_NEW' ELSE 'LOADED' END AS outcome
 FROM calendar c
 LEFT JOIN (SELECT file_name, count(*) AS n_rows FROM conformed GROUP BY file_name) r ON r.file_name = c.file_name
-LEFT JOIN stats s ON s.file_name = c.file_name""", _CALENDAR_SQL))
+LEFT JOIN stats s ON s.file_name = c.file_name
+LEFT JOIN (SELECT file_name, count(*) AS n_loaded FROM to_append GROUP BY file_name) a ON a.file_name = c.file_name""",
+                                      _CALENDAR_SQL))
 def q_ingest_outcome(spark, sf_dir):
     rows, known = _delivery_batch(spark, sf_dir)
     _, outcomes = L.plan_batch(rows, known, files=run_calendar(spark, sf_dir))
@@ -464,7 +472,7 @@ def q_append_listings(spark, sf_dir):
 @register("ingest_drop_folder", _with_new_rows(f"""
 SELECT {_L8} FROM stored
 UNION ALL
-SELECT {_L8} FROM new_rows WHERE file_name NOT IN (SELECT file_name FROM bad_files)"""))
+SELECT {_L8} FROM to_append"""))
 def q_ingest_drop_folder(spark, sf_dir):
     from ..streaming.ingest import ingest_drop_folder
 

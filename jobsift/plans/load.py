@@ -44,11 +44,23 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
     if checkpoint:
         new = cut_lineage(new)
-    outcomes = ingest_outcome(conformed, new, files)
-    bad_files = outcomes.filter(F.col("outcome") == "ERROR").select("file_name")
+    stats = ingest_outcome(conformed, new, files)
+    bad_files = stats.filter(F.col("outcome") == "ERROR").select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)
     to_append = first_file_wins(good, "file_time", "file_name").select(*LISTING_COLUMNS, "file_name")
-    return to_append, outcomes
+    return to_append, with_loaded_counts(stats, to_append)
+
+
+def with_loaded_counts(stats: DataFrame, to_append: DataFrame) -> DataFrame:
+    """Add ``n_loaded`` (rows each file actually contributes after first-file-wins);
+    a good file whose new rows all went to an earlier file is NO_NEW, as it would
+    be when files load one at a time."""
+    loaded = to_append.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_loaded"))
+    n_loaded = F.coalesce(F.col("n_loaded"), F.lit(0).cast("bigint"))
+    return (stats.join(loaded, "file_name", "left")
+            .select("file_name", "n_rows", "n_new", "n_bad", n_loaded.alias("n_loaded"),
+                    F.when((F.col("outcome") == "LOADED") & (n_loaded == 0), F.lit("NO_NEW"))
+                    .otherwise(F.col("outcome")).alias("outcome")))
 
 
 def known_keys_or_empty(spark: SparkSession, store: str, exclude_batch=None) -> DataFrame:

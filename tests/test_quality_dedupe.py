@@ -66,3 +66,18 @@ def test_member_of_array_empty_for_no_membership(spark):
     members = spark.createDataFrame([("1", "2"), ("4", "2")], "roleid string, member string")
     got = {r.rolname: r.memberof for r in R.member_of_array(roles, members).collect()}
     assert got == {"admin": [], "alice": ["admin", "rdsadmin"], "bob": []}
+
+
+def test_same_listing_in_two_good_files(spark):
+    from jobsift.plans.load import plan_batch
+    rows = spark.createDataFrame(
+        [("1", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None, "Indeed_20240101_0800.csv"),
+         ("1", "Indeed", "b", "c", "l", "2024-01-01 12:00:00", None, None, "Indeed_20240101_1200.csv"),
+         ("2", "Indeed", "b", "c", "l", "2024-01-01 12:00:00", None, None, "Indeed_20240101_1300.csv")],
+        TEXT + ", file_name string")
+    known = spark.createDataFrame([], "listing_id string, source string")
+    to_append, outcomes = plan_batch(rows, known, checkpoint=False)
+    assert sorted((r.listing_id, r.title) for r in to_append.collect()) == [("1", "a"), ("2", "b")]
+    got = {r.file_name: (r.n_new, r.n_loaded, r.outcome) for r in outcomes.collect()}
+    assert got == {"Indeed_20240101_0800.csv": (1, 1, "LOADED"), "Indeed_20240101_1200.csv": (1, 0, "NO_NEW"),
+                   "Indeed_20240101_1300.csv": (1, 1, "LOADED")}
