@@ -101,8 +101,6 @@ def file_name_collisions(result_sets, set_cols=("term_idx",)):
 
     ``result_sets`` has ``file_name`` and the columns naming a result set.
     """
-    from pyspark.sql import functions as F
-
     ident = F.struct(*[F.col(c) for c in set_cols])
     return (result_sets.groupBy("file_name")
             .agg(F.count_distinct(ident).alias("n_result_sets"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import first_file_wins, new_listings
 from ..operators.quality import (conform_listing, file_quarantine, ingest_outcome, numeric_id_ok,
                                  violates_not_null)
-from ..schema import KEY, LISTING_COLUMNS
+from ..schema import LISTING_COLUMNS
 from ..session import cut_lineage
 from ..sources.listing_csv import list_listing_files, read_listings_csv, top_level_csv
 from ..sources.store import append_listings, read_known_keys

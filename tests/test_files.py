@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from jobsift.plans.load import load_folder
 from jobsift.schema import LISTING_COLUMNS
