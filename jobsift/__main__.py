@@ -5,6 +5,7 @@
   python -m jobsift screen STORE [--junior] [--fix-list] [--out DIR]
   python -m jobsift report STORE {day,week,year,estimate} [--out DIR]
   python -m jobsift extract PAGES DROP --run-time "2024-07-01 04:00:00"
+  python -m jobsift sql STORE "SELECT ... FROM job_listings ..." [--out DIR]
 
 Reports are written to ``--out`` (parquet) or shown on the console.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from .functions.text import result_set_file_name
 from .operators import cards, dedupe, screen, trends
 from .plans.load import load_folder
+from .plans.sql import register_store
 from .session import build_session
 from .sources import listing_csv, store
 from .streaming.ingest import ingest_drop_folder
@@ -61,6 +63,9 @@ def main(argv=None, spark=None):
     p = sub.add_parser("report")
     p.add_argument("store"), p.add_argument("kind", choices=["day", "week", "year", "estimate"])
     p.add_argument("--out"), p.add_argument("--show", type=int, default=100)
+    p = sub.add_parser("sql")
+    p.add_argument("store"), p.add_argument("statement"), p.add_argument("--out")
+    p.add_argument("--show", type=int, default=50)
     p = sub.add_parser("extract")
     p.add_argument("pages"), p.add_argument("drop"), p.add_argument("--run-time", required=True)
     ap.add_argument("--input-bytes", type=int, help="data volume, to size splits and shuffle partitions")
@@ -82,6 +87,9 @@ def main(argv=None, spark=None):
             fn = {"day": trends.jobs_per_day, "week": trends.jobs_per_week, "year": trends.jobs_per_year}[a.kind]
             df = fn(store.read_listings(spark, a.store))
         _emit(df, a.out, a.show)
+    elif a.cmd == "sql":
+        register_store(spark, a.store)
+        _emit(spark.sql(a.statement), a.out, a.show)
     elif a.cmd == "extract":
         extract_to_drop(spark, a.pages, a.drop, a.run_time)
 

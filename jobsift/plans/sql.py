@@ -74,6 +74,13 @@ def as_view(df: DataFrame, name: str | None = None) -> str:
     return name
 
 
+def register_store(spark: SparkSession, store_path: str, name: str = "job_listings") -> str:
+    """The stored table as a temporary view ``name`` (8 columns), for ad-hoc SQL."""
+    from ..sources.store import read_listings
+
+    return as_view(read_listings(spark, store_path), name)
+
+
 def run(spark: SparkSession, df: DataFrame, statement) -> DataFrame:
     """Run ``statement(view_name)`` over ``df`` registered as a view."""
     return spark.sql(statement(as_view(df)))

@@ -27,3 +27,17 @@ def test_pages_to_reports(spark, tmp_dir):
     main(["report", tmp_dir + "/store", "estimate", "--out", tmp_dir + "/est"], spark)
     assert spark.read.parquet(tmp_dir + "/est").collect()[0].estimate == expected.count()
     assert spark.read.parquet(tmp_dir + "/week").agg(F.sum("number_of_jobs_posted")).collect()[0][0] == expected.count()
+
+
+def test_sql_over_the_store(spark, tmp_dir):
+    from jobsift.plans.sql import jobs_per_year_sql, screen_sql
+    from jobsift.operators import screen as S
+
+    lst = fixtures.listings(spark, SF_SMALL)
+    st.append_listings(lst, tmp_dir + "/store", "0")
+    main(["sql", tmp_dir + "/store", screen_sql("job_listings"), "--out", tmp_dir + "/screen"], spark)
+    got = spark.read.parquet(tmp_dir + "/screen")
+    assert got.columns == S.screen_listings(lst).columns
+    assert got.count() == S.screen_listings(lst).count()
+    main(["sql", tmp_dir + "/store", jobs_per_year_sql("job_listings"), "--out", tmp_dir + "/years"], spark)
+    assert spark.read.parquet(tmp_dir + "/years").agg(F.sum("number_of_jobs_posted")).collect()[0][0] == lst.count()
