@@ -34,8 +34,12 @@ def _emit(df, out, show):
 
 
 def extract_to_drop(spark, pages_path: str, drop: str, run_time: str) -> None:
-    """Result pages (parquet ``source, page_id, url, html``; a page's ``search`` column,
-    when present, names its result set) -> listing files, one per result set."""
+    """Result pages (parquet ``source, page_id, url, html``) of one run -> listing files.
+
+    Each site's pages form one result set ``<source>_<run time>.csv``; within it
+    the last card seen of a listing wins (D1). Pages of separate searches are
+    extracted as separate runs (their own ``--run-time``), as each search wrote
+    its own file."""
     pages = spark.read.parquet(pages_path)
     found = cards.extract_listing_cards(pages.select("source", "page_id", "url", "html"))
     ts = F.lit(dt.datetime.fromisoformat(run_time).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -115,15 +115,29 @@ def file_name_source(file_name) -> Column:
 
 
 def file_name_time(file_name) -> Column:
+    """The run time in a result-set file name; NULL when the name has none or it is
+    not a valid time (``try_`` parsing: one odd name never fails a whole job)."""
     txt = F.regexp_extract(_col(file_name), FILE_NAME_PATTERN, 2)
-    return F.to_timestamp_ntz(F.nullif(txt, F.lit("")), F.lit("yyyyMMdd_HHmm"))
+    return F.try_to_timestamp(F.nullif(txt, F.lit("")), F.lit("yyyyMMdd_HHmm")).cast("timestamp_ntz")
 
 
 def file_name_of_path(path) -> Column:
-    """Name of the listing file a row was read from.
+    """Name of the listing file a path belongs to.
 
-    A flat file ``<drop>/X.csv`` is named ``X.csv``. A result set Spark wrote
-    as ``<drop>/file_name=X.csv/part-*.csv`` is named ``X.csv`` too.
+    A flat file ``<drop>/X.csv`` is named ``X.csv``. A result set Spark wrote as
+    ``<drop>/file_name=X.csv/part-*`` is named ``X.csv``, and so is a folder
+    ``<drop>/X.csv/part-*`` written by ``df.write.csv``.
     """
-    top = F.regexp_extract(_col(path), r"([^/]+\.csv)(/[^/]+)?$", 1)
-    return F.regexp_replace(top, r"^file_name=", "")
+    p = _col(path)
+    last = F.regexp_extract(p, r"([^/]+)$", 1)
+    parent = F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)
+    return (F.when(parent.startswith("file_name="), F.substring(parent, len("file_name=") + 1, 1 << 20))
+            .when(parent.endswith(".csv") & last.startswith("part-"), parent)
+            .otherwise(last))
+
+
+def metadata_file_path() -> Column:
+    """``_metadata.file_path`` decoded to the plain path (the metadata column is a
+    URI with %-escapes; the file listing of the ``binaryFile`` source is not).
+    A '+' is kept as is."""
+    return F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))

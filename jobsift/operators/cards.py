@@ -169,23 +169,45 @@ def _tag(html: Column, tag: str, attr_re: str) -> Column:
     return F.regexp_extract(html, rf"<{tag}\b[^>]*\b{attr_re}[^>]*>", 0)
 
 
-def next_page(source: Column, html: Column) -> Column:
-    """Number of the next result page, NULL on the last page.
+def _next_anchor(source: Column, html: Column) -> Column:
+    """The opening tag of the next-page link (Indeed: ``Next Page``; BuiltIn / Dice:
+    ``Go to Next Page``); empty when there is none."""
+    return F.when(source == "Indeed", _tag(html, "a", r'aria-label="Next Page"')) \
+        .otherwise(_tag(html, "a", r'aria-label="Go to Next Page"'))
+
+
+def _linkedin_current(html: Column) -> Column:
+    current = _tag(html, "button", r'aria-current="true"')
+    return F.nullif(F.regexp_extract(current, r'aria-label="Page (\d+)"', 1), F.lit("")).cast("int")
+
+
+def has_next_page(source: Column, html: Column) -> Column:
+    """Whether a next result page exists.
 
     LinkedIn: the current page button (``aria-current="true"``) is labelled
-    ``Page N``; the next page is N + 1 when a ``Page N+1`` button exists.
-    Indeed (``Next Page``) and BuiltIn / Dice (``Go to Next Page``): the page
-    number of the next-page link.
+    ``Page N`` and a ``Page N+1`` button exists. Indeed / BuiltIn / Dice: the
+    next-page link exists.
     """
-    current = _tag(html, "button", r'aria-current="true"')
-    n = F.nullif(F.regexp_extract(current, r'aria-label="Page (\d+)"', 1), F.lit("")).cast("int")
-    has_next = F.instr(html, F.concat(F.lit('aria-label="Page '), (n + 1).cast("string"), F.lit('"'))) > 0
-    linkedin = F.when(has_next, n + 1)
-    label = F.when(source == "Indeed", F.lit("Next Page")).otherwise(F.lit("Go to Next Page"))
-    a_indeed = _tag(html, "a", r'aria-label="Next Page"')
-    a_other = _tag(html, "a", r'aria-label="Go to Next Page"')
-    a = F.when(label == "Next Page", a_indeed).otherwise(a_other)
-    other = F.nullif(F.regexp_extract(a, r'href="[^"]*[?&]page=(\d+)', 1), F.lit("")).cast("int")
+    n = _linkedin_current(html)
+    linkedin = F.coalesce(
+        F.instr(html, F.concat(F.lit('aria-label="Page '), (n + 1).cast("string"), F.lit('"'))) > 0, F.lit(False))
+    return F.when(source == "LinkedIn", linkedin).otherwise(F.length(_next_anchor(source, html)) > 0)
+
+
+def next_page_link(source: Column, html: Column) -> Column:
+    """The next-page link's href (entities decoded); NULL on the last page and
+    for LinkedIn, whose pager is buttons."""
+    href = F.regexp_extract(_next_anchor(source, html), r'href="([^"]*)"', 1)
+    return F.when((source != "LinkedIn") & (F.length(href) > 0), F.replace(href, F.lit("&amp;"), F.lit("&")))
+
+
+def next_page(source: Column, html: Column) -> Column:
+    """Number of the next result page, NULL on the last page (or when a site
+    pages by offset and gives no page number). LinkedIn: N + 1; the others: the
+    ``page`` parameter of the next-page link."""
+    n = _linkedin_current(html)
+    linkedin = F.when(has_next_page(source, html), n + 1)
+    other = F.nullif(F.regexp_extract(next_page_link(source, html), r"[?&]page=(\d+)", 1), F.lit("")).cast("int")
     return F.when(source == "LinkedIn", linkedin).otherwise(other)
 
 

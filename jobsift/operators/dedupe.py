@@ -29,7 +29,9 @@ def new_listings(incoming: DataFrame, known: DataFrame, key=KEY,
     small = bounded_broadcast(keys, broadcast_key_limit)
     if small is keys:  # too many incoming keys to broadcast
         return incoming.join(known.select(*key), key, "left_anti")
-    hits = known.select(*key).join(small, key, "left_semi")
+    # distinct: the store may hold a key more than once (nothing enforces it), and
+    # the broadcast must stay bounded by the incoming keys
+    hits = known.select(*key).join(small, key, "left_semi").distinct()
     return incoming.join(F.broadcast(hits), key, "left_anti")
 
 
@@ -55,6 +57,7 @@ def first_file_wins(df: DataFrame, file_time_col: str, file_col: str = "file_nam
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    picked = df.groupBy(*key).agg(
-        F.min_by(F.struct(*rest), F.struct(F.col(file_time_col), F.col(file_col))).alias("_w"))
+    # files without a time sort after every dated file
+    order = F.struct(F.col(file_time_col).isNull(), F.col(file_time_col), F.col(file_col))
+    picked = df.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("_w"))
     return picked.select(*key, *[F.col("_w")[c].alias(c) for c in rest]).select(*df.columns)

@@ -554,11 +554,16 @@ def q_compensation_gate(spark, sf_dir):
 
 
 @register("next_page", with_views("""
-SELECT source, page_id, CASE WHEN is_last THEN NULL ELSE CAST(page_id + 2 AS INTEGER) END AS next_page
+SELECT source, page_id, NOT is_last AS has_next,
+       CASE WHEN is_last THEN NULL ELSE CAST(page_id + 2 AS INTEGER) END AS next_page,
+       CASE WHEN is_last OR source = 'LinkedIn' THEN NULL ELSE '?page=' || CAST(page_id + 2 AS VARCHAR) END
+         AS next_link
 FROM result_pages""", "result_pages"))
 def q_next_page(spark, sf_dir):
     p = fx.result_pages(spark, sf_dir)
-    return p.select("source", "page_id", X.next_page(F.col("source"), F.col("html")).alias("next_page"))
+    src, html = F.col("source"), F.col("html")
+    return p.select("source", "page_id", X.has_next_page(src, html).alias("has_next"),
+                    X.next_page(src, html).alias("next_page"), X.next_page_link(src, html).alias("next_link"))
 
 
 def _decoded(x: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import first_file_wins, new_listings
-from ..operators.quality import (conform_listing, file_quarantine, ingest_outcome, numeric_id_ok,
+from ..operators.quality import (conform_listing, file_flags, file_quarantine, ingest_outcome, numeric_id_ok,
                                  violates_not_null)
 from ..schema import LISTING_COLUMNS
 from ..session import cut_lineage
@@ -45,7 +45,9 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     if checkpoint:
         new = cut_lineage(new)
     stats = ingest_outcome(conformed, new, files)
-    bad_files = stats.filter(F.col("outcome") == "ERROR").select("file_name")
+    # The quarantine comes from the new rows themselves, not from the file list:
+    # a file missing from the listing still has its bad rows caught.
+    bad_files = file_flags(new).filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)
     to_append = first_file_wins(good, "file_time", "file_name").select(*LISTING_COLUMNS, "file_name")
     return to_append, with_loaded_counts(stats, to_append)
@@ -81,9 +83,14 @@ def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outco
     of the batch overwrites that partition and ignores it as 'known')."""
     known = known_keys_or_empty(spark, store, exclude_batch=batch_id)
     to_append, outcomes = plan_batch(rows, known, files)
-    append_listings(to_append.drop("file_name"), store, batch_id)
-    if outcomes_path:
-        write_outcomes(outcomes, outcomes_path, batch_id)
+    # the append and the per-file loaded counts share one computation of the rows
+    to_append.persist()
+    try:
+        append_listings(to_append.drop("file_name"), store, batch_id)
+        if outcomes_path:
+            write_outcomes(outcomes, outcomes_path, batch_id)
+    finally:
+        to_append.unpersist()
 
 
 def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes_path: str | None = None) -> None:

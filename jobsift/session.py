@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # page parsing ships whole HTML pages to Python: keep Arrow batches small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        # checkpoints of a finished batch are removed once nothing refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if input_bytes:
         conf.update(scale_settings(input_bytes, cores or 8))
@@ -41,11 +43,18 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
     return spark
 
 
-def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict:
-    """Settings sized to the input: about ``partition_bytes`` per scan split and
-    per shuffle partition (AQE coalesces small ones and splits skewed ones), and
-    at least two tasks per core."""
-    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 128 << 20,
+                   shuffle_fraction: float = 0.25, max_tasks_per_core: int = 25) -> dict:
+    """Settings sized to the input.
+
+    Scan splits of ``partition_bytes``. Shuffle partitions follow the bytes a
+    shuffle carries (``shuffle_fraction`` of the input after projection, filters
+    and partial aggregation), at least two per core and at most
+    ``max_tasks_per_core`` per core, so the map-output bookkeeping stays
+    bounded; AQE coalesces small ones and splits skewed ones.
+    """
+    wanted = int(input_bytes * shuffle_fraction) // partition_bytes
+    parts = max(2 * cores, min(wanted, max_tasks_per_core * cores))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

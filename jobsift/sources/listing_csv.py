@@ -7,10 +7,11 @@ X.csv``) counts as one listing file, like a flat ``X.csv``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path, result_set_file_name
+from ..functions.text import file_name_of_path, metadata_file_path, result_set_file_name
 from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA, TIME_TEXT_FORMAT
 
 CSV_READ_OPTIONS = {
@@ -47,21 +48,43 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_l
     """
     paths = [path] if isinstance(path, str) else list(path)
     opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
-    df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
+    try:
+        df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
+    except AnalysisException as e:  # a glob that matches no file: no rows
+        if not _no_match(e):
+            raise
+        empty = spark.createDataFrame([], LISTING_TEXT_SCHEMA)
+        if not with_file:
+            return empty
+        return empty.select(*LISTING_COLUMNS, F.lit(None).cast("string").alias("file_name"),
+                            F.lit(None).cast("timestamp").alias("file_time"))
     if not with_file:
         return df
     return df.select(
         *LISTING_COLUMNS,
-        file_name_of_path(F.col("_metadata.file_path")).alias("file_name"),
+        file_name_of_path(metadata_file_path()).alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
+_FILES_SCHEMA = "file_name string, file_time timestamp, n_bytes bigint"
+
+
+def _no_match(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
+
+
 def list_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, file_time, n_bytes)`` of the listing files in ``folder``, from
     the file listing alone (``binaryFile`` with path, time and length selected:
-    no file content is read)."""
-    return (spark.read.format("binaryFile").load(top_level_csv(folder))
+    no file content is read). A folder without listing files gives no rows."""
+    try:
+        listed = spark.read.format("binaryFile").load(top_level_csv(folder))
+    except AnalysisException as e:
+        if _no_match(e):
+            return spark.createDataFrame([], _FILES_SCHEMA)
+        raise
+    return (listed
             .select(file_name_of_path(F.col("path")).alias("file_name"),
                     F.col("modificationTime").alias("mtime"), F.col("length"))
             .groupBy("file_name")
@@ -75,9 +98,9 @@ def discover_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     length selected, so no file content is read for it; header-only files are
     kept with ``n_rows = 0``. Row counts are a grouped count over the CSV read.
     """
-    glob = top_level_csv(folder)
     files = list_listing_files(spark, folder)
-    rows = (read_listings_csv(spark, glob).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")))
+    rows = (read_listings_csv(spark, top_level_csv(folder)).groupBy("file_name")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
     return (files.join(rows, "file_name", "left")
             .select("file_name", "file_time", "n_bytes", F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows")))
 
@@ -97,12 +120,16 @@ def write_result_set_csv(df: DataFrame, folder: str, run_time_col: str | None =
     Each result set (``file_name``, or S6 of source and ``run_time_col``) becomes
     ``folder/file_name=<name>.csv/part-*.csv`` with a header and the 8 columns
     in file order. The rows are rebalanced by file (AQE splits a hot result set
-    over several writers) instead of being forced into one task per file.
+    over several writers) instead of being forced into one task per file. A
+    result set written again replaces its earlier file, as a scraper rewriting
+    a file does.
     """
     if "file_name" not in df.columns:
         df = df.withColumn("file_name", result_set_file_name(F.col("source"), F.col(run_time_col)))
     out = as_listing_text(df).hint("rebalance", "file_name")
-    (out.write.mode("append").partitionBy("file_name").options(**CSV_WRITE_OPTIONS).csv(folder.rstrip("/")))
+    # a result set written again replaces its file (other files in the folder stay)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name")
+     .options(**CSV_WRITE_OPTIONS).csv(folder.rstrip("/")))
 
 
 def write_empty_result_sets(names: DataFrame, folder: str) -> None:
@@ -111,4 +138,5 @@ def write_empty_result_sets(names: DataFrame, folder: str) -> None:
     writer partitioned by file, so each result set's folder holds just a header."""
     header = ",".join(LISTING_COLUMNS)
     (names.select("file_name", F.lit(header).alias("value")).distinct()
-     .write.mode("append").partitionBy("file_name").text(folder.rstrip("/")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name")
+     .text(folder.rstrip("/")))

@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path
+from ..functions.text import file_name_of_path, metadata_file_path
 from ..plans.load import load_batch
 from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA
 from ..sources.listing_csv import CSV_READ_OPTIONS, top_level_csv
@@ -33,7 +33,7 @@ def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: i
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.csv(top_level_csv(drop)).select(
         *LISTING_COLUMNS,
-        file_name_of_path(F.col("_metadata.file_path")).alias("file_name"),
+        file_name_of_path(metadata_file_path()).alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_time"),
     )
 

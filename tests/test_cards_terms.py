@@ -49,11 +49,18 @@ def test_indeed_optional_pay(spark):
 
 
 def test_next_page(spark):
-    df = spark.createDataFrame([("LinkedIn", LINKEDIN), ("BuiltIn", BUILTIN), ("Indeed", INDEED),
-                                ("LinkedIn", '<button aria-current="true" aria-label="Page 4">4</button>')],
-                               "source string, html string")
-    got = [r.n for r in df.select(X.next_page(F.col("source"), F.col("html")).alias("n")).collect()]
-    assert got == [4, 2, None, None]
+    df = spark.createDataFrame([
+        ("LinkedIn", LINKEDIN), ("BuiltIn", BUILTIN), ("Indeed", INDEED),
+        ("LinkedIn", '<button aria-current="true" aria-label="Page 4">4</button>'),
+        ("BuiltIn", '<a aria-label="Go to Next Page" href="/jobs/remote?search=dev&amp;page=3">next</a>'),
+        ("Indeed", '<a href="/jobs?q=dev&amp;start=10" aria-label="Next Page" data-testid="pagination">2</a>')],
+        "source string, html string")
+    src, html = F.col("source"), F.col("html")
+    got = [tuple(r) for r in df.select(X.has_next_page(src, html), X.next_page(src, html),
+                                        X.next_page_link(src, html)).collect()]
+    assert got == [(True, 4, None), (True, 2, "?page=2"),
+                   (False, None, None), (False, None, None),
+                   (True, 3, "/jobs/remote?search=dev&page=3"), (True, None, "/jobs?q=dev&start=10")]
 
 
 def test_search_terms_and_location_rewrite(spark):

@@ -173,3 +173,45 @@ def test_empty_id_quarantines_its_file(spark, tmp_dir):
     res = {r.file_name: (r.n_new, r.n_bad, r.outcome) for r in spark.read.parquet(tmp_dir + "/out").collect()}
     assert res == {"Indeed_20240105_0800.csv": (2, 1, "ERROR"), "BuiltIn_20240105_0800.csv": (1, 0, "LOADED")}
     assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["22"]
+
+
+def test_file_names_with_odd_characters_and_folders(spark, tmp_dir):
+    d = tmp_dir + "/drop.csv"  # a drop folder whose own name ends in .csv
+    _write(d + "/Indeed Jobs_20240101_1200.csv", HEADER + "1,Indeed,Dev,Acme,https://i/1,2024-01-01 12:00:00,Remote,\n")
+    _write(d + "/a+b%c#d_20240101_1200.csv", HEADER + "2,Indeed,QA,Acme,https://i/2,bad,Remote,\n")
+    got = {r.file_name: r.n_rows for r in csvio.discover_listing_files(spark, d).collect()}
+    assert got == {"Indeed Jobs_20240101_1200.csv": 1, "a+b%c#d_20240101_1200.csv": 1}
+    load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/out")
+    res = {r.file_name: r.outcome for r in spark.read.parquet(tmp_dir + "/out").collect()}
+    assert res == {"Indeed Jobs_20240101_1200.csv": "LOADED", "a+b%c#d_20240101_1200.csv": "ERROR"}
+    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["1"]
+
+
+def test_file_name_rules(spark):
+    from jobsift.functions.text import file_name_of_path, file_name_time
+    paths = ["file:/d/X_20240101_0800.csv", "file:/d/file_name=Y_20240101_0800.csv/part-00000-1.c000.csv",
+             "file:/d/Z.csv/part-00001.csv", "file:/d.csv/W_20241399_1200.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [(r.n, r.t) for r in df.select(file_name_of_path(df.p).alias("n"),
+                                          file_name_time(file_name_of_path(df.p)).alias("t")).collect()]
+    assert [n for n, _ in got] == ["X_20240101_0800.csv", "Y_20240101_0800.csv", "Z.csv", "W_20241399_1200.csv"]
+    assert got[3][1] is None and got[2][1] is None and got[0][1] is not None
+
+
+def test_rewriting_a_result_set_replaces_it(spark, tmp_dir):
+    d = _drop(tmp_dir)
+    src = csvio.read_listings_csv(spark, csvio.top_level_csv(d)).drop("file_time")
+    out = tmp_dir + "/out"
+    csvio.write_result_set_csv(src, out)
+    csvio.write_result_set_csv(src.filter("source = 'LinkedIn'"), out)  # the LinkedIn run is written again
+    again = csvio.read_listings_csv(spark, csvio.top_level_csv(out)).drop("file_time")
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, src.collect()), key=str)
+
+
+def test_empty_drop_folder_is_a_no_op(spark, tmp_dir):
+    import os
+    d = tmp_dir + "/empty"
+    os.makedirs(d + "/Processed")
+    assert csvio.discover_listing_files(spark, d).count() == 0
+    assert csvio.read_listings_csv(spark, csvio.top_level_csv(d)).count() == 0
+    load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/out")

@@ -81,3 +81,17 @@ def test_same_listing_in_two_good_files(spark):
     got = {r.file_name: (r.n_new, r.n_loaded, r.outcome) for r in outcomes.collect()}
     assert got == {"Indeed_20240101_0800.csv": (1, 1, "LOADED"), "Indeed_20240101_1200.csv": (1, 0, "NO_NEW"),
                    "Indeed_20240101_1300.csv": (1, 1, "LOADED")}
+
+
+def test_first_file_wins_puts_undated_files_last(spark):
+    t = dt.datetime(2024, 1, 1)
+    f = spark.createDataFrame([("a", "X", "undated", "f2.csv", None), ("a", "X", "dated", "f1.csv", t)],
+                              "listing_id string, source string, title string, file_name string, file_time timestamp")
+    assert [r.title for r in D.first_file_wins(f, "file_time").collect()] == ["dated"]
+
+
+def test_duplicated_store_keys_stay_bounded(spark):
+    inc = spark.createDataFrame([("1", "A"), ("2", "A")], "listing_id string, source string")
+    known = spark.range(5000).selectExpr("'1' AS listing_id", "'A' AS source")  # one key stored 5000 times
+    out = D.new_listings(inc, known)
+    assert [tuple(r) for r in out.collect()] == [("2", "A")]

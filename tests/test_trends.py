@@ -31,5 +31,6 @@ def test_estimated_row_count_reads_no_columns(spark, tmp_dir):
 def test_scale_settings():
     from jobsift.session import scale_settings
     s = scale_settings(100 * 2**40, cores=4000)
-    assert int(s["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 << 20)
+    assert int(s["spark.sql.shuffle.partitions"]) == 25 * 4000  # capped per core
+    assert int(scale_settings(2 * 2**40, cores=1000)["spark.sql.shuffle.partitions"]) == 2 * 2**40 // 4 // (128 << 20)
     assert int(scale_settings(10 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
