@@ -1,41 +1,62 @@
 """The loader as a Structured Streaming query over the drop folder.
 
-The file source remembers (in the checkpoint) which files it has handed
-out, which replaces moving files to ``Processed``; each micro-batch runs the
-load plan in ``foreachBatch`` and records per-file outcomes. Micro-batch ``n`` writes
-``load_batch=stream-<checkpoint hash>-<n>``; a replayed batch overwrites its
-own partition, so the append is exactly-once.
+The stream carries the drop folder's files, not their rows: a ``binaryFile``
+file stream with only the path selected (no content is read). The file source
+remembers in its checkpoint which files it has handed out, which replaces
+moving files to ``Processed``. Each micro-batch reads its listing files whole
+and runs the load plan in ``foreachBatch``, so every file, a header-only one
+included, gets an outcome row, and a result set Spark wrote as several part
+files is loaded as one file.
+
+Micro-batch ``n`` writes ``load_batch=stream-<checkpoint hash>-<n>``; a
+replayed batch overwrites its own partition (and ignores its own earlier
+output as 'known' or 'done'), so the append is exactly-once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path, metadata_file_path
+from ..functions.text import file_name_of_path
 from ..plans.load import load_batch
-from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA
-from ..sources.listing_csv import CSV_READ_OPTIONS, top_level_csv
+from ..sources.listing_csv import read_listings_csv, top_level_csv
+
+
+# The binaryFile source's fixed schema (a stream must be given it explicitly).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: int | None = None,
-                        archive_dir: str | None = None):
-    """The drop folder's listing files as a stream. With ``archive_dir`` the file
-    source moves files it has finished with there (``cleanSource=archive``), the
-    counterpart of moving them to ``Processed``; the outcome table stays the
+                        archive_dir: str | None = None) -> DataFrame:
+    """The drop folder's listing files (``path``) as a stream. With ``archive_dir``
+    the file source moves files it has finished with there (``cleanSource=archive``),
+    the counterpart of moving them to ``Processed``; the outcome table stays the
     record of what happened to each file."""
-    reader = spark.readStream.schema(LISTING_TEXT_SCHEMA).options(**CSV_READ_OPTIONS)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.csv(top_level_csv(drop)).select(
-        *LISTING_COLUMNS,
-        file_name_of_path(metadata_file_path()).alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_time"),
-    )
+    return reader.load(top_level_csv(drop)).select("path")
+
+
+def logical_path(path: Column) -> Column:
+    """The path of the listing file a physical file belongs to: the result-set
+    folder for a part file Spark wrote, else the file itself."""
+    last = F.regexp_extract(path, r"([^/]+)$", 1)
+    parent = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    in_folder = parent.startswith("file_name=") | (parent.endswith(".csv") & last.startswith("part-"))
+    return F.when(in_folder, F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path)
+
+
+def _literal_path(p: str) -> str:
+    """Escape glob characters so a file name is read as it is."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", p)
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -44,6 +65,34 @@ def stream_tag(checkpoint: str) -> str:
     return "stream-" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
 
+def _done_files(spark: SparkSession, outcomes_path: str, exclude_batch: str) -> DataFrame | None:
+    try:
+        done = spark.read.schema("file_name string, load_batch string").parquet(outcomes_path)
+    except AnalysisException:
+        return None  # no outcomes yet
+    return done.filter(F.col("load_batch") != exclude_batch).select("file_name")
+
+
+def load_files(spark: SparkSession, files: DataFrame, store: str, batch_id: str, outcomes_path: str) -> None:
+    """Load the listing files named by ``files(path)`` as one batch.
+
+    Files already recorded in the outcome table by another batch are skipped
+    (the remaining parts of a result set loaded whole earlier). The paths of
+    the batch's files are gathered on the driver to name the read: they are
+    file names (as the file listing itself is), bounded by the batch's files.
+    """
+    named = files.select(file_name_of_path(F.col("path")).alias("file_name"),
+                         logical_path(F.col("path")).alias("lpath")).distinct()
+    done = _done_files(spark, outcomes_path, batch_id)
+    if done is not None:
+        named = named.join(done, "file_name", "left_anti")
+    paths = sorted({r["lpath"] for r in named.select("lpath").collect()})
+    if not paths:
+        return
+    rows = read_listings_csv(spark, [_literal_path(p) for p in paths])
+    load_batch(spark, rows, store, batch_id, outcomes_path, files=named.select("file_name").distinct())
+
+
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
                        processing_time: str = "4 hours", archive_dir: str | None = None):
@@ -57,7 +106,7 @@ def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: s
     tag = stream_tag(checkpoint)
 
     def run_batch(batch_df, batch_id):
-        load_batch(batch_df.sparkSession, batch_df, store, f"{tag}-{batch_id}", outcomes_path)
+        load_files(batch_df.sparkSession, batch_df, store, f"{tag}-{batch_id}", outcomes_path)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -87,6 +87,8 @@ def test_streaming_ingest_is_incremental(spark, tmp_dir):
     ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes", max_files_per_trigger=1)
     first = st.read_listings(spark, root + "/store").count()
     assert first == 2
+    res = {r.file_name: r.outcome for r in spark.read.parquet(root + "/outcomes").collect()}
+    assert res["Dice_20240101_0800.csv"] == "EMPTY" and res["Indeed_20240101_0800.csv"] == "ERROR"
     # a new file arrives; a rerun picks up only it
     _write(d + "/Indeed_20240102_0800.csv", HEADER + "9,Indeed,QA,Acme,https://i/9,2024-01-02 08:00:00,Remote,\n"
            + "8,Indeed,Dev,Acme,https://i/8,2024-01-01 08:00:00,Remote,\n")
@@ -215,3 +217,22 @@ def test_empty_drop_folder_is_a_no_op(spark, tmp_dir):
     assert csvio.discover_listing_files(spark, d).count() == 0
     assert csvio.read_listings_csv(spark, csvio.top_level_csv(d)).count() == 0
     load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/out")
+
+
+def test_stream_loads_a_multi_part_result_set_whole(spark, tmp_dir):
+    d = tmp_dir + "/drop"
+    rs = d + "/file_name=Indeed_20240101_0800.csv"
+    _write(rs + "/part-00000-a.csv", HEADER + "1,Indeed,Dev,Acme,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    _write(rs + "/part-00001-a.csv", HEADER + "2,Indeed,,Acme,https://i/2,2024-01-01 08:00:00,Remote,\n")
+    root = tmp_dir + "/s"
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes", max_files_per_trigger=1)
+    # the NULL title in the second part quarantines the whole result set, first part included
+    res = [(r.file_name, r.n_rows, r.outcome) for r in spark.read.parquet(root + "/outcomes").collect()]
+    assert res == [("Indeed_20240101_0800.csv", 2, "ERROR")]
+    import pytest
+    from pyspark.errors import AnalysisException
+    try:
+        n = st.read_listings(spark, root + "/store").count()
+    except AnalysisException:
+        n = 0
+    assert n == 0
