@@ -18,8 +18,11 @@ def conform_listing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     rather than failing the whole job.
     """
     ts = F.col("time_when_scraped")
-    if dict(df.dtypes)["time_when_scraped"] == "string":
+    kind = dict(df.dtypes)["time_when_scraped"]
+    if kind == "string":
         ts = ts.try_cast("timestamp_ntz")
+    elif kind != "timestamp_ntz":  # a zoned timestamp or a date: its wall-clock time
+        ts = ts.cast("timestamp_ntz")
     cols = [ts.alias(c) if c == "time_when_scraped" else F.col(c) for c in LISTING_COLUMNS]
     return df.select(*cols, *(keep or []))
 

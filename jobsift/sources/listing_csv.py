@@ -126,6 +126,8 @@ def write_result_set_csv(df: DataFrame, folder: str, run_time_col: str | None =
     """
     if "file_name" not in df.columns:
         df = df.withColumn("file_name", result_set_file_name(F.col("source"), F.col(run_time_col)))
+    if run_time_col and run_time_col in df.columns:
+        df = df.drop(run_time_col)
     out = as_listing_text(df).hint("rebalance", "file_name")
     # a result set written again replaces its file (other files in the folder stay)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name")

@@ -66,6 +66,8 @@ def terms_values_sql(path: str | None = None) -> str:
         doc = json.loads(default_terms_document())
     rows = []
     for key, arr in doc.items():
+        if not key.endswith(SUFFIX):
+            continue
         site = key[: -len(SUFFIX)]
         for i, t in enumerate(arr):
             kw = t["keyword"].replace("'", "''")

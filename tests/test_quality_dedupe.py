@@ -95,3 +95,11 @@ def test_duplicated_store_keys_stay_bounded(spark):
     known = spark.range(5000).selectExpr("'1' AS listing_id", "'A' AS source")  # one key stored 5000 times
     out = D.new_listings(inc, known)
     assert [tuple(r) for r in out.collect()] == [("2", "A")]
+
+
+def test_conform_takes_wall_clock_of_zoned_times(spark):
+    df = spark.createDataFrame([("1", "X", "t", "c", "l", dt.datetime(2024, 1, 1, 10), None, None)],
+                               TEXT.replace("time_when_scraped string", "time_when_scraped timestamp"))
+    c = Q.conform_listing(df)
+    assert c.schema["time_when_scraped"].dataType.typeName() == "timestamp_ntz"
+    assert c.collect()[0].time_when_scraped == dt.datetime(2024, 1, 1, 10)
