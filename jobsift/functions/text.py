@@ -128,14 +128,22 @@ def file_name_of_path(path) -> Column:
     ``<drop>/file_name=X.csv/part-*`` is named ``X.csv``, and so is a folder
     ``<drop>/X.csv/part-*`` written by ``df.write.csv``.
     """
-    p = _col(path)
-    last = F.regexp_extract(p, r"([^/]+)$", 1)
-    parent = F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)
+    last, parent = path_last(path), path_parent(path)
     return (F.when(parent.startswith("file_name="), F.substring(parent, len("file_name=") + 1, 1 << 20))
             .when(parent.endswith(".csv") & last.startswith("part-"), parent)
             .otherwise(last))
 
 
+def path_last(path) -> Column:
+    """Last component of a path (string functions, no regex: evaluated per row)."""
+    return F.substring_index(_col(path), "/", -1)
+
+
+def path_parent(path) -> Column:
+    """Second-to-last component of a path."""
+    return F.substring_index(F.substring_index(_col(path), "/", -2), "/", 1)
+
+
 def metadata_file_path() -> Column:
     """``_metadata.file_path`` decoded to the plain path (the metadata column is a
     URI with %-escapes; the file listing of the ``binaryFile`` source is not).

@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path
+from ..functions.text import file_name_of_path, path_last, path_parent
 from ..plans.load import load_batch
 from ..sources.listing_csv import read_listings_csv, top_level_csv
 
@@ -48,8 +48,7 @@ def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: i
 def logical_path(path: Column) -> Column:
     """The path of the listing file a physical file belongs to: the result-set
     folder for a part file Spark wrote, else the file itself."""
-    last = F.regexp_extract(path, r"([^/]+)$", 1)
-    parent = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    last, parent = path_last(path), path_parent(path)
     in_folder = parent.startswith("file_name=") | (parent.endswith(".csv") & last.startswith("part-"))
     return F.when(in_folder, F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path)
 
