@@ -115,10 +115,31 @@ def file_name_source(file_name) -> Column:
 
 
 def file_name_time(file_name) -> Column:
-    """The run time in a result-set file name; NULL when the name has none or it is
-    not a valid time (``try_`` parsing: one odd name never fails a whole job)."""
+    """The run time in a result-set file name, as wall-clock time (no time zone is
+    involved, so no daylight-saving shift); NULL when the name has none or it is
+    not a valid time (``try_`` functions: one odd name never fails a whole job)."""
     txt = F.regexp_extract(_col(file_name), FILE_NAME_PATTERN, 2)
-    return F.try_to_timestamp(F.nullif(txt, F.lit("")), F.lit("yyyyMMdd_HHmm")).cast("timestamp_ntz")
+    part = lambda a, b: F.substring(txt, a, b).cast("int")
+    return F.when(F.length(txt) == 13, F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(10, 2),
+                                                                  part(12, 2), F.lit(0)))
+
+
+def _unescape(c: Column) -> Column:
+    """Undo %XX escaping (of a URI, or of a partition value); a '+' stays a '+'."""
+    return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def in_result_set_folder(path) -> Column:
+    """Whether a path is a part file of a result set Spark wrote as a folder
+    (``file_name=X.csv/part-*`` or ``X.csv/part-*``)."""
+    last, parent = path_last(path), path_parent(path)
+    return parent.startswith("file_name=") | (parent.endswith(".csv") & last.startswith("part-"))
+
+
+def path_dir(path) -> Column:
+    """The path without its last component."""
+    p = _col(path)
+    return F.substring(p, F.lit(1), F.length(p) - F.length(path_last(p)) - 1)
 
 
 def file_name_of_path(path) -> Column:
@@ -129,7 +150,8 @@ def file_name_of_path(path) -> Column:
     ``<drop>/X.csv/part-*`` written by ``df.write.csv``.
     """
     last, parent = path_last(path), path_parent(path)
-    return (F.when(parent.startswith("file_name="), F.substring(parent, len("file_name=") + 1, 1 << 20))
+    # a partition value is %XX-escaped on disk (e.g. '#' is '%23')
+    return (F.when(parent.startswith("file_name="), _unescape(F.substring(parent, len("file_name=") + 1, 1 << 20)))
             .when(parent.endswith(".csv") & last.startswith("part-"), parent)
             .otherwise(last))
 
@@ -148,4 +170,4 @@ def metadata_file_path() -> Column:
     """``_metadata.file_path`` decoded to the plain path (the metadata column is a
     URI with %-escapes; the file listing of the ``binaryFile`` source is not).
     A '+' is kept as is."""
-    return F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _unescape(F.col("_metadata.file_path"))

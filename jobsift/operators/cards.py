@@ -176,39 +176,62 @@ def _next_anchor(source: Column, html: Column) -> Column:
         .otherwise(_tag(html, "a", r'aria-label="Go to Next Page"'))
 
 
-def _linkedin_current(html: Column) -> Column:
-    current = _tag(html, "button", r'aria-current="true"')
-    return F.nullif(F.regexp_extract(current, r'aria-label="Page (\d+)"', 1), F.lit("")).cast("int")
+def _page_number(digits: Column) -> Column:
+    """Digits -> int; NULL when absent or out of range (never fails the job)."""
+    return F.nullif(digits, F.lit("")).try_cast("int")
 
 
-def has_next_page(source: Column, html: Column) -> Column:
-    """Whether a next result page exists.
+def _unescape_amp(href: Column) -> Column:
+    for ent in ("&amp;", "&#38;", "&#x26;", "&#X26;"):
+        href = F.replace(href, F.lit(ent), F.lit("&"))
+    return href
+
+
+def pager(source: Column, html: Column) -> Column:
+    """X7 as one struct ``(has_next, next_page, next_link)``; each tag of the pager
+    is found once per page.
 
     LinkedIn: the current page button (``aria-current="true"``) is labelled
-    ``Page N`` and a ``Page N+1`` button exists. Indeed / BuiltIn / Dice: the
-    next-page link exists.
+    ``Page N``; a next page exists when a ``Page N+1`` button does, and is
+    N + 1. Indeed (``Next Page``) and BuiltIn / Dice (``Go to Next Page``): the
+    next-page link exists; its href (``&`` entities decoded) is the link and
+    its ``page`` parameter the number (NULL when the site pages by offset).
     """
-    n = _linkedin_current(html)
-    linkedin = F.coalesce(
-        F.instr(html, F.concat(F.lit('aria-label="Page '), (n + 1).cast("string"), F.lit('"'))) > 0, F.lit(False))
-    return F.when(source == "LinkedIn", linkedin).otherwise(F.length(_next_anchor(source, html)) > 0)
+    current = _tag(html, "button", r'aria-current="true"')
+    n = _page_number(F.regexp_extract(current, r'aria-label="Page (\d+)"', 1))
+    n_next = F.try_add(n, F.lit(1))
+    li_has = F.coalesce(F.instr(html, F.concat(F.lit('aria-label="Page '), n_next.cast("string"), F.lit('"'))) > 0,
+                        F.lit(False))
+    anchor = _next_anchor(source, html)
+    href = F.regexp_extract(anchor, r'href="([^"]*)"', 1)
+    link = F.when(F.length(href) > 0, _unescape_amp(href))
+    other_n = _page_number(F.regexp_extract(link, r"[?&]page=(\d+)", 1))
+    is_li = source == "LinkedIn"
+    return F.struct(
+        F.when(is_li, li_has).otherwise(F.length(anchor) > 0).alias("has_next"),
+        F.when(is_li, F.when(li_has, n_next)).otherwise(other_n).alias("next_page"),
+        F.when(~is_li, link).alias("next_link"))
+
+
+def with_pager(df: DataFrame, source: str = "source", html: str = "html") -> DataFrame:
+    """Add ``has_next``, ``next_page``, ``next_link`` (X7) to a pages frame."""
+    return (df.withColumn("_pager", pager(F.col(source), F.col(html)))
+            .select("*", "_pager.has_next", "_pager.next_page", "_pager.next_link").drop("_pager"))
+
+
+def has_next_page(source: Column, html: Column) -> Column:
+    """Whether a next result page exists."""
+    return pager(source, html)["has_next"]
 
 
 def next_page_link(source: Column, html: Column) -> Column:
-    """The next-page link's href (entities decoded); NULL on the last page and
-    for LinkedIn, whose pager is buttons."""
-    href = F.regexp_extract(_next_anchor(source, html), r'href="([^"]*)"', 1)
-    return F.when((source != "LinkedIn") & (F.length(href) > 0), F.replace(href, F.lit("&amp;"), F.lit("&")))
+    """The next-page link's href; NULL on the last page and for LinkedIn (buttons)."""
+    return pager(source, html)["next_link"]
 
 
 def next_page(source: Column, html: Column) -> Column:
-    """Number of the next result page, NULL on the last page (or when a site
-    pages by offset and gives no page number). LinkedIn: N + 1; the others: the
-    ``page`` parameter of the next-page link."""
-    n = _linkedin_current(html)
-    linkedin = F.when(has_next_page(source, html), n + 1)
-    other = F.nullif(F.regexp_extract(next_page_link(source, html), r"[?&]page=(\d+)", 1), F.lit("")).cast("int")
-    return F.when(source == "LinkedIn", linkedin).otherwise(other)
+    """Number of the next result page, NULL on the last page."""
+    return pager(source, html)["next_page"]
 
 
 # --- generic rules on any web page ---------------------------------------------

@@ -559,10 +559,8 @@ SELECT source, page_id, NOT is_last AS has_next,
          AS next_link
 FROM result_pages""", "result_pages"))
 def q_next_page(spark, sf_dir):
-    p = fx.result_pages(spark, sf_dir)
-    src, html = F.col("source"), F.col("html")
-    return p.select("source", "page_id", X.has_next_page(src, html).alias("has_next"),
-                    X.next_page(src, html).alias("next_page"), X.next_page_link(src, html).alias("next_link"))
+    return X.with_pager(fx.result_pages(spark, sf_dir)).select("source", "page_id", "has_next", "next_page",
+                                                               "next_link")
 
 
 def _decoded(x: str) -> str:

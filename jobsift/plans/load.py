@@ -20,7 +20,11 @@ from ..operators.dedupe import first_file_wins, new_listings
 from ..operators.quality import (conform_listing, file_flags, file_quarantine, ingest_outcome, numeric_id_ok,
                                  violates_not_null)
 from ..schema import LISTING_COLUMNS
+from ..operators.joins import bounded_broadcast
 from ..session import cut_lineage
+
+# A batch's file list (one row per file) is broadcast up to this many files.
+FILE_LIST_BROADCAST_LIMIT = 100_000
 from ..sources.listing_csv import list_listing_files, read_listings_csv, top_level_csv
 from ..sources.store import append_listings, read_known_keys
 
@@ -36,6 +40,10 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     and the append (the store is probed once). Both cut the lineage: a lost
     executor does not send the batch back to the files and the store.
     """
+    if files is not None and "file_time" in files.columns:
+        # one time per file (the listing's, over all its parts) orders the files
+        times = bounded_broadcast(files.select("file_name", "file_time").distinct(), FILE_LIST_BROADCAST_LIMIT)
+        rows = rows.drop("file_time").join(times, "file_name", "left")
     if "file_time" not in rows.columns:
         rows = rows.withColumn("file_time", F.lit(None).cast("timestamp"))
     conformed = conform_listing(rows, keep=["file_name", "file_time"])
@@ -83,18 +91,20 @@ def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outco
     of the batch overwrites that partition and ignores it as 'known')."""
     known = known_keys_or_empty(spark, store, exclude_batch=batch_id)
     to_append, outcomes = plan_batch(rows, known, files)
+    if not outcomes_path:
+        append_listings(to_append.drop("file_name"), store, batch_id)
+        return
     # the append and the per-file loaded counts share one computation of the rows
     to_append.persist()
     try:
         append_listings(to_append.drop("file_name"), store, batch_id)
-        if outcomes_path:
-            write_outcomes(outcomes, outcomes_path, batch_id)
+        write_outcomes(outcomes, outcomes_path, batch_id)
     finally:
         to_append.unpersist()
 
 
 def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes_path: str | None = None) -> None:
     """Bulk load of every listing file in ``folder`` (header-only files reported as EMPTY)."""
-    files = list_listing_files(spark, folder).select("file_name")
-    rows = read_listings_csv(spark, top_level_csv(folder))
+    files = list_listing_files(spark, folder).select("file_name", "file_time")
+    rows = read_listings_csv(spark, top_level_csv(folder), empty_if_no_match=True)
     load_batch(spark, rows, store, batch_id, outcomes_path, files)

@@ -37,7 +37,8 @@ def top_level_csv(folder: str) -> str:
     return f"{folder.rstrip('/')}/*.csv"
 
 
-def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_line: bool = True) -> DataFrame:
+def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_line: bool = True,
+                      empty_if_no_match: bool = False) -> DataFrame:
     """Listing files as 8 text columns (+ ``file_name``, ``file_time``).
 
     No schema inference: every column is a string, as the files are text. A
@@ -45,13 +46,17 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_l
     number of files (result sets Spark writes are split into several part
     files). Files known to hold no line break inside a value can be read with
     ``multi_line=False``, which makes each file splittable.
+
+    A path that does not exist is an error; with ``empty_if_no_match`` a glob
+    that matches no file gives no rows (Spark cannot tell a missing folder from
+    an empty one through a glob, so both read as empty then).
     """
     paths = [path] if isinstance(path, str) else list(path)
     opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
     try:
         df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
-    except AnalysisException as e:  # a glob that matches no file: no rows
-        if not _no_match(e):
+    except AnalysisException as e:
+        if not (empty_if_no_match and _no_match(e)):
             raise
         empty = spark.createDataFrame([], LISTING_TEXT_SCHEMA)
         if not with_file:
@@ -77,7 +82,9 @@ def _no_match(e: AnalysisException) -> bool:
 def list_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, file_time, n_bytes)`` of the listing files in ``folder``, from
     the file listing alone (``binaryFile`` with path, time and length selected:
-    no file content is read). A folder without listing files gives no rows."""
+    no file content is read). A folder without listing files gives no rows (as
+    does a missing folder: through a glob Spark cannot tell them apart).
+    ``file_time`` is the earliest modification time of the file's parts."""
     try:
         listed = spark.read.format("binaryFile").load(top_level_csv(folder))
     except AnalysisException as e:
@@ -99,7 +106,7 @@ def discover_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     kept with ``n_rows = 0``. Row counts are a grouped count over the CSV read.
     """
     files = list_listing_files(spark, folder)
-    rows = (read_listings_csv(spark, top_level_csv(folder)).groupBy("file_name")
+    rows = (read_listings_csv(spark, top_level_csv(folder), empty_if_no_match=True).groupBy("file_name")
             .agg(F.count(F.lit(1)).alias("n_rows")))
     return (files.join(rows, "file_name", "left")
             .select("file_name", "file_time", "n_bytes", F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows")))
@@ -126,8 +133,6 @@ def write_result_set_csv(df: DataFrame, folder: str, run_time_col: str | None =
     """
     if "file_name" not in df.columns:
         df = df.withColumn("file_name", result_set_file_name(F.col("source"), F.col(run_time_col)))
-    if run_time_col and run_time_col in df.columns:
-        df = df.drop(run_time_col)
     out = as_listing_text(df).hint("rebalance", "file_name")
     # a result set written again replaces its file (other files in the folder stay)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name")

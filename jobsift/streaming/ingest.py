@@ -8,9 +8,10 @@ and runs the load plan in ``foreachBatch``, so every file, a header-only one
 included, gets an outcome row, and a result set Spark wrote as several part
 files is loaded as one file.
 
-Micro-batch ``n`` writes ``load_batch=stream-<checkpoint hash>-<n>``; a
-replayed batch overwrites its own partition (and ignores its own earlier
-output as 'known' or 'done'), so the append is exactly-once.
+Micro-batch ``n`` writes ``load_batch=stream-<checkpoint hash>-<n>`` (store,
+outcomes, and a log of the physical files it read); a replayed batch
+overwrites its own partitions and ignores its own earlier output as 'known'
+or 'read', so the append is exactly-once.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path, path_last, path_parent
+from ..functions.text import file_name_of_path, in_result_set_folder, path_dir
 from ..plans.load import load_batch
 from ..sources.listing_csv import read_listings_csv, top_level_csv
 
@@ -48,9 +49,7 @@ def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: i
 def logical_path(path: Column) -> Column:
     """The path of the listing file a physical file belongs to: the result-set
     folder for a part file Spark wrote, else the file itself."""
-    last, parent = path_last(path), path_parent(path)
-    in_folder = parent.startswith("file_name=") | (parent.endswith(".csv") & last.startswith("part-"))
-    return F.when(in_folder, F.regexp_replace(path, r"/[^/]+$", "")).otherwise(path)
+    return F.when(in_result_set_folder(path), path_dir(path)).otherwise(path)
 
 
 def _literal_path(p: str) -> str:
@@ -64,32 +63,57 @@ def stream_tag(checkpoint: str) -> str:
     return "stream-" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
 
-def _done_files(spark: SparkSession, outcomes_path: str, exclude_batch: str) -> DataFrame | None:
+def read_log_path(outcomes_path: str) -> str:
+    """Where the stream records which physical files each batch read."""
+    return outcomes_path.rstrip("/") + "_files_read"
+
+
+def _read_by_others(spark: SparkSession, log_path: str, batch_id: str) -> DataFrame | None:
+    try:
+        log = spark.read.schema("path string, load_batch string").parquet(log_path)
+    except AnalysisException:
+        return None  # nothing read yet
+    return log.filter(F.col("load_batch") != batch_id).select("path")
+
+
+def _current_parts(spark: SparkSession, drop: str) -> DataFrame:
+    """Every physical file of the drop folder's listing files now (metadata only)."""
     try:
-        done = spark.read.schema("file_name string, load_batch string").parquet(outcomes_path)
+        listed = spark.read.format("binaryFile").load(top_level_csv(drop))
     except AnalysisException:
-        return None  # no outcomes yet
-    return done.filter(F.col("load_batch") != exclude_batch).select("file_name")
+        return spark.createDataFrame([], "path string, modificationTime timestamp")
+    return listed.select("path", "modificationTime")
 
 
-def load_files(spark: SparkSession, files: DataFrame, store: str, batch_id: str, outcomes_path: str) -> None:
-    """Load the listing files named by ``files(path)`` as one batch.
+def load_files(spark: SparkSession, files: DataFrame, drop: str, store: str, batch_id: str,
+               outcomes_path: str) -> None:
+    """Load the listing files the physical files ``files(path)`` belong to, each whole.
 
-    Files already recorded in the outcome table by another batch are skipped
-    (the remaining parts of a result set loaded whole earlier). The paths of
-    the batch's files are gathered on the driver to name the read: they are
-    file names (as the file listing itself is), bounded by the batch's files.
+    A physical file another batch already read is skipped (the other parts of a
+    result set loaded whole earlier); a file with any part not read yet is read
+    again whole (rewritten result sets, late parts; rows already stored are
+    'known'). Files that vanished since they were listed are left out. The
+    logical paths to read are gathered on the driver to name the read: file
+    names of this batch, as the file listing itself is.
     """
-    named = files.select(file_name_of_path(F.col("path")).alias("file_name"),
-                         logical_path(F.col("path")).alias("lpath")).distinct()
-    done = _done_files(spark, outcomes_path, batch_id)
-    if done is not None:
-        named = named.join(done, "file_name", "left_anti")
-    paths = sorted({r["lpath"] for r in named.select("lpath").collect()})
-    if not paths:
+    new = files.select("path").distinct()
+    seen = _read_by_others(spark, read_log_path(outcomes_path), batch_id)
+    if seen is not None:
+        new = new.join(seen, "path", "left_anti")
+    wanted = new.select(logical_path(F.col("path")).alias("lpath")).distinct()
+    parts = (_current_parts(spark, drop).withColumn("lpath", logical_path(F.col("path")))
+             .join(wanted, "lpath", "left_semi"))
+    lpaths = sorted({r["lpath"] for r in parts.select("lpath").distinct().collect()})
+    if not lpaths:
         return
-    rows = read_listings_csv(spark, [_literal_path(p) for p in paths])
-    load_batch(spark, rows, store, batch_id, outcomes_path, files=named.select("file_name").distinct())
+    parts = parts.filter(F.col("lpath").isin(lpaths))
+    listing = (parts.groupBy(file_name_of_path(F.col("path")).alias("file_name"))
+               .agg(F.min("modificationTime").alias("file_time")))
+    rows = read_listings_csv(spark, [_literal_path(p) for p in lpaths])
+    load_batch(spark, rows, store, batch_id, outcomes_path, files=listing)
+    (parts.select("path", F.lit(batch_id).alias("load_batch"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch")
+     .parquet(read_log_path(outcomes_path)))
 
 
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,
@@ -105,7 +129,7 @@ def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: s
     tag = stream_tag(checkpoint)
 
     def run_batch(batch_df, batch_id):
-        load_files(batch_df.sparkSession, batch_df, store, f"{tag}-{batch_id}", outcomes_path)
+        load_files(batch_df.sparkSession, batch_df, drop, store, f"{tag}-{batch_id}", outcomes_path)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -58,6 +58,11 @@ def test_next_page(spark):
     src, html = F.col("source"), F.col("html")
     got = [tuple(r) for r in df.select(X.has_next_page(src, html), X.next_page(src, html),
                                         X.next_page_link(src, html)).collect()]
+    odd = spark.createDataFrame([("BuiltIn", '<a aria-label="Go to Next Page" href="?q=a&#38;page=99999999999">x</a>'),
+                                 ("LinkedIn", '<button aria-current="true" aria-label="Page 2147483647">x</button>')],
+                                "source string, html string")
+    assert [tuple(r) for r in X.with_pager(odd).select("has_next", "next_page", "next_link").collect()] == \
+        [(True, None, "?q=a&page=99999999999"), (False, None, None)]
     assert got == [(True, 4, None), (True, 2, "?page=2"),
                    (False, None, None), (False, None, None),
                    (True, 3, "/jobs/remote?search=dev&page=3"), (True, None, "/jobs?q=dev&start=10")]

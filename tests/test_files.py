@@ -215,8 +215,12 @@ def test_empty_drop_folder_is_a_no_op(spark, tmp_dir):
     d = tmp_dir + "/empty"
     os.makedirs(d + "/Processed")
     assert csvio.discover_listing_files(spark, d).count() == 0
-    assert csvio.read_listings_csv(spark, csvio.top_level_csv(d)).count() == 0
+    assert csvio.read_listings_csv(spark, csvio.top_level_csv(d), empty_if_no_match=True).count() == 0
     load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/out")
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):  # a named file that is gone is an error, not 'no rows'
+        csvio.read_listings_csv(spark, [d + "/Gone_20240101_0800.csv"])
 
 
 def test_stream_loads_a_multi_part_result_set_whole(spark, tmp_dir):
@@ -236,3 +240,19 @@ def test_stream_loads_a_multi_part_result_set_whole(spark, tmp_dir):
     except AnalysisException:
         n = 0
     assert n == 0
+
+
+def test_stream_reloads_a_rewritten_result_set(spark, tmp_dir):
+    src = spark.createDataFrame([("1", "Indeed", "Dev", "Acme", "https://i/1", "2024-01-01 08:00:00", "Remote", None,
+                                  "Indeed_20240101_0800.csv")],
+                                ", ".join(f"{c} string" for c in LISTING_COLUMNS) + ", file_name string")
+    d, root = tmp_dir + "/drop", tmp_dir + "/s"
+    csvio.write_result_set_csv(src, d)
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    # the same result set is scraped again (same name) with one more listing
+    more = src.union(src.selectExpr("'2' AS listing_id", *[c for c in src.columns if c != "listing_id"]))
+    csvio.write_result_set_csv(more, d)
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    assert sorted(r.listing_id for r in st.read_listings(spark, root + "/store").collect()) == ["1", "2"]
+    outcomes = sorted((r.load_batch, r.outcome) for r in spark.read.parquet(root + "/outcomes").collect())
+    assert [o for _, o in outcomes] == ["LOADED", "LOADED"]
