@@ -43,8 +43,9 @@ def extract_to_drop(spark, pages_path: str, drop: str, run_time: str) -> None:
     pages = spark.read.parquet(pages_path)
     found = cards.extract_listing_cards(pages.select("source", "page_id", "url", "html"))
     ts = F.lit(dt.datetime.fromisoformat(run_time).isoformat(sep=" ")).cast("timestamp_ntz")
+    # cards in the order seen: page, then position on the page
     rows = found.withColumn("time_when_scraped", ts).withColumn("run_time", ts).withColumn(
-        "seq", F.col("page_id") * 1000 + F.col("card_no"))
+        "seq", F.struct("page_id", "card_no"))
     latest = dedupe.latest_per_listing(rows.drop("page_id", "card_no"))
     listing_csv.write_result_set_csv(
         latest.withColumn("file_name", result_set_file_name(F.col("source"), F.col("run_time")))
@@ -75,6 +76,8 @@ def main(argv=None, spark=None):
     ap.add_argument("--input-bytes", type=int, help="data volume, to size splits and shuffle partitions")
     ap.add_argument("--cores", type=int, help="total executor cores of the cluster")
     a = ap.parse_args(argv)
+    if a.input_bytes and not a.cores:
+        ap.error("--input-bytes needs --cores (the cluster's total executor cores)")
     spark = spark or build_session(input_bytes=a.input_bytes, cores=a.cores)
 
     if a.cmd == "load":

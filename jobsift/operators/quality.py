@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import non_numeric
 from ..schema import KEY, LISTING_COLUMNS, REQUIRED_COLUMNS
 
-OUTCOMES = ("EMPTY", "NO_NEW", "ERROR", "LOADED")
-
 
 def conform_listing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The 8 columns in file order, text time cast to TIMESTAMP_NTZ.
@@ -89,17 +87,21 @@ def outcome(n_rows: Column, n_new: Column, n_bad: Column) -> Column:
 
 
 def ingest_outcome(rows: DataFrame, new_rows: DataFrame, files: DataFrame | None = None,
-                   file_col: str = "file_name") -> DataFrame:
+                   file_col: str = "file_name", flags: DataFrame | None = None) -> DataFrame:
     """Per file ``EMPTY`` / ``NO_NEW`` / ``ERROR`` / ``LOADED`` with its counts.
 
     ``rows`` are all rows read, ``new_rows`` those left after P2 and J1 (with
     ``null_bad``). ``files`` lists every file (header-only ones included);
-    without it only files holding rows are reported. All inputs are reduced to
-    one row per file before they meet.
+    files holding rows are reported in any case. ``flags`` may pass
+    ``file_flags(new_rows)`` already computed. All inputs are reduced to one
+    row per file before they meet.
     """
     counts = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_rows"))
-    stats = file_flags(new_rows, file_col)
-    base = files.select(file_col).distinct() if files is not None else counts.select(file_col)
+    stats = flags if flags is not None else file_flags(new_rows, file_col)
+    # every listed file, and every file that has rows even if the listing missed it
+    base = counts.select(file_col)
+    if files is not None:
+        base = files.select(file_col).union(base).distinct()
     zero = F.lit(0).cast("bigint")
     return (base.join(counts, file_col, "left").join(stats, file_col, "left")
             .select(file_col,

@@ -99,6 +99,10 @@ def recency_filter(df: DataFrame, as_of, ts_col: str = "time_when_scraped", hour
     """
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
+    elif isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
+        as_of = _dt.datetime.combine(as_of, _dt.time())
+    if as_of.tzinfo is not None:
+        raise ValueError("as_of must be a wall-clock time (no zone), like the timestamps it is compared with")
     lo = as_of - _dt.timedelta(hours=hours)
 
     def wall_clock(t):  # a TIMESTAMP_NTZ literal from text: no time zone is involved

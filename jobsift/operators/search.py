@@ -31,11 +31,13 @@ def search_term_match(listings: DataFrame, terms: DataFrame, keep=()) -> DataFra
         F.split(F.lower(F.trim("keyword")), r"\s+").alias("_tokens"),
     )
     t = bounded_broadcast(t, TERM_BROADCAST_LIMIT)
-    lt = F.lower(F.col("title"))
+    # per-listing values once, before the join (not per listing-term pair)
+    lst = listings.select("listing_id", "source", *keep, F.lower(F.col("title")).alias("_title"),
+                          work_mode(F.col("location")).alias("_mode"))
     cond = (
         (F.col("source") == F.col("t_source"))
-        & F.forall("_tokens", lambda tok: F.instr(lt, tok) > 0)
-        & work_mode_allowed(F.col("source"), F.col("search_location"), work_mode(F.col("location")))
+        & F.forall("_tokens", lambda tok: F.instr(F.col("_title"), tok) > 0)
+        & work_mode_allowed(F.col("source"), F.col("search_location"), F.col("_mode"))
     )
-    return listings.join(t, cond).select("listing_id", "source", "term_idx", "keyword", "search_location",
-                                         "query_location", *keep)
+    return lst.join(t, cond).select("listing_id", "source", "term_idx", "keyword", "search_location",
+                                    "query_location", *keep)

@@ -25,7 +25,7 @@ from ..operators import relations as R
 from ..operators import screen as S
 from ..operators import search as J
 from ..operators import trends as A
-from ..schema import KEY, LISTING_COLUMNS, SCREEN_COLUMNS
+from ..schema import KEY, LISTING_COLUMNS, REQUIRED_COLUMNS, SCREEN_COLUMNS
 from ..session import scratch_path
 from ..sources import listing_csv as csvio
 from ..sources import store as st
@@ -168,7 +168,8 @@ def q_jobs_per_year(spark, sf_dir):
 def _sql_twin(name: str, statement):
     @register(f"{name}_sql", ORACLE[name])
     def q(spark, sf_dir):
-        return Q_SQL.run(spark, _listings(spark, sf_dir), statement)
+        # one view name per query: a repeated call replaces its view instead of adding one
+        return Q_SQL.run(spark, _listings(spark, sf_dir), statement, view=f"jobsift_{name}_listings")
     q.__name__ = f"q_{name}_sql"
     return q
 
@@ -206,12 +207,14 @@ def q_numeric_listing_id(spark, sf_dir):
 
 
 def _not_null_sql() -> str:
-    parts = []
-    for c in ("listing_id", "link", "title", "company", "time_when_scraped", "source"):
-        parts.append(f"SELECT listing_id, source, '{c}' AS column_name FROM conformed WHERE {c} IS NULL")
+    parts = [f"SELECT listing_id, source, '{c}' AS column_name FROM conformed WHERE {c} IS NULL"
+             for c in REQUIRED_COLUMNS]
     return "\nUNION ALL\n".join(parts)
 
 
+_NULL_BAD_SQL = " OR ".join(f"{c} IS NULL" for c in REQUIRED_COLUMNS)
+
+
 _CONFORMED_CTE = ("conformed AS (SELECT listing_id, source, title, company, link, "
                   "TRY_CAST(time_when_scraped AS TIMESTAMP) AS time_when_scraped, location, compensation, file_name "
                   "FROM delivery)")
@@ -233,8 +236,7 @@ def q_primary_key_check(spark, sf_dir):
 # flag; per-file counts; the files with a bad new row.
 _NEW_ROWS_CTES = [_CONFORMED_CTE, """
 new_rows AS (
-  SELECT c.*, (listing_id IS NULL OR link IS NULL OR title IS NULL OR company IS NULL
-               OR time_when_scraped IS NULL OR source IS NULL) AS null_bad
+  SELECT c.*, (""" + _NULL_BAD_SQL + """) AS null_bad
   FROM conformed c
   WHERE CASE WHEN source = 'LinkedIn' THEN NOT regexp_matches(listing_id, '[^0-9]') ELSE TRUE END
     AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.listing_id = c.listing_id AND s.source = c.source))""", """

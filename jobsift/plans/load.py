@@ -26,7 +26,7 @@ from ..session import cut_lineage
 # A batch's file list (one row per file) is broadcast up to this many files.
 FILE_LIST_BROADCAST_LIMIT = 100_000
 from ..sources.listing_csv import list_listing_files, read_listings_csv, top_level_csv
-from ..sources.store import append_listings, read_known_keys
+from ..sources.store import append_listings, batch_dir, read_known_keys
 
 
 def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None,
@@ -52,10 +52,13 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
     if checkpoint:
         new = cut_lineage(new)
-    stats = ingest_outcome(conformed, new, files)
-    # The quarantine comes from the new rows themselves, not from the file list:
-    # a file missing from the listing still has its bad rows caught.
-    bad_files = file_flags(new).filter(F.col("n_bad") > 0).select("file_name")
+    # per-file flags once (one row per file); the quarantine comes from them, not
+    # from the file list, so a file the listing missed still has its bad rows caught
+    flags = file_flags(new)
+    if checkpoint:
+        flags = cut_lineage(flags)
+    stats = ingest_outcome(conformed, new, files, flags=flags)
+    bad_files = flags.filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)
     to_append = first_file_wins(good, "file_time", "file_name").select(*LISTING_COLUMNS, "file_name")
     return to_append, with_loaded_counts(stats, to_append)
@@ -81,8 +84,8 @@ def known_keys_or_empty(spark: SparkSession, store: str, exclude_batch=None) ->
 
 
 def write_outcomes(outcomes: DataFrame, path: str, batch_id) -> None:
-    (outcomes.withColumn("load_batch", F.lit(str(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch").parquet(path))
+    """The batch's outcome rows, replacing its own ``load_batch=<id>`` folder."""
+    outcomes.write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
 
 def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outcomes_path: str | None = None,

@@ -81,6 +81,7 @@ def register_store(spark: SparkSession, store_path: str, name: str = "job_listin
     return as_view(read_listings(spark, store_path), name)
 
 
-def run(spark: SparkSession, df: DataFrame, statement) -> DataFrame:
-    """Run ``statement(view_name)`` over ``df`` registered as a view."""
-    return spark.sql(statement(as_view(df)))
+def run(spark: SparkSession, df: DataFrame, statement, view: str | None = None) -> DataFrame:
+    """Run ``statement(view_name)`` over ``df`` registered as a view (named ``view``,
+    or a unique name)."""
+    return spark.sql(statement(as_view(df, view)))

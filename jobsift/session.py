@@ -32,7 +32,9 @@ def build_session(master: str | None = None, app: str = "jobsift", shuffle_parti
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if input_bytes:
-        conf.update(scale_settings(input_bytes, cores or 8))
+        if not cores:
+            raise ValueError("input_bytes needs the cluster's total executor cores to size partitions")
+        conf.update(scale_settings(input_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -1,13 +1,14 @@
 """The stored listing table: parquet, partitioned by load batch and site.
 
 Layout: ``<store>/load_batch=<id>/source=<site>/part-*.parquet``. A load
-overwrites only its own ``load_batch`` partitions (dynamic partition
-overwrite), so re-running a batch after a failure replaces its output instead
-of adding it twice.
+replaces only its own ``load_batch`` folder, so re-running a batch after a
+failure replaces its output instead of adding it twice.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,22 +45,38 @@ def read_listings(spark: SparkSession, store: str) -> DataFrame:
     return read_store(spark, store).select(*LISTING_COLUMNS)
 
 
-def append_listings(df: DataFrame, store: str, batch_id) -> None:
-    """Add a batch of listings to the store (8 columns, idempotent per batch)."""
-    out = conform_listing(df).withColumn("load_batch", F.lit(str(batch_id)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_batch", "source").parquet(store))
+_BATCH_ID = re.compile(r"^[A-Za-z0-9_.-]+$")
 
 
-def read_known_keys_jdbc(spark: SparkSession, url: str, table: str, properties: dict, sources=None) -> DataFrame:
-    """S3 over JDBC: the two key columns only, one read partition per site.
+def batch_dir(root: str, batch_id) -> str:
+    """``<root>/load_batch=<id>``: one folder per load batch (ids are plain names)."""
+    bid = str(batch_id)
+    if not _BATCH_ID.match(bid):
+        raise ValueError(f"batch id must be letters, digits, '_', '.', '-': {bid!r}")
+    return f"{root.rstrip('/')}/load_batch={bid}"
+
 
-    Each predicate becomes its own query (``WHERE source = '<site>'``), so the
-    sites are read in parallel and the projection reaches the database.
+def append_listings(df: DataFrame, store: str, batch_id) -> None:
+    """Add a batch of listings to the store (8 columns, idempotent per batch).
+
+    The batch is written as its own ``load_batch=<id>`` folder (partitioned by
+    ``source`` inside), replacing that folder whole: a replayed batch leaves no
+    rows of an earlier attempt behind, whatever sites it covers.
     """
-    from ..schema import SOURCES
+    out = conform_listing(df)
+    out.write.mode("overwrite").partitionBy("source").parquet(batch_dir(store, batch_id))
 
-    preds = [f"source = '{s}'" for s in (sources or SOURCES)]
+
+def read_known_keys_jdbc(spark: SparkSession, url: str, table: str, properties: dict, sources=None) -> DataFrame:
+    """S3 over JDBC: the two key columns only. With ``sources``, one read partition
+    per site (``WHERE source = '<site>'``), read in parallel; without, the whole
+    table in one query."""
+    if sources is None:
+        return spark.read.jdbc(url=url, table=table, properties=properties).select(*KEY)
+    sources = list(sources)
+    if not sources:
+        return spark.createDataFrame([], "listing_id string, source string")
+    preds = ["source = '" + s.replace("'", "''") + "'" for s in sources]
     return spark.read.jdbc(url=url, table=table, predicates=preds, properties=properties).select(*KEY)
 
 

@@ -12,8 +12,9 @@ from ..functions import rules
 
 SUFFIX = "_Search_Terms"
 
-_TERM = T.ArrayType(T.StructType([T.StructField("keyword", T.StringType()),
-                                   T.StructField("location", T.StringType())]))
+_TERM = T.StructType([T.StructField("keyword", T.StringType()), T.StructField("location", T.StringType())])
+# The whole document as a map: any site keys, empty arrays and extra fields parse alike.
+_DOC = T.MapType(T.StringType(), T.ArrayType(_TERM))
 
 
 def default_terms_document() -> str:
@@ -24,11 +25,13 @@ def default_terms_document() -> str:
     return json.dumps(doc)
 
 
-def _explode_sites(raw: DataFrame) -> DataFrame:
-    sites = [c for c in raw.columns if c.endswith(SUFFIX)]
-    stack = ", ".join(f"'{c[: -len(SUFFIX)]}', `{c}`" for c in sites)
-    return (raw.select(F.expr(f"stack({len(sites)}, {stack}) AS (source, terms)"))
-            .select("source", F.posexplode("terms").alias("idx", "term"))
+def _explode_doc(docs: DataFrame) -> DataFrame:
+    """``docs(doc string)`` -> ``(source, idx, keyword, location)``: ``from_json`` to a
+    map, one row per ``<Site>_Search_Terms`` key, ``posexplode`` of its terms."""
+    sites = docs.select(F.explode(F.from_json("doc", _DOC)).alias("key", "terms"))
+    return (sites.filter(F.col("key").endswith(SUFFIX))
+            .select(F.expr(f"substring(key, 1, length(key) - {len(SUFFIX)})").alias("source"),
+                    F.posexplode("terms").alias("idx", "term"))
             .select("source", F.col("idx").cast("bigint").alias("idx"),
                     F.col("term.keyword").alias("keyword"), F.col("term.location").alias("location")))
 
@@ -38,23 +41,23 @@ def load_search_terms(spark: SparkSession, path: str | None = None) -> DataFrame
 
     ``path`` is a search-terms JSON file on the driver (a few kilobytes of
     configuration, so it need not be on the executors' file system); without
-    it the configured terms are used. The document is parsed by Spark
-    (``from_json`` + ``stack`` + ``posexplode``).
+    it the configured terms are used. The document is parsed by Spark.
     """
     if path:
         with open(path, encoding="utf-8") as fh:
             text = fh.read()
     else:
         text = default_terms_document()
-    sites = list(json.loads(text).keys())
-    schema = T.StructType([T.StructField(s, _TERM) for s in sites])
-    raw = spark.createDataFrame([(text,)], "doc string").select(F.from_json("doc", schema).alias("j")).select("j.*")
-    return _explode_sites(raw)
+    return _explode_doc(spark.createDataFrame([(text,)], "doc string"))
 
 
 def read_search_terms_json(spark: SparkSession, path: str) -> DataFrame:
-    """S7 for a file on shared storage: ``spark.read.json`` (multi-line) then the same explode."""
-    return _explode_sites(spark.read.option("multiLine", "true").json(path))
+    """S7 for a file on shared storage: read whole as text, then the same parse."""
+    return _explode_doc(spark.read.text(path, wholetext=True).select(F.col("value").alias("doc")))
+
+
+def _sql_text(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
 def terms_values_sql(path: str | None = None) -> str:
@@ -70,7 +73,5 @@ def terms_values_sql(path: str | None = None) -> str:
             continue
         site = key[: -len(SUFFIX)]
         for i, t in enumerate(arr):
-            kw = t["keyword"].replace("'", "''")
-            loc = t["location"].replace("'", "''")
-            rows.append(f"('{site}', {i}, '{kw}', '{loc}')")
+            rows.append(f"({_sql_text(site)}, {i}, {_sql_text(t.get('keyword'))}, {_sql_text(t.get('location'))})")
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS t(source, idx, keyword, location)"

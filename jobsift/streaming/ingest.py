@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.text import file_name_of_path, in_result_set_folder, path_dir
 from ..plans.load import load_batch
 from ..sources.listing_csv import read_listings_csv, top_level_csv
+from ..sources.store import batch_dir
 
 
 # The binaryFile source's fixed schema (a stream must be given it explicitly).
@@ -111,9 +112,7 @@ def load_files(spark: SparkSession, files: DataFrame, drop: str, store: str, bat
                .agg(F.min("modificationTime").alias("file_time")))
     rows = read_listings_csv(spark, [_literal_path(p) for p in lpaths])
     load_batch(spark, rows, store, batch_id, outcomes_path, files=listing)
-    (parts.select("path", F.lit(batch_id).alias("load_batch"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch")
-     .parquet(read_log_path(outcomes_path)))
+    parts.select("path").write.mode("overwrite").parquet(batch_dir(read_log_path(outcomes_path), batch_id))
 
 
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,

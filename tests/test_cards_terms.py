@@ -128,3 +128,17 @@ def test_generic_page_fields(spark):
     df = spark.createDataFrame([(1, html), (2, "<p>nothing</p>")], "page_id long, html string")
     got = {r.page_id: (r.title, r.h1, r.n_nav_links) for r in X.extract_page_fields(df).collect()}
     assert got == {1: ("A & B", "Head line", 2), 2: (None, None, 0)}
+
+
+def test_terms_with_empty_and_odd_sites(spark, tmp_dir):
+    import json
+    from jobsift.sources.terms import read_search_terms_json, terms_values_sql
+    path = tmp_dir + "/t.json"
+    with open(path, "w") as fh:
+        json.dump({"Dice_Search_Terms": [], "Indeed_Search_Terms": [{"keyword": "QA", "location": "Remote", "x": 1},
+                                                                     {"keyword": None, "location": "O'Hare"}],
+                   "notes": []}, fh)
+    for df in (load_search_terms(spark, path), read_search_terms_json(spark, path)):
+        assert sorted(map(tuple, df.collect()), key=str) == sorted([("Indeed", 0, "QA", "Remote"),
+                                                                    ("Indeed", 1, None, "O'Hare")], key=str)
+    assert "NULL" in terms_values_sql(path) and "O''Hare" in terms_values_sql(path)

@@ -256,3 +256,13 @@ def test_stream_reloads_a_rewritten_result_set(spark, tmp_dir):
     assert sorted(r.listing_id for r in st.read_listings(spark, root + "/store").collect()) == ["1", "2"]
     outcomes = sorted((r.load_batch, r.outcome) for r in spark.read.parquet(root + "/outcomes").collect())
     assert [o for _, o in outcomes] == ["LOADED", "LOADED"]
+
+
+def test_replay_with_fewer_sites_leaves_nothing_behind(spark, tmp_dir):
+    rows = spark.createDataFrame([("1", "LinkedIn", "a", "c", "l", "2024-01-01 08:00:00", None, None),
+                                  ("2", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None)],
+                                 ", ".join(f"{c} string" for c in LISTING_COLUMNS))
+    st.append_listings(rows, tmp_dir + "/store", "7")
+    st.append_listings(rows.filter("source = 'Indeed'").selectExpr("'3' AS listing_id", *LISTING_COLUMNS[1:]),
+                       tmp_dir + "/store", "7")
+    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["3"]

@@ -86,3 +86,11 @@ def test_blocklist_is_pushed_to_the_parquet_scan(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Not(In(company" in plan
     assert df.count() == S.screen_listings(fixtures.listings(spark, "/root/testdata/sf0.001")).count()
+
+
+def test_recency_accepts_dates_and_rejects_zoned_instants(spark):
+    import pytest
+    df = _rows(spark, [("a", "X", "Remote")] * 30)
+    assert S.recency_filter(df, dt.date(2024, 1, 2)).count() == 24
+    with pytest.raises(ValueError):
+        S.recency_filter(df, dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
