@@ -40,6 +40,8 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     and the append (the store is probed once). Both cut the lineage: a lost
     executor does not send the batch back to the files and the store.
     """
+    if files is not None and checkpoint:
+        files = cut_lineage(files)  # one listing of the folder, however often the file list is used
     if files is not None and "file_time" in files.columns:
         # one time per file (the listing's, over all its parts) orders the files
         times = bounded_broadcast(files.select("file_name", "file_time").distinct(), FILE_LIST_BROADCAST_LIMIT)
@@ -52,11 +54,10 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
     if checkpoint:
         new = cut_lineage(new)
-    # per-file flags once (one row per file); the quarantine comes from them, not
-    # from the file list, so a file the listing missed still has its bad rows caught
+    # per-file flags (one row per file, from the checkpointed new rows); the
+    # quarantine comes from them, not from the file list, so a file the listing
+    # missed still has its bad rows caught
     flags = file_flags(new)
-    if checkpoint:
-        flags = cut_lineage(flags)
     stats = ingest_outcome(conformed, new, files, flags=flags)
     bad_files = flags.filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)

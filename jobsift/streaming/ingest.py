@@ -94,20 +94,22 @@ def load_files(spark: SparkSession, files: DataFrame, drop: str, store: str, bat
     result set loaded whole earlier); a file with any part not read yet is read
     again whole (rewritten result sets, late parts; rows already stored are
     'known'). Files that vanished since they were listed are left out. The
-    logical paths to read are gathered on the driver to name the read: file
-    names of this batch, as the file listing itself is.
+    batch's part-file metadata (path, time) is gathered on the driver to name
+    the read and to list the batch once: file names of this batch, as the
+    file listing itself is.
     """
     new = files.select("path").distinct()
     seen = _read_by_others(spark, read_log_path(outcomes_path), batch_id)
     if seen is not None:
         new = new.join(seen, "path", "left_anti")
     wanted = new.select(logical_path(F.col("path")).alias("lpath")).distinct()
-    parts = (_current_parts(spark, drop).withColumn("lpath", logical_path(F.col("path")))
-             .join(wanted, "lpath", "left_semi"))
-    lpaths = sorted({r["lpath"] for r in parts.select("lpath").distinct().collect()})
-    if not lpaths:
+    found = (_current_parts(spark, drop).withColumn("lpath", logical_path(F.col("path")))
+             .join(wanted, "lpath", "left_semi").select("lpath", "path", "modificationTime").collect())
+    if not found:
         return
-    parts = parts.filter(F.col("lpath").isin(lpaths))
+    # the batch's part files, listed once (metadata of this batch's files only)
+    parts = spark.createDataFrame(found, "lpath string, path string, modificationTime timestamp")
+    lpaths = sorted({r["lpath"] for r in found})
     listing = (parts.groupBy(file_name_of_path(F.col("path")).alias("file_name"))
                .agg(F.min("modificationTime").alias("file_time")))
     rows = read_listings_csv(spark, [_literal_path(p) for p in lpaths])
