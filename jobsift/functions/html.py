@@ -10,6 +10,17 @@ from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
+NOT_RENDERED = {"script", "style", "template", "noscript", "head"}
+BREAKS_LINE = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset",
+               "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li",
+               "main", "nav", "ol", "p", "pre", "section", "table", "tr", "ul"}
+CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption",
+            "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav",
+            "ol", "p", "pre", "section", "table", "ul"}
+IMPLIED_CLOSE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
+                 "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# an implied end tag does not reach past these
+SCOPE_LIMIT = {"#document", "html", "body", "table", "ul", "ol", "dl", "select", "td", "th", "template"}
 
 
 class Node:
@@ -36,33 +47,67 @@ class Node:
             stack.extend(reversed(n.element_children()))
 
     def text(self):
-        """Text content, whitespace collapsed; NULL (None) when empty."""
+        """Rendered-style text content: block elements and ``<br>`` break lines,
+        whitespace inside a line collapses, empty lines drop; NULL (None) when
+        empty. Script, style, template and noscript content is not text."""
         parts = []
         stack = [self]
         while stack:
             n = stack.pop()
             if isinstance(n, str):
                 parts.append(n)
-            elif n.tag not in ("script", "style"):
+            elif n.tag in NOT_RENDERED:
+                continue
+            elif n.tag in BREAKS_LINE:
+                parts.append("\n")
+                stack.append("\n")
                 stack.extend(reversed(n.children))
-        t = " ".join("".join(parts).split())
+            else:
+                stack.extend(reversed(n.children))
+        lines = (" ".join(line.split()) for line in "".join(parts).split("\n"))
+        t = "\n".join(line for line in lines if line)
         return t or None
 
 
+def _attrs(pairs) -> dict:
+    out = {}
+    for k, v in pairs:
+        out.setdefault(k, v if v is not None else "")  # a repeated attribute keeps its first value
+    return out
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#document", {}, None)
         self.cur = self.root
 
+    def _close_implied(self, tag):
+        """HTML5 implied end tags, for the common cases: a block start closes an
+        open ``p``; ``li`` / ``dt`` / ``dd`` / ``tr`` / ``td`` / ``th`` / ``option``
+        close an open sibling of their kind."""
+        closes = IMPLIED_CLOSE.get(tag)
+        if tag in CLOSES_P:
+            closes = (closes or ()) + ("p",)
+        if not closes:
+            return
+        n = self.cur
+        while n is not None and n.tag not in SCOPE_LIMIT:
+            if n.tag in closes:
+                self.cur = n.parent
+                return
+            n = n.parent
+
     def handle_starttag(self, tag, attrs):
-        n = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
+        self._close_implied(tag)
+        n = Node(tag, _attrs(attrs), self.cur)
         self.cur.children.append(n)
         if tag not in VOID:
             self.cur = n
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur))
+        # '<div/>' does not close a non-void element in HTML
+        self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
         n = self.cur
@@ -119,37 +164,32 @@ def nth_child(node: Node) -> int:
     return node.parent.element_children().index(node) + 1 if node.parent is not None else 1
 
 
-def _step_ok(n: Node, step: dict, position: int) -> bool:
+def _step_ok(n: Node, step: dict) -> bool:
     nth = step.get("nth")
-    if nth is not None and position != nth:
+    if nth is not None and nth_child(n) != nth:
         return False
     return match(n, **{k: v for k, v in step.items() if k != "nth"})
 
 
-def _descend(n: Node, steps):
-    if not steps:
-        return n
-    for i, c in enumerate(n.element_children(), 1):
-        if _step_ok(c, steps[0], i):
-            found = _descend(c, steps[1:])
-            if found is not None:
-                return found
-    return None
-
-
 def find_chain(node: Node, steps):
-    """First descendant matching a child-combinator chain ``s1 > s2 > ...``.
+    """First descendant (document order) matching a child-combinator chain
+    ``s1 > s2 > ...``, as ``querySelector`` on ``node`` finds it: the element is
+    inside ``node``; its ancestors in the chain may be anywhere above it.
 
     Each step is a dict of ``match`` arguments plus an optional ``nth`` (1-based
-    position among the parent's element children, ``:nth-child``). The walk
-    starts at each element matching ``s1`` (document order) and follows the
-    remaining steps down through children only.
+    position among the parent's element children, ``:nth-child``).
     """
-    for start in node.iter():
-        if _step_ok(start, steps[0], nth_child(start) if "nth" in steps[0] else 0):
-            found = _descend(start, steps[1:])
-            if found is not None:
-                return found
+    for n in node.iter():
+        if not _step_ok(n, steps[-1]):
+            continue
+        p, good = n, True
+        for step in reversed(steps[:-1]):
+            p = p.parent
+            if p is None or not _step_ok(p, step):
+                good = False
+                break
+        if good:
+            return n
     return None
 
 

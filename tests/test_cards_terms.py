@@ -142,3 +142,20 @@ def test_terms_with_empty_and_odd_sites(spark, tmp_dir):
         assert sorted(map(tuple, df.collect()), key=str) == sorted([("Indeed", 0, "QA", "Remote"),
                                                                     ("Indeed", 1, None, "O'Hare")], key=str)
     assert "NULL" in terms_values_sql(path) and "O''Hare" in terms_values_sql(path)
+
+
+def test_dom_text_and_tree_rules():
+    from jobsift.functions import html as H
+    doc = H.parse('<div id="a"><div>Remote</div><div>Columbus, OH</div></div><span id="b">a<br>b</span>'
+                  '<div id="c">a<noscript>NO</noscript><template>T</template></div>'
+                  '<a id="d" href="/job/1" href="/job/2">x</a><ul id="e"><li>a<li>b</ul><p id="f">a<div>b</div>'
+                  '<div id="g"/><span>inside</span>')
+    by = {n.get("id"): n for n in H.find_all(doc, has=("id",))}
+    assert by["a"].text() == "Remote\nColumbus, OH" and by["b"].text() == "a\nb" and by["c"].text() == "a"
+    assert by["d"].get("href") == "/job/1"
+    assert [li.text() for li in H.find_all(by["e"], tag="li")] == ["a", "b"]
+    assert H.find(by["f"], tag="div") is None  # the div closes the open p
+    assert by["g"].text() == "inside"  # '<div/>' stays open
+    nested = H.parse('<div class="s"><div class="s"><div><div>x</div><div>in</div></div></div></div>')
+    inner = H.find_chain(nested, [{"tag": "div", "class_token": "s"}, {"tag": "div"}, {"tag": "div", "nth": 2}])
+    assert inner is not None and inner.text() == "in"
