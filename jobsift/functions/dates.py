@@ -4,9 +4,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# --- Fixed values: English day names, padded to 9 like TO_CHAR(ts, 'Day'), by dayofweek (1 = Sunday). ---
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
 def padded_day_name(ts: Column) -> Column:
-    """Full English day name blank-padded to 9 characters ('Monday   ')."""
-    return F.rpad(F.date_format(ts, "EEEE"), 9, " ")
+    """Full English day name blank-padded to 9 characters ('Monday   '), from the
+    calendar date (no session time zone is involved)."""
+    dow = F.dayofweek(F.to_date(ts))
+    out = None
+    for i, name in enumerate(DAY_NAMES, 1):
+        out = F.when(dow == i, F.lit(name.ljust(9))) if out is None else out.when(dow == i, F.lit(name.ljust(9)))
+    return out
 
 
 def calendar_year(ts: Column) -> Column:
@@ -19,6 +28,5 @@ def iso_week(ts: Column) -> Column:
 
 
 def iso_week_year(ts: Column) -> Column:
-    """The year an ISO week belongs to: the year of its Thursday (2024-12-30 -> 2025)."""
-    monday = F.trunc(F.to_date(ts), "week")
-    return F.year(F.date_add(monday, 3)).cast("bigint")
+    """The year an ISO week belongs to (2024-12-30 -> 2025): ``EXTRACT(YEAROFWEEK ...)``."""
+    return F.extract(F.lit("YEAROFWEEK"), ts).cast("bigint")

@@ -15,7 +15,9 @@ def member_of_pairs(roles: DataFrame, members: DataFrame, exclude=None) -> DataF
     ``roles(oid, rolname)``, ``members(roleid, member)``; the correlated subquery
     becomes two equi-joins. No grouping: this long form has no hot group.
     """
-    exclude = rules.EXCLUDED_ROLE_NAMES if exclude is None else list(exclude)
+    if exclude is None:
+        exclude = rules.EXCLUDED_ROLE_NAMES
+    exclude = [exclude] if isinstance(exclude, str) else list(exclude)
     r = roles.filter(~F.col("rolname").isin(exclude)).select(F.col("oid").alias("r_oid"), F.col("rolname"))
     b = roles.select(F.col("oid").alias("b_oid"), F.col("rolname").alias("member_of"))
     m = members.select("roleid", "member").join(b, F.col("roleid") == F.col("b_oid"))
@@ -33,4 +35,5 @@ def member_of_array(roles: DataFrame, members: DataFrame, exclude=None) -> DataF
     return (member_of_pairs(roles, members, exclude)
             .groupBy("r_oid", "rolname")
             .agg(F.sort_array(F.collect_list("member_of")).alias("memberof"))
-            .select("rolname", "memberof"))
+            .select("rolname", "memberof")
+            .orderBy("rolname"))

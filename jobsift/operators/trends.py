@@ -6,6 +6,7 @@ one row per group and task is shuffled, however skewed the dates are.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +15,18 @@ from ..functions.dates import calendar_year, iso_week, iso_week_year, padded_day
 COUNT_COL = "number_of_jobs_posted"
 
 
-def jobs_per_day(df: DataFrame, ts_col: str = "time_when_scraped", sort: bool = True) -> DataFrame:
+def jobs_per_day(df: DataFrame, ts_col: str = "time_when_scraped", sort: bool = True,
+                 as_date: bool = False) -> DataFrame:
     """A1: day, blank-padded day name, count; by day.
 
     ``date_only`` is the day's start as TIMESTAMP_NTZ (midnight), the type the
-    tables use for dates; it is free of any session time zone.
+    tables use for dates (``as_date=True`` gives a DATE). The day name is
+    derived from the day after the aggregation: one name per day, not per row.
     """
-    ts = F.col(ts_col)
-    day = F.to_date(ts).cast("timestamp_ntz")
-    out = df.groupBy(day.alias("date_only"), padded_day_name(ts).alias("day_of_week")) \
-        .agg(F.count(F.lit(1)).alias(COUNT_COL))
+    day = F.to_date(F.col(ts_col))
+    out = (df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias(COUNT_COL))
+           .select((F.col("_day") if as_date else F.col("_day").cast("timestamp_ntz")).alias("date_only"),
+                   padded_day_name(F.col("_day")).alias("day_of_week"), COUNT_COL))
     return out.orderBy("date_only") if sort else out
 
 
@@ -53,4 +56,10 @@ def estimated_row_count(spark: SparkSession, path: str) -> DataFrame:
     The scan reads no column (``ReadSchema: struct<>``): row counts come from
     the row-group footers, no page is decoded.
     """
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("estimate"))
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return spark.createDataFrame([(0,)], "estimate bigint")  # a table with no data files yet
+    return table.agg(F.count(F.lit(1)).alias("estimate"))

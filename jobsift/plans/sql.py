@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import rules
+from ..functions.dates import DAY_NAMES
 from ..functions.text import whole_word_pattern
 
 
@@ -40,12 +41,12 @@ ORDER BY time_when_scraped DESC NULLS FIRST, listing_id, source"""
 
 
 def jobs_per_day_sql(table: str = "job_listings") -> str:
+    names = " ".join(f"WHEN {i} THEN '{n.ljust(9)}'" for i, n in enumerate(DAY_NAMES, 1))
     return f"""
-SELECT CAST(to_date(time_when_scraped) AS TIMESTAMP_NTZ) AS date_only,
-       rpad(date_format(time_when_scraped, 'EEEE'), 9, ' ') AS day_of_week,
-       count(*) AS number_of_jobs_posted
-FROM {table}
-GROUP BY 1, 2
+SELECT CAST(day AS TIMESTAMP_NTZ) AS date_only,
+       CASE dayofweek(day) {names} END AS day_of_week,
+       number_of_jobs_posted
+FROM (SELECT to_date(time_when_scraped) AS day, count(*) AS number_of_jobs_posted FROM {table} GROUP BY 1)
 ORDER BY date_only"""
 
 

@@ -103,3 +103,9 @@ def test_conform_takes_wall_clock_of_zoned_times(spark):
     c = Q.conform_listing(df)
     assert c.schema["time_when_scraped"].dataType.typeName() == "timestamp_ntz"
     assert c.collect()[0].time_when_scraped == dt.datetime(2024, 1, 1, 10)
+
+
+def test_member_of_array_is_ordered_and_takes_one_name(spark):
+    roles = spark.createDataFrame([("1", "zed"), ("2", "amy"), ("3", "rdsadmin")], "oid string, rolname string")
+    members = spark.createDataFrame([], "roleid string, member string")
+    assert [r.rolname for r in R.member_of_array(roles, members, exclude="rdsadmin").collect()] == ["amy", "zed"]
