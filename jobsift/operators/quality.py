@@ -63,19 +63,40 @@ def primary_key_check(df: DataFrame, key=KEY) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def file_flags(new_rows: DataFrame, file_col: str = "file_name") -> DataFrame:
+def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col: str | None = None) -> DataFrame:
     """Per file: new rows and bad new rows.
 
     ``new_rows`` survived P2 and J1 and carry ``null_bad`` (a required column
     is NULL). A new row is bad if it is NULL-bad or its key occurs twice among
-    the file's new rows (the insert would break the primary key). Two grouped
-    counts, both partially aggregated; no row-level join.
+    the file's new rows (the insert would break the primary key).
+
+    With ``file_time_col`` the batch's files are taken in load order (file time,
+    then name) and a file's rows whose key an earlier file supplies cleanly (a
+    file with no bad row of its own, one clean row for the key) are shadowed:
+    loading files one at a time, the anti join would cut them, so they count
+    neither as new nor as bad. This resolves one level of that order (a file
+    cleared this way does not in turn clear later files).
+
+    All steps are grouped counts on one row per (file, key) or per file,
+    partially aggregated; no row-level join.
     """
-    per_key = new_rows.groupBy(file_col, *KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("null_bad")).alias("n_null_bad"),
-    )
+    agg = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("null_bad")).alias("n_null_bad")]
+    if file_time_col:
+        agg.append(F.min(file_time_col).alias("_ft"))
+    per_key = new_rows.groupBy(file_col, *KEY).agg(*agg)
     bad = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("n_null_bad"))
+    if file_time_col:
+        order = F.struct(F.col("_ft").isNull(), F.col("_ft"), F.col(file_col))
+        per_key = per_key.withColumn("_order", order).withColumn("_bad", bad)
+        dirty = per_key.groupBy(file_col).agg(F.sum("_bad").alias("_b")).filter(F.col("_b") > 0).select(file_col)
+        supply = (per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
+                  .join(dirty, file_col, "left_anti")
+                  .groupBy(*KEY).agg(F.min("_order").alias("_first")))
+        per_key = per_key.join(supply, KEY, "left")
+        shadowed = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
+        return per_key.groupBy(file_col).agg(
+            F.sum(F.when(shadowed, 0).otherwise(F.col("n"))).alias("n_new"),
+            F.sum(F.when(shadowed, 0).otherwise(F.col("_bad"))).alias("n_bad"))
     return per_key.groupBy(file_col).agg(F.sum("n").alias("n_new"), F.sum(bad).alias("n_bad"))
 
 

@@ -241,12 +241,21 @@ new_rows AS (
   WHERE CASE WHEN source = 'LinkedIn' THEN NOT regexp_matches(listing_id, '[^0-9]') ELSE TRUE END
     AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.listing_id = c.listing_id AND s.source = c.source))""", """
 per_key AS (
-  SELECT file_name, listing_id, source, count(*) AS n, count(*) FILTER (WHERE null_bad) AS n_null_bad
+  SELECT file_name, listing_id, source, count(*) AS n, count(*) FILTER (WHERE null_bad) AS n_null_bad,
+         CASE WHEN count(*) > 1 THEN count(*) ELSE count(*) FILTER (WHERE null_bad) END AS bad
   FROM new_rows GROUP BY file_name, listing_id, source)""", """
+dirty AS (SELECT file_name FROM per_key GROUP BY file_name HAVING sum(bad) > 0)""", """
+supply AS (
+  -- the earliest clean file that supplies each key (files here have no time: load order is by name)
+  SELECT listing_id, source, min(file_name) AS first_file FROM per_key
+  WHERE n = 1 AND n_null_bad = 0 AND file_name NOT IN (SELECT file_name FROM dirty)
+  GROUP BY listing_id, source)""", """
 stats AS (
-  SELECT file_name, CAST(sum(n) AS BIGINT) AS n_new,
-         CAST(sum(CASE WHEN n > 1 THEN n ELSE n_null_bad END) AS BIGINT) AS n_bad
-  FROM per_key GROUP BY file_name)""", """
+  SELECT p.file_name,
+         CAST(sum(CASE WHEN s.first_file < p.file_name THEN 0 ELSE p.n END) AS BIGINT) AS n_new,
+         CAST(sum(CASE WHEN s.first_file < p.file_name THEN 0 ELSE p.bad END) AS BIGINT) AS n_bad
+  FROM per_key p LEFT JOIN supply s ON s.listing_id = p.listing_id AND s.source = p.source
+  GROUP BY p.file_name)""", """
 bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)""", """
 to_append AS (
   SELECT * FROM (

@@ -57,7 +57,7 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     # per-file flags (one row per file, from the checkpointed new rows); the
     # quarantine comes from them, not from the file list, so a file the listing
     # missed still has its bad rows caught
-    flags = file_flags(new)
+    flags = file_flags(new, file_time_col="file_time")
     stats = ingest_outcome(conformed, new, files, flags=flags)
     bad_files = flags.filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)

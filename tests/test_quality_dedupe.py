@@ -79,7 +79,8 @@ def test_same_listing_in_two_good_files(spark):
     to_append, outcomes = plan_batch(rows, known, checkpoint=False)
     assert sorted((r.listing_id, r.title) for r in to_append.collect()) == [("1", "a"), ("2", "b")]
     got = {r.file_name: (r.n_new, r.n_loaded, r.outcome) for r in outcomes.collect()}
-    assert got == {"Indeed_20240101_0800.csv": (1, 1, "LOADED"), "Indeed_20240101_1200.csv": (1, 0, "NO_NEW"),
+    # the later file's copy is shadowed by the earlier file: not new, as when files load one at a time
+    assert got == {"Indeed_20240101_0800.csv": (1, 1, "LOADED"), "Indeed_20240101_1200.csv": (0, 0, "NO_NEW"),
                    "Indeed_20240101_1300.csv": (1, 1, "LOADED")}
 
 
@@ -109,3 +110,22 @@ def test_member_of_array_is_ordered_and_takes_one_name(spark):
     roles = spark.createDataFrame([("1", "zed"), ("2", "amy"), ("3", "rdsadmin")], "oid string, rolname string")
     members = spark.createDataFrame([], "roleid string, member string")
     assert [r.rolname for r in R.member_of_array(roles, members, exclude="rdsadmin").collect()] == ["amy", "zed"]
+
+
+def test_bad_copy_of_a_listing_an_earlier_file_supplies(spark):
+    """Loading files one at a time, B's copies of listing 1 are cut as already stored, so B loads listing 2."""
+    from jobsift.plans.load import plan_batch
+    rows = spark.createDataFrame(
+        [("1", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None, "A_20240101_0800.csv"),
+         ("1", "Indeed", "a", "c", "l", "2024-01-01 09:00:00", None, None, "B_20240101_0900.csv"),
+         ("1", "Indeed", None, "c", "l", "2024-01-01 09:00:00", None, None, "B_20240101_0900.csv"),
+         ("2", "Indeed", "b", "c", "l", "2024-01-01 09:00:00", None, None, "B_20240101_0900.csv"),
+         ("3", "Indeed", None, "c", "l", "2024-01-01 09:30:00", None, None, "C_20240101_0930.csv")],
+        TEXT + ", file_name string")
+    known = spark.createDataFrame([], "listing_id string, source string")
+    to_append, outcomes = plan_batch(rows, known, checkpoint=False)
+    assert sorted((r.listing_id, r.file_name) for r in to_append.collect()) == [
+        ("1", "A_20240101_0800.csv"), ("2", "B_20240101_0900.csv")]
+    got = {r.file_name: (r.n_new, r.n_bad, r.outcome) for r in outcomes.collect()}
+    assert got == {"A_20240101_0800.csv": (1, 0, "LOADED"), "B_20240101_0900.csv": (1, 0, "LOADED"),
+                   "C_20240101_0930.csv": (1, 1, "ERROR")}
