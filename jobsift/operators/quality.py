@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import non_numeric
+from .joins import bounded_broadcast
 from ..schema import KEY, LISTING_COLUMNS, REQUIRED_COLUMNS
 
+# A batch's per-file lists (one row per file) are broadcast up to this many files.
+FILE_BROADCAST_LIMIT = 100_000
+
 
 def conform_listing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The 8 columns in file order, text time cast to TIMESTAMP_NTZ.
@@ -90,7 +94,7 @@ def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col:
         per_key = per_key.withColumn("_order", order).withColumn("_bad", bad)
         dirty = per_key.groupBy(file_col).agg(F.sum("_bad").alias("_b")).filter(F.col("_b") > 0).select(file_col)
         supply = (per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
-                  .join(dirty, file_col, "left_anti")
+                  .join(bounded_broadcast(dirty, FILE_BROADCAST_LIMIT), file_col, "left_anti")
                   .groupBy(*KEY).agg(F.min("_order").alias("_first")))
         per_key = per_key.join(supply, KEY, "left")
         shadowed = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
@@ -118,7 +122,8 @@ def ingest_outcome(rows: DataFrame, new_rows: DataFrame, files: DataFrame | None
     row per file before they meet.
     """
     counts = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_rows"))
-    stats = flags if flags is not None else file_flags(new_rows, file_col)
+    stats = flags if flags is not None else file_flags(
+        new_rows, file_col, "file_time" if "file_time" in new_rows.columns else None)
     # every listed file, and every file that has rows even if the listing missed it
     base = counts.select(file_col)
     if files is not None:
@@ -140,7 +145,5 @@ def file_quarantine(new_rows: DataFrame, bad_files: DataFrame, file_col: str = "
     files in the batch; it is broadcast when that count is within
     ``broadcast_limit``, else joined by a shuffle.
     """
-    from .joins import bounded_broadcast
-
     bad = bounded_broadcast(bad_files.select(file_col).distinct(), broadcast_limit)
     return new_rows.join(bad, file_col, "left_anti")

@@ -42,15 +42,12 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     """
     if files is not None and checkpoint:
         files = cut_lineage(files)  # one listing of the folder, however often the file list is used
-    if files is not None and "file_time" in files.columns:
-        # one time per file (the listing's, over all its parts) orders the files
-        times = bounded_broadcast(files.select("file_name", "file_time").distinct(), FILE_LIST_BROADCAST_LIMIT)
-        rows = rows.drop("file_time").join(times, "file_name", "left")
     if "file_time" not in rows.columns:
         rows = rows.withColumn("file_time", F.lit(None).cast("timestamp"))
     conformed = conform_listing(rows, keep=["file_name", "file_time"])
     if checkpoint:
         conformed = cut_lineage(conformed)
+    conformed = with_file_times(conformed, files)
     new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
     if checkpoint:
         new = cut_lineage(new)
@@ -58,6 +55,8 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     # quarantine comes from them, not from the file list, so a file the listing
     # missed still has its bad rows caught
     flags = file_flags(new, file_time_col="file_time")
+    if checkpoint:
+        flags = cut_lineage(flags)  # one row per file, used by the outcome and the quarantine
     stats = ingest_outcome(conformed, new, files, flags=flags)
     bad_files = flags.filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)
@@ -65,6 +64,19 @@ def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None
     return to_append, with_loaded_counts(stats, to_append)
 
 
+def with_file_times(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """One load time per file: the listing's earliest time for the file, else the
+    earliest time among its rows (a multi-part file has one time, not one per
+    part; a file the listing missed keeps its own)."""
+    own = rows.groupBy("file_name").agg(F.min("file_time").alias("_own"))
+    if files is not None and "file_time" in files.columns:
+        listed = files.groupBy("file_name").agg(F.min("file_time").alias("_listed"))
+        own = own.join(listed, "file_name", "left").select(
+            "file_name", F.coalesce("_listed", "_own").alias("_own"))
+    times = bounded_broadcast(own, FILE_LIST_BROADCAST_LIMIT)
+    return rows.join(times, "file_name", "left").withColumn("file_time", F.col("_own")).drop("_own")
+
+
 def with_loaded_counts(stats: DataFrame, to_append: DataFrame) -> DataFrame:
     """Add ``n_loaded`` (rows each file actually contributes after first-file-wins);
     a good file whose new rows all went to an earlier file is NO_NEW, as it would

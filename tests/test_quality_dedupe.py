@@ -129,3 +129,23 @@ def test_bad_copy_of_a_listing_an_earlier_file_supplies(spark):
     got = {r.file_name: (r.n_new, r.n_bad, r.outcome) for r in outcomes.collect()}
     assert got == {"A_20240101_0800.csv": (1, 0, "LOADED"), "B_20240101_0900.csv": (1, 0, "LOADED"),
                    "C_20240101_0930.csv": (1, 1, "ERROR")}
+
+
+def test_one_time_per_file_and_repeated_listing_entries(spark):
+    from jobsift.plans.load import plan_batch
+    t = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [("k", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None, "A.csv", t),
+         ("j", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None, "A.csv", t + dt.timedelta(hours=3)),
+         ("k", "Indeed", None, "c", "l", "2024-01-01 08:00:00", None, None, "B.csv", t + dt.timedelta(hours=2)),
+         ("j", "Indeed", None, "c", "l", "2024-01-01 08:00:00", None, None, "B.csv", t + dt.timedelta(hours=2))],
+        TEXT + ", file_name string, file_time timestamp")
+    known = spark.createDataFrame([], "listing_id string, source string")
+    files = spark.createDataFrame([("A.csv", t), ("A.csv", t + dt.timedelta(days=1)), ("B.csv", t)],
+                                  "file_name string, file_time timestamp")  # A listed twice
+    # A's time is its earliest part: both of B's bad copies are shadowed, B adds nothing
+    for f in (None, files.filter("file_name = 'A.csv'")):
+        to_append, outcomes = plan_batch(rows, known, files=f, checkpoint=False)
+        got = {r.file_name: r.outcome for r in outcomes.collect()}
+        assert got == {"A.csv": "LOADED", "B.csv": "NO_NEW"}
+        assert sorted(r.listing_id for r in to_append.collect()) == ["j", "k"]
