@@ -35,6 +35,13 @@ def new_listings(incoming: DataFrame, known: DataFrame, key=KEY,
     return incoming.join(F.broadcast(hits), key, "left_anti")
 
 
+def load_order(file_time_col: str = "file_time", file_col: str = "file_name"):
+    """The order files load in: by file time, then name; files without a time
+    come after every dated file. Shared by first-file-wins and the quarantine's
+    load-order shadowing, which must agree."""
+    return F.struct(F.col(file_time_col).isNull(), F.col(file_time_col), F.col(file_col))
+
+
 def latest_per_listing(df: DataFrame, order_col: str = "seq",
                        group=("source", "run_time", "listing_id")) -> DataFrame:
     """Within one result set the last card seen for an id wins.
@@ -57,7 +64,5 @@ def first_file_wins(df: DataFrame, file_time_col: str, file_col: str = "file_nam
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    # files without a time sort after every dated file
-    order = F.struct(F.col(file_time_col).isNull(), F.col(file_time_col), F.col(file_col))
-    picked = df.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("_w"))
+    picked = df.groupBy(*key).agg(F.min_by(F.struct(*rest), load_order(file_time_col, file_col)).alias("_w"))
     return picked.select(*key, *[F.col("_w")[c].alias(c) for c in rest]).select(*df.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import non_numeric
+from .dedupe import load_order
 from .joins import bounded_broadcast
 from ..schema import KEY, LISTING_COLUMNS, REQUIRED_COLUMNS
 
@@ -90,7 +91,7 @@ def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col:
     per_key = new_rows.groupBy(file_col, *KEY).agg(*agg)
     bad = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("n_null_bad"))
     if file_time_col:
-        order = F.struct(F.col("_ft").isNull(), F.col("_ft"), F.col(file_col))
+        order = load_order("_ft", file_col)
         per_key = per_key.withColumn("_order", order).withColumn("_bad", bad)
         dirty = per_key.groupBy(file_col).agg(F.sum("_bad").alias("_b")).filter(F.col("_b") > 0).select(file_col)
         supply = (per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
