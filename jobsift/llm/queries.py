@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langid, mixing, packing
+from . import grace, langid, mixing, packing, pii
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": lambda spark, sf_dir: langid.language_of(table(spark, sf_dir, "documents")),
     "op8_raked_mixture": lambda spark, sf_dir: mixing.mixture_of(table(spark, sf_dir, "documents")),
     "op9_grace_dedup": lambda spark, sf_dir: grace.exact_groups_of(table(spark, sf_dir, "documents")),
+    "op10_disclosure_sanitising": lambda spark, sf_dir: pii.personal_data_of(table(spark, sf_dir, "documents")),
 }
 
 ORACLE: dict[str, str] = {
