@@ -99,15 +99,15 @@ def prefix_hash(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_spans(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs of bytes other than ASCII white space) of concatenated texts.
+def word_spans(raw: np.ndarray, offs: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of bytes other than ``breaks``, ASCII white space) of concatenated texts.
 
     Returns their starts, their ends and, per text, the index of its first word
     (one more entry at the end).
     """
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    space = _SPACE[raw]
+    space = breaks[raw]
     cut = np.ones(len(raw) + 1, dtype=bool)
     cut[1:-1] = space[:-1]
     cut[offs[offs < len(raw)]] = True

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langid, mixing, packing, pii
+from . import grace, langid, mixing, packing, pii, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixture_packing": lambda spark, sf_dir: packing.packed_documents(table(spark, sf_dir, "documents")),
     "op6_language_id": lambda spark, sf_dir: langid.language_of(table(spark, sf_dir, "documents")),
+    "op7_toxic_spans": lambda spark, sf_dir: toxicity.toxicity_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op8_raked_mixture": lambda spark, sf_dir: mixing.mixture_of(table(spark, sf_dir, "documents")),
     "op9_grace_dedup": lambda spark, sf_dir: grace.exact_groups_of(table(spark, sf_dir, "documents")),
     "op10_disclosure_sanitising": lambda spark, sf_dir: pii.personal_data_of(table(spark, sf_dir, "documents")),
