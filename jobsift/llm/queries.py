@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langid, mixing, packing, pii, toxicity
+from . import grace, langid, mixing, packing, parity, pii, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_parity_sketch_join": lambda spark, sf_dir: parity.jaccard_groups_of(table(spark, sf_dir, "documents")),
     "op5_mixture_packing": lambda spark, sf_dir: packing.packed_documents(table(spark, sf_dir, "documents")),
     "op6_language_id": lambda spark, sf_dir: langid.language_of(table(spark, sf_dir, "documents")),
     "op7_toxic_spans": lambda spark, sf_dir: toxicity.toxicity_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
