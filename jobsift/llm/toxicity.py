@@ -25,8 +25,8 @@ from .common import lower_bytes, span_hashes, text_chunks, word_spans
 from .langid import fold
 
 #: The bound of the training sample, per label and in bytes of text; rows are taken by a hash of their ids.
-TRAIN_DOCS = 2000
-TRAIN_BYTES = 16 << 20
+TRAIN_DOCS = 1000
+TRAIN_BYTES = 4 << 20
 #: Feature weights are hashed to this many; the broadcast model is that large.
 BUCKETS = 1 << 18
 #: Bytes by which a word begins that are features beside the word itself.
