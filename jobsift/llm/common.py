@@ -132,7 +132,7 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
-_STEP = [np.uint64(pow(0xC2B2AE3D27D4EB4F, i + 1, 1 << 64) | 1) for i in range(64)]
+STEP = [np.uint64(pow(0xC2B2AE3D27D4EB4F, i + 1, 1 << 64) | 1) for i in range(64)]
 
 
 def shingle_sets(raw: np.ndarray, offs: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -143,14 +143,14 @@ def shingle_sets(raw: np.ndarray, offs: np.ndarray, n: int) -> Iterator[np.ndarr
     words, first = word_hashes(raw, offs)
     rolled = np.zeros(max(0, len(words) - n + 1), dtype=np.uint64)
     for i in range(n):
-        rolled += words[i:i + len(rolled)] * _STEP[i]
+        rolled += words[i:i + len(rolled)] * STEP[i]
     rolled = mix(rolled)
     for k in range(len(offs) - 1):
         lo, hi = first[k], first[k + 1]
         if hi - lo >= n:
             yield np.unique(rolled[lo:hi - n + 1])
         elif hi > lo:
-            short = words[lo:hi] * np.array(_STEP[n:n + hi - lo], dtype=np.uint64)
+            short = words[lo:hi] * np.array(STEP[n:n + hi - lo], dtype=np.uint64)
             yield mix(short.sum(dtype=np.uint64, keepdims=True))
         else:
             yield np.zeros(0, dtype=np.uint64)

@@ -2,8 +2,9 @@
 
 A text's set of shingles is XOR-ed into a sketch of segments: each shingle's
 64-bit hash goes to one segment and is XOR-ed into it. Segments of two sketches
-differ only where the sets do, and the folded sketch (one bit per shingle,
-1024 bits) has a Hamming distance that never exceeds the symmetric difference.
+differ only where the sets do. The folded sketch flips one bit per shingle, of
+4 to 8 times as many bits as shingles; the Hamming distance of two, the longer
+folded to the length of the shorter, never exceeds the symmetric difference.
 
 With J = |A and B| / |A or B| at least p percent, |A xor B| is at most
 D = (100 - p)(|A| + |B|) / (100 + p). In a band of sizes with the bound D the
@@ -31,8 +32,7 @@ from .components import components
 #: Texts that share a segment are paired within it up to this many; beyond, the segment is large.
 SMALL = 16
 #: Rounds of stars around changing pivots in large segments, before all that is left is compared.
-STAR_ROUNDS = 3
-_FOLD = 1024
+STAR_ROUNDS = 1
 _BAND = np.uint64(63)
 
 
@@ -138,7 +138,8 @@ def _folds(n: int):
             sizes, folds = [], []
             for _, _, raw, offs in text_chunks(batch.column(2)):
                 for members in shingle_sets(lower_bytes(raw), offs, n):
-                    bits = np.bincount((members & np.uint64(_FOLD - 1)).astype(np.int64), minlength=_FOLD) & 1
+                    width = 64 << max(3, (len(members) // 16).bit_length())
+                    bits = np.bincount((members & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
                     folds.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
                     sizes.append(len(members))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(folds, pa.list_(pa.int64()))],
@@ -165,8 +166,16 @@ def _verified(n: int, percent: int):
     return run
 
 
+def _folded(x: str, size: Column) -> Column:
+    """A folded sketch folded further to ``size`` words."""
+    less = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.aggregate(
+        F.sequence(i, F.size(x) - 1, size), F.lit(0).cast("long"), lambda s, j: s.bitwiseXOR(F.get(x, j))))
+    return F.when(F.size(x) == size, F.col(x)).otherwise(less)
+
+
 def _hamming(x: str, y: str) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    size = F.least(F.size(x), F.size(y))
+    return F.aggregate(F.zip_with(_folded(x, size), _folded(y, size), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
 
 
 def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
@@ -225,8 +234,10 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
     best = fit.groupBy("db").agg(F.max_by("da", "shared").alias("da"))
     edges = verify(best, "links-best")
     roots = components(edges)
-    edges = stored(edges.unionAll(verify(across(fit, roots), "links-rest")), "links")
-    roots = components(edges)
+    more = verify(across(fit, roots), "links-rest")
+    if not more.isEmpty():
+        edges = stored(edges.unionAll(more), "links")
+        roots = components(edges)
 
     here = met.join(texts.select("node", "digest"), "node").select("key", "digest")
     for k in range(STAR_ROUNDS + 1):
@@ -247,8 +258,10 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
         found = (found.join(named.select(F.col("digest").alias("x"), F.col("node").alias("a")), "x")
                  .join(named.select(F.col("digest").alias("y"), F.col("node").alias("b")), "y"))
         found = near(found).where("da = x AND db = y").select("da", "db")
-        edges = stored(edges.unionAll(verify(found, f"links-large-{k}")), f"links-{k}")
-        roots = components(edges)
+        more = verify(found, f"links-large-{k}")
+        if not more.isEmpty():
+            edges = stored(edges.unionAll(more), f"links-{k}")
+            roots = components(edges)
     return roots.select(F.col("node").alias("digest"), "root")
 
 

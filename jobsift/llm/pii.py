@@ -130,11 +130,17 @@ def disclosing_terms(rows: DataFrame, generalise: float = GENERALISE_SHARE, remo
                .where(F.col("seen") >= support).drop("seen"))
     pairs = stored(held.select("entity", "term", "doc_id", "_text").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
                    .join(several, ["entity", "term"]), "pii-pairs")
+    n = float(rows.count())
+
+    def share(n_t: str) -> Column:
+        told = F.log2(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.col(n_t)))
+        return F.when(F.col("n_e") < F.lit(n), told / F.log2(F.lit(n) / F.col("n_e"))).otherwise(0.0)
+
+    # at least the rows where a term stands beside any entity hold it: most common words are out by that alone
+    anywhere = held.select("term", "doc_id", "_text").distinct().groupBy("term").agg(F.count("*").alias("n_any"))
+    pairs = stored(pairs.join(entities, "entity").join(anywhere, "term").where(share("n_any") >= generalise), "pii-candidates")
     n_t = _words(rows).join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(float(rows.count()))
-    told = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
-    share = F.when(F.col("n_e") < n, told / F.log2(n / F.col("n_e"))).otherwise(0.0)
-    return (pairs.join(n_t, "term").join(entities, "entity").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
+    return (pairs.join(n_t, "term").withColumn("share", share("n_t")).groupBy("term").agg(F.max("share").alias("share"))
             .where(F.col("share") >= generalise).withColumn("removed", F.col("share") >= remove))
 
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bcr, grace, langid, mixing, packing, parity, pii, toxicity, vamana
+from . import bcr, chaining, grace, langid, mixing, packing, parity, pii, toxicity, vamana
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vamana_search": lambda spark, sf_dir: vamana.neighbours_of(table(spark, sf_dir, "embeddings")),
     "op2_repeated_strings": lambda spark, sf_dir: bcr.repeats_of(table(spark, sf_dir, "documents")),
+    "op3_chained_passages": lambda spark, sf_dir: chaining.passages_of(table(spark, sf_dir, "documents")),
     "op4_parity_sketch_join": lambda spark, sf_dir: parity.jaccard_groups_of(table(spark, sf_dir, "documents")),
     "op5_mixture_packing": lambda spark, sf_dir: packing.packed_documents(table(spark, sf_dir, "documents")),
     "op6_language_id": lambda spark, sf_dir: langid.language_of(table(spark, sf_dir, "documents")),
