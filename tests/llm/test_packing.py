@@ -1,0 +1,97 @@
+import zlib
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+from tokenizers import Tokenizer
+
+from jobsift.llm import packing
+from jobsift.llm.tokens import encoder
+
+from .helpers import frame, odd_rows
+
+SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def check(rows, docs):
+    """Exact round trip of all documents and the shape of the sequences."""
+    exact = Tokenizer.from_file(PATH)
+    want = defaultdict(int)
+    for i, t in docs:
+        ids = exact.encode(t or "", add_special_tokens=False).ids + [1]
+        want[(i, np.array(ids, dtype="<u4").tobytes())] += 1
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length > 0
+        pieces[r.doc_id].append((r.start, bytes(r.ids), r.doc_tokens))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for i, _ in docs:
+        mine = sorted(pieces[i])
+        joined = b"".join(p[1] for p in mine)
+        copies = sum(n for (j, _), n in want.items() if j == i)
+        if copies == 1:
+            assert (i, joined) in want and len(joined) == 4 * mine[0][2]
+        else:
+            assert len(joined) == sum(len(b) * n for (j, b), n in want.items() if j == i)
+    total = sum(r.length for r in rows)
+    assert sorted(sequences) == list(range(len(sequences)))
+    for s, parts in sequences.items():
+        at = 0
+        for off, n in sorted(parts):
+            assert off == at
+            at += n
+        assert at == 2048 if s < total // 2048 else at & (at - 1) == 0
+
+
+def test_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = packing.pack(docs, PATH, with_ids=True).collect()
+    t = pq.read_table(f"{SF}/documents.parquet")
+    check(rows, list(zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), strict=True)))
+
+
+def test_windows_hold_the_mixture(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = packing.pack(docs, PATH, window=8192).collect()
+    total, by = defaultdict(int), defaultdict(int)
+    for r in rows:
+        total[r.source] += r.length
+        by[r.window_id, r.source] += r.length
+    last = max(w for w, _ in by)
+    for (w, s), n in by.items():
+        if w < last:
+            assert abs(n - 8192 * total[s] / sum(total.values())) <= 1
+
+
+def test_carries_at_any_window_equal_those_of_a_run_through_all():
+    totals = {"a": 10_007, "b": 313, "c": 40_001, "d": 1}
+    for weights in (None, {"a": 3, "b": 1, "c": 2, "d": 1}):
+        plan = packing.RoundRobin(totals, weights, window=1000)
+        left, carry, sent = dict(totals), dict.fromkeys(totals, Fraction(0)), dict.fromkeys(totals, 0)
+        if weights is None:
+            for w in range(1, plan.total // 1000 + 1):
+                for q in sorted(totals):
+                    carry[q] += Fraction(1000 * totals[q], plan.total)
+                    give = carry[q].__floor__()
+                    carry[q] -= give
+                    sent[q] += give
+                assert plan.sent(w) == [sent[q] for q in sorted(totals)]
+        steps = [plan.sent(w) for w in range(-(-plan.total // 1000) + 1)]
+        assert all(x <= y for a, b in zip(steps, steps[1:], strict=False) for x, y in zip(a, b, strict=True))
+        assert steps[-1] == [totals[q] for q in sorted(left)]
+
+
+def test_odd_rows(spark):
+    docs = frame(spark, odd_rows())
+    check(packing.pack(docs, PATH, with_ids=True).collect(), [r[:2] for r in odd_rows()])
+    assert packing.packed_documents(docs.limit(0)).count() == 0
+
+
+def test_fast_ids_are_those_of_the_library():
+    enc = encoder(PATH)
+    assert enc.fast is not None
+    for t in ["", " ", "  \n a  b\x1c  　x", "it's 'LL <|endoftext|> x", "a" * 3000, "\n\n" * 99 + "x", "日本語 ½ é \U0001F600", "a\r\n\tb"]:
+        assert enc.ids(t).tolist() == enc.exact.encode(t, add_special_tokens=False).ids
