@@ -104,6 +104,23 @@ def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``delivery`` with keys that come again: some listings once more in the next month's
+    file, some of these without a title (in three months of four, so that files hang on
+    each other in chains), and some twice in their own file."""
+    base = listing_base(spark, sf_dir)
+    ts, k = F.col("time_when_scraped"), F.regexp_extract("link", "[0-9]+$", 0).cast("bigint")
+    later = F.add_months(ts, 1).cast("timestamp_ntz")
+    rest = ["company", "link", F.date_format(ts, TIME_TEXT_FORMAT).alias("time_when_scraped"), "location", "compensation"]
+    next_file = result_set_file_name(F.col("source"), run_time(later)).alias("file_name")
+    again = base.filter(k % 13 == 0).select("listing_id", "source", "title", *rest, next_file)
+    broken = base.filter((k % 17 == 0) & (F.month(ts) % 4 != 0)).select(
+        "listing_id", "source", F.lit(None).cast("string").alias("title"), *rest, next_file)
+    first = delivery(spark, sf_dir)
+    twice = first.filter(F.regexp_extract("link", "[0-9]+$", 0).cast("bigint") % 1999 == 0)
+    return first.unionByName(again).unionByName(broken).unionByName(twice)
+
+
 def rescraped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every listing seen twice: in its own month's file and again, retitled, in the next month's."""
     b = listings(spark, sf_dir)
@@ -253,6 +270,22 @@ SELECT listing_id, source,
 FROM listing_base
 """
 
+_SEQ_SQL = "CAST(regexp_extract(link, '[0-9]+$') AS BIGINT)"
+_NEXT_FILE_SQL = _FILE_NAME_SQL.format(ts="(time_when_scraped + INTERVAL 1 MONTH)")
+_REST_SQL = "company, link, strftime(time_when_scraped, '%Y-%m-%d %H:%M:%S') AS time_when_scraped, location, compensation"
+
+DELIVERIES_SQL = f"""
+SELECT * FROM delivery
+UNION ALL
+SELECT listing_id, source, title, {_REST_SQL}, {_NEXT_FILE_SQL} AS file_name
+FROM listing_base WHERE {_SEQ_SQL} % 13 = 0
+UNION ALL
+SELECT listing_id, source, NULL AS title, {_REST_SQL}, {_NEXT_FILE_SQL} AS file_name
+FROM listing_base WHERE {_SEQ_SQL} % 17 = 0 AND month(time_when_scraped) % 4 <> 0
+UNION ALL
+SELECT * FROM delivery WHERE {_SEQ_SQL} % 1999 = 0
+"""
+
 RESCRAPED_SQL = f"""
 SELECT listing_id, source, title, company, link, time_when_scraped, location, compensation,
        {_FILE_NAME_SQL.format(ts='time_when_scraped')} AS file_name
@@ -284,6 +317,7 @@ _VIEW_SQL = {
     "listings": LISTINGS_SQL,
     "stored": STORED_SQL,
     "delivery": DELIVERY_SQL,
+    "deliveries": DELIVERIES_SQL,
     "rescraped": RESCRAPED_SQL,
     "card_sequence": CARD_SEQUENCE_SQL,
     "result_pages": PAGES_SQL,
@@ -293,6 +327,7 @@ _VIEW_DEPS = {
     "listings": ["listing_base"],
     "stored": ["listings"],
     "delivery": ["listing_base"],
+    "deliveries": ["delivery"],
     "rescraped": ["listings"],
     "card_sequence": ["listings"],
     "result_pages": ["listings"],

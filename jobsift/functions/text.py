@@ -16,9 +16,13 @@ def _col(c) -> Column:
 
 
 def ilike_any(c, substrings) -> Column:
-    """``c ILIKE '%s1%' OR c ILIKE '%s2%' ...``; Catalyst turns each into Contains(lower(c), s)."""
-    c = _col(c)
-    return reduce(or_, [c.ilike(f"%{s}%") for s in dict.fromkeys(substrings)])
+    """``c ILIKE '%s1%' OR c ILIKE '%s2%' ...``, NULL for a NULL text.
+
+    The text is lower-cased once, inside the array: as a plain disjunction each
+    pattern would lower it again.
+    """
+    wanted = [s.lower() for s in dict.fromkeys(substrings)]
+    return F.exists(F.array(F.lower(_col(c))), lambda t: reduce(or_, [t.contains(s) for s in wanted]))
 
 
 def whole_word_pattern(words) -> str:

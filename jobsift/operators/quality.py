@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.text import non_numeric
 from .dedupe import load_order
 from .joins import bounded_broadcast
+from ..session import cut_lineage
 from ..schema import KEY, LISTING_COLUMNS, REQUIRED_COLUMNS
 
-# A batch's per-file lists (one row per file) are broadcast up to this many files.
-FILE_BROADCAST_LIMIT = 100_000
-
 
 def conform_listing(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The 8 columns in file order, text time cast to TIMESTAMP_NTZ.
@@ -75,34 +73,35 @@ def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col:
     is NULL). A new row is bad if it is NULL-bad or its key occurs twice among
     the file's new rows (the insert would break the primary key).
 
-    With ``file_time_col`` the batch's files are taken in load order (file time,
-    then name) and a file's rows whose key an earlier file supplies cleanly (a
-    file with no bad row of its own, one clean row for the key) are shadowed:
-    loading files one at a time, the anti join would cut them, so they count
-    neither as new nor as bad. This resolves one level of that order (a file
-    cleared this way does not in turn clear later files).
-
-    All steps are grouped counts on one row per (file, key) or per file,
-    partially aggregated; no row-level join.
+    With ``file_time_col`` the result is that of loading the files one at a
+    time in load order (file time, then name): a row whose key an earlier
+    *good* file supplies is known by then, so it counts neither as new nor as
+    bad. Whether a file is good hangs on earlier files only, so the set of bad
+    files is the one that reproduces itself; it is found by repeating bad files
+    -> supplied keys -> bad files until nothing changes (after k rounds at
+    least the first k files are settled). Each round is grouped counts over one
+    checkpointed row per (file, key).
     """
     agg = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("null_bad")).alias("n_null_bad")]
     if file_time_col:
         agg.append(F.min(file_time_col).alias("_ft"))
     per_key = new_rows.groupBy(file_col, *KEY).agg(*agg)
     bad = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("n_null_bad"))
-    if file_time_col:
-        order = load_order("_ft", file_col)
-        per_key = per_key.withColumn("_order", order).withColumn("_bad", bad)
-        dirty = per_key.groupBy(file_col).agg(F.sum("_bad").alias("_b")).filter(F.col("_b") > 0).select(file_col)
-        supply = (per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
-                  .join(bounded_broadcast(dirty, FILE_BROADCAST_LIMIT), file_col, "left_anti")
-                  .groupBy(*KEY).agg(F.min("_order").alias("_first")))
-        per_key = per_key.join(supply, KEY, "left")
-        shadowed = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
-        return per_key.groupBy(file_col).agg(
+    if not file_time_col:
+        return per_key.groupBy(file_col).agg(F.sum("n").alias("n_new"), F.sum(bad).alias("n_bad"))
+    per_key = cut_lineage(per_key.withColumn("_order", load_order("_ft", file_col)).withColumn("_bad", bad))
+    clean = per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
+    dirty = cut_lineage(per_key.groupBy(file_col).agg(F.sum("_bad").alias("n_bad")).filter("n_bad > 0").select(file_col))
+    shadowed = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
+    while True:
+        supply = clean.join(dirty, file_col, "left_anti").groupBy(*KEY).agg(F.min("_order").alias("_first"))
+        flags = cut_lineage(per_key.join(supply, KEY, "left").groupBy(file_col).agg(
             F.sum(F.when(shadowed, 0).otherwise(F.col("n"))).alias("n_new"),
-            F.sum(F.when(shadowed, 0).otherwise(F.col("_bad"))).alias("n_bad"))
-    return per_key.groupBy(file_col).agg(F.sum("n").alias("n_new"), F.sum(bad).alias("n_bad"))
+            F.sum(F.when(shadowed, 0).otherwise(F.col("_bad"))).alias("n_bad")))
+        now = flags.filter(F.col("n_bad") > 0).select(file_col)
+        if now.exceptAll(dirty).isEmpty() and dirty.exceptAll(now).isEmpty():
+            return flags
+        dirty = now
 
 
 def outcome(n_rows: Column, n_new: Column, n_bad: Column) -> Column:

@@ -67,7 +67,8 @@ def location_inclusion(df: DataFrame) -> DataFrame:
 
 
 def screen_condition(fix_list: bool = False, junior_only: bool = False) -> Column:
-    cond = company_not_blocked("company", fix_list) & title_not_excluded("title") & location_included("location")
+    # the cheap tests first: most rows never reach the title's patterns
+    cond = location_included("location") & company_not_blocked("company", fix_list) & title_not_excluded("title")
     if junior_only:
         cond = cond & junior_title("title")
     return cond

@@ -215,12 +215,13 @@ def _not_null_sql() -> str:
 _NULL_BAD_SQL = " OR ".join(f"{c} IS NULL" for c in REQUIRED_COLUMNS)
 
 
-_CONFORMED_CTE = ("conformed AS (SELECT listing_id, source, title, company, link, "
-                  "TRY_CAST(time_when_scraped AS TIMESTAMP) AS time_when_scraped, location, compensation, file_name "
-                  "FROM delivery)")
+def _conformed_cte(view: str) -> str:
+    return ("conformed AS (SELECT listing_id, source, title, company, link, "
+            "TRY_CAST(time_when_scraped AS TIMESTAMP) AS time_when_scraped, location, compensation, file_name "
+            f"FROM {view})")
 
 
-@register("not_null_check", with_views(_not_null_sql(), "delivery", extra=[_CONFORMED_CTE]))
+@register("not_null_check", with_views(_not_null_sql(), "delivery", extra=[_conformed_cte("delivery")]))
 def q_not_null_check(spark, sf_dir):
     return Q.not_null_check(Q.conform_listing(fx.delivery(spark, sf_dir)))
 
@@ -232,23 +233,37 @@ def q_primary_key_check(spark, sf_dir):
     return Q.primary_key_check(fx.card_sequence(spark, sf_dir))
 
 
-# The new rows of the delivery: P2, then not stored (J1), with their NOT NULL
-# flag; per-file counts; the files with a bad new row.
-_NEW_ROWS_CTES = [_CONFORMED_CTE, """
+# The new rows of a delivery (P2, then not stored: J1) with their NOT NULL flag, per
+# (file, key); then the files one after the other by name (they have no time here):
+# a file is bad if it has a bad row of a key that no good file before it holds
+# cleanly. ``walk`` carries the names of the bad files so far.
+_NEW_ROWS_CTES = ["""
 new_rows AS (
   SELECT c.*, (""" + _NULL_BAD_SQL + """) AS null_bad
   FROM conformed c
   WHERE CASE WHEN source = 'LinkedIn' THEN NOT regexp_matches(listing_id, '[^0-9]') ELSE TRUE END
     AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.listing_id = c.listing_id AND s.source = c.source))""", """
-per_key AS (
+per_key AS MATERIALIZED (
   SELECT file_name, listing_id, source, count(*) AS n, count(*) FILTER (WHERE null_bad) AS n_null_bad,
          CASE WHEN count(*) > 1 THEN count(*) ELSE count(*) FILTER (WHERE null_bad) END AS bad
   FROM new_rows GROUP BY file_name, listing_id, source)""", """
-dirty AS (SELECT file_name FROM per_key GROUP BY file_name HAVING sum(bad) > 0)""", """
+ordered AS MATERIALIZED (
+  SELECT file_name, row_number() OVER (ORDER BY file_name) AS i FROM (SELECT DISTINCT file_name FROM per_key))""", """
+claims AS MATERIALIZED (
+  SELECT p.file_name, p.listing_id, p.source, coalesce(list(q.file_name) FILTER (WHERE q.file_name IS NOT NULL), []) AS holders
+  FROM per_key p LEFT JOIN per_key q ON q.listing_id = p.listing_id AND q.source = p.source
+    AND q.file_name < p.file_name AND q.n = 1 AND q.n_null_bad = 0
+  WHERE p.bad > 0 GROUP BY p.file_name, p.listing_id, p.source)""", """
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS bad
+  UNION ALL
+  SELECT w.i + 1, CASE WHEN EXISTS (SELECT 1 FROM claims c WHERE c.file_name = f.file_name AND list_has_all(w.bad, c.holders))
+                       THEN list_append(w.bad, f.file_name) ELSE w.bad END
+  FROM walk w JOIN ordered f ON f.i = w.i + 1)""", """
+bad_files AS (SELECT unnest(bad) AS file_name FROM walk WHERE i = (SELECT max(i) FROM walk))""", """
 supply AS (
-  -- the earliest clean file that supplies each key (files here have no time: load order is by name)
   SELECT listing_id, source, min(file_name) AS first_file FROM per_key
-  WHERE n = 1 AND n_null_bad = 0 AND file_name NOT IN (SELECT file_name FROM dirty)
+  WHERE n = 1 AND n_null_bad = 0 AND file_name NOT IN (SELECT file_name FROM bad_files)
   GROUP BY listing_id, source)""", """
 stats AS (
   SELECT p.file_name,
@@ -256,7 +271,6 @@ stats AS (
          CAST(sum(CASE WHEN s.first_file < p.file_name THEN 0 ELSE p.bad END) AS BIGINT) AS n_bad
   FROM per_key p LEFT JOIN supply s ON s.listing_id = p.listing_id AND s.source = p.source
   GROUP BY p.file_name)""", """
-bad_files AS (SELECT file_name FROM stats WHERE n_bad > 0)""", """
 to_append AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY listing_id, source ORDER BY file_name) AS rn
@@ -264,12 +278,13 @@ to_append AS (
   WHERE rn = 1)"""]
 
 
-def _with_new_rows(sql: str, *more) -> str:
-    return with_views(sql, "delivery", "stored", extra=[*_NEW_ROWS_CTES, *more])
+def _with_new_rows(sql: str, *more, view: str = "deliveries") -> str:
+    text = with_views(sql, view, "stored", extra=[_conformed_cte(view), *_NEW_ROWS_CTES, *more])
+    return "WITH RECURSIVE" + text.removeprefix("WITH")
 
 
 def _delivery_batch(spark, sf_dir):
-    rows = fx.delivery(spark, sf_dir)
+    rows = fx.deliveries(spark, sf_dir)
     known = fx.stored_listings(spark, sf_dir).select(*KEY)
     return rows, known
 
@@ -468,21 +483,20 @@ def q_read_known_keys(spark, sf_dir):
     return st.read_known_keys(spark, store)
 
 
-@register("append_listings", with_views("SELECT source, count(*) AS n_rows FROM listings GROUP BY source",
-                                        "listings"))
+@register("append_listings", with_views(f"SELECT {_L8} FROM listings", "listings"))
 def q_append_listings(spark, sf_dir):
     store = scratch_path(spark, "store")
     stored = fx.stored_listings(spark, sf_dir)
     st.append_listings(stored, store, "0")
     st.append_listings(D.new_listings(_listings(spark, sf_dir), stored.select(*KEY)), store, "1")
-    st.append_listings(stored, store, "0")  # a replayed batch replaces itself, it is not added twice
-    return st.read_listings(spark, store).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
+    st.append_listings(stored, store, "0", replay=True)  # a replayed batch replaces itself, it is not added twice
+    return st.read_listings(spark, store)
 
 
 @register("ingest_drop_folder", _with_new_rows(f"""
 SELECT {_L8} FROM stored
 UNION ALL
-SELECT {_L8} FROM to_append"""))
+SELECT {_L8} FROM to_append""", view="delivery"))
 def q_ingest_drop_folder(spark, sf_dir):
     from ..streaming.ingest import ingest_drop_folder
 

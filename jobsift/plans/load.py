@@ -7,12 +7,14 @@ D2 first file wins among the good files -> S4 append.
 
 Bulk mode handles many files in one pass (set-based, the store is never
 shuffled for a small batch); the faithful one-file-at-a-time order is the
-streaming ingest with ``maxFilesPerTrigger=1``.
+drop-folder ingest with one file per step, which loads the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,47 +22,51 @@ from ..operators.dedupe import first_file_wins, new_listings
 from ..operators.quality import (conform_listing, file_flags, file_quarantine, ingest_outcome, numeric_id_ok,
                                  violates_not_null)
 from ..schema import LISTING_COLUMNS
-from ..operators.joins import bounded_broadcast
 from ..session import cut_lineage
-
-# A batch's file list (one row per file) is broadcast up to this many files.
-FILE_LIST_BROADCAST_LIMIT = 100_000
-from ..sources.listing_csv import list_listing_files, read_listings_csv, top_level_csv
+from ..sources.listing_csv import list_listing_files, list_parts, listing_paths, not_found, read_listings_csv, top_level_csv
 from ..sources.store import append_listings, batch_dir, read_known_keys
 
 
-def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None,
-               checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
+def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None, checkpoint: bool = True,
+               unreadable: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """``(to_append, outcomes)`` for a batch of listing-file rows.
 
-    ``rows``: the 8 text columns + ``file_name`` (+ ``file_time``).
+    ``rows``: the 8 text columns + ``file_name`` (+ ``file_time``, ``file_error``).
     ``known``: the stored keys. With ``checkpoint`` the conformed rows are
     materialised once in the shared folder (the listing files are parsed once,
     not once per use), and so are the new rows, which feed both the outcome
     and the append (the store is probed once). Both cut the lineage: a lost
-    executor does not send the batch back to the files and the store.
+    executor does not send the batch back to the files and the store. Rows with
+    a ``file_error`` are bad whatever is stored; files named in ``unreadable``
+    gave no rows and end in ``ERROR``.
     """
     if files is not None and checkpoint:
         files = cut_lineage(files)  # one listing of the folder, however often the file list is used
-    if "file_time" not in rows.columns:
-        rows = rows.withColumn("file_time", F.lit(None).cast("timestamp"))
-    conformed = conform_listing(rows, keep=["file_name", "file_time"])
+    for name, kind in (("file_time", "timestamp"), ("file_error", "string")):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    conformed = conform_listing(rows, keep=["file_name", "file_time", "file_error"])
     if checkpoint:
         conformed = cut_lineage(conformed)
     conformed = with_file_times(conformed, files)
-    new = new_listings(conformed.filter(numeric_id_ok()), known).withColumn("null_bad", violates_not_null())
+    broken = F.col("file_error").isNotNull()
+    new = new_listings(conformed.filter(numeric_id_ok() & ~broken), known).unionByName(conformed.filter(broken))
+    new = new.withColumn("null_bad", violates_not_null() | broken).drop("file_error")
     if checkpoint:
         new = cut_lineage(new)
     # per-file flags (one row per file, from the checkpointed new rows); the
     # quarantine comes from them, not from the file list, so a file the listing
     # missed still has its bad rows caught
     flags = file_flags(new, file_time_col="file_time")
-    if checkpoint:
-        flags = cut_lineage(flags)  # one row per file, used by the outcome and the quarantine
     stats = ingest_outcome(conformed, new, files, flags=flags)
+    if unreadable:
+        outcome = F.when(F.col("file_name").isin(unreadable), F.lit("ERROR")).otherwise(F.col("outcome"))
+        stats = stats.withColumn("outcome", outcome)
     bad_files = flags.filter(F.col("n_bad") > 0).select("file_name")
     good = file_quarantine(new.drop("null_bad"), bad_files)
     to_append = first_file_wins(good, "file_time", "file_name").select(*LISTING_COLUMNS, "file_name")
+    if checkpoint:
+        to_append = cut_lineage(to_append)  # appended, and counted per file
     return to_append, with_loaded_counts(stats, to_append)
 
 
@@ -73,8 +79,7 @@ def with_file_times(rows: DataFrame, files: DataFrame | None = None) -> DataFram
         listed = files.groupBy("file_name").agg(F.min("file_time").alias("_listed"))
         own = own.join(listed, "file_name", "left").select(
             "file_name", F.coalesce("_listed", "_own").alias("_own"))
-    times = bounded_broadcast(own, FILE_LIST_BROADCAST_LIMIT)
-    return rows.join(times, "file_name", "left").withColumn("file_time", F.col("_own")).drop("_own")
+    return rows.join(own, "file_name", "left").withColumn("file_time", F.col("_own")).drop("_own")
 
 
 def with_loaded_counts(stats: DataFrame, to_append: DataFrame) -> DataFrame:
@@ -89,11 +94,40 @@ def with_loaded_counts(stats: DataFrame, to_append: DataFrame) -> DataFrame:
                     .otherwise(F.col("outcome")).alias("outcome")))
 
 
-def known_keys_or_empty(spark: SparkSession, store: str, exclude_batch=None) -> DataFrame:
+# A batch that names more sites than this probes the whole store instead of their partitions.
+MAX_SITES = 64
+
+
+def known_keys_or_empty(spark: SparkSession, store: str, exclude_batch=None, sources=None) -> DataFrame:
+    try:
+        return read_known_keys(spark, store, sources, exclude_batch=None if exclude_batch is None else str(exclude_batch))
+    except AnalysisException as e:
+        if not not_found(e):
+            raise
+        return spark.createDataFrame([], "listing_id string, source string")  # no store yet
+
+
+def literal_path(p: str) -> str:
+    """Escape glob characters so a file name is read as it is."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", p)
+
+
+def readable_rows(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
+    """The rows of the listing files ``paths``, stored, and the paths that cannot be read.
+
+    One read for all; only if a file breaks it are the paths halved, down to the
+    files that are broken.
+    """
     try:
-        return read_known_keys(spark, store, exclude_batch=None if exclude_batch is None else str(exclude_batch))
-    except AnalysisException:  # no store yet
-        return spark.createDataFrame([], "listing_id string, source string")
+        return cut_lineage(read_listings_csv(spark, [literal_path(p) for p in paths])), []
+    except PySparkException as e:
+        if "FAILED_READ_FILE" not in str(e):
+            raise
+        if len(paths) == 1:
+            return read_listings_csv(spark, f"{paths[0]}/none/*.csv", empty_if_no_match=True), paths
+    half = len(paths) // 2
+    (one, bad_one), (two, bad_two) = readable_rows(spark, paths[:half]), readable_rows(spark, paths[half:])
+    return one.unionByName(two), bad_one + bad_two
 
 
 def write_outcomes(outcomes: DataFrame, path: str, batch_id) -> None:
@@ -102,25 +136,56 @@ def write_outcomes(outcomes: DataFrame, path: str, batch_id) -> None:
 
 
 def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outcomes_path: str | None = None,
-               files: DataFrame | None = None) -> None:
-    """Plan and write one batch: its rows go to ``load_batch=<batch_id>`` (a replay
-    of the batch overwrites that partition and ignores it as 'known')."""
-    known = known_keys_or_empty(spark, store, exclude_batch=batch_id)
-    to_append, outcomes = plan_batch(rows, known, files)
-    if not outcomes_path:
-        append_listings(to_append.drop("file_name"), store, batch_id)
-        return
-    # the append and the per-file loaded counts share one computation of the rows
-    to_append.persist()
-    try:
-        append_listings(to_append.drop("file_name"), store, batch_id)
+               files: DataFrame | None = None, replay: bool = False, unreadable: list[str] | None = None) -> None:
+    """Plan and write one batch: its rows go to ``load_batch=<batch_id>``.
+
+    An id that the store holds already is an error; with ``replay`` (ids made
+    from the batch's files) it is the same batch again, which replaces its
+    partition and ignores it as 'known'. The store is probed in the partitions
+    of the batch's sites only.
+    """
+    sites = [r["source"] for r in rows.select("source").distinct().limit(MAX_SITES + 1).collect()]
+    sites = None if len(sites) > MAX_SITES else [s for s in sites if s is not None]
+    known = known_keys_or_empty(spark, store, exclude_batch=batch_id if replay else None, sources=sites)
+    to_append, outcomes = plan_batch(rows, known, files, unreadable=unreadable)
+    append_listings(to_append.drop("file_name"), store, batch_id, replay)
+    if outcomes_path:
         write_outcomes(outcomes, outcomes_path, batch_id)
-    finally:
-        to_append.unpersist()
+
+
+def _same_input_again(spark: SparkSession, folder: str, store: str, batch_id) -> bool:
+    """Whether the batch was begun before with the files the folder holds now; an error if with others.
+
+    A batch's identity is its files (path, time, length), kept beside the store.
+    """
+    one = F.xxhash64("path", "time", "length").cast("decimal(38,0)")
+    now = list_parts(spark, folder).agg(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(one), F.lit(0)).cast("string")).alias("value"))
+    at = batch_dir(store.rstrip("/") + "_inputs", batch_id)
+    try:
+        before = spark.read.text(at).first()
+    except AnalysisException as e:
+        if not not_found(e):
+            raise
+        now.write.text(at)
+        return False
+    if before is None or before["value"] != now.first()["value"]:
+        raise ValueError(f"batch {batch_id} is already in the store, with other files")
+    return True
 
 
 def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes_path: str | None = None) -> None:
-    """Bulk load of every listing file in ``folder`` (header-only files reported as EMPTY)."""
+    """Bulk load of every listing file in ``folder`` (header-only files reported as EMPTY).
+
+    A batch id is used once; loading the same files under it again replays the batch.
+    """
+    replay = _same_input_again(spark, folder, store, batch_id)
     files = list_listing_files(spark, folder).select("file_name", "file_time")
-    rows = read_listings_csv(spark, top_level_csv(folder), empty_if_no_match=True)
-    load_batch(spark, rows, store, batch_id, outcomes_path, files)
+    unreadable: list[str] = []
+    try:
+        rows = cut_lineage(read_listings_csv(spark, top_level_csv(folder), empty_if_no_match=True))
+    except PySparkException as e:
+        if "FAILED_READ_FILE" not in str(e):
+            raise
+        rows, bad = readable_rows(spark, listing_paths(spark, folder))
+        unreadable = [p.rstrip("/").rsplit("/", 1)[-1].removeprefix("file_name=") for p in bad]
+    load_batch(spark, rows, store, batch_id, outcomes_path, files, replay, unreadable)

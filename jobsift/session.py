@@ -76,6 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = tempfile.mkdtemp(prefix="jobsift-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

@@ -7,11 +7,14 @@ X.csv``) counts as one listing file, like a flat ``X.csv``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path, metadata_file_path, result_set_file_name
+from ..functions.text import file_name_of_path, in_result_set_folder, metadata_file_path, path_dir, result_set_file_name
 from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA, TIME_TEXT_FORMAT
 
 CSV_READ_OPTIONS = {
@@ -20,8 +23,12 @@ CSV_READ_OPTIONS = {
     "escape": '"',  # quotes are doubled inside quoted values
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
+    "maxColumns": "1000000",  # a line of many fields is a bad row, not the end of the job
 }
 
+#: Fields of a line that are looked at: the columns are found by name among these.
+FIELDS = 32
+
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "escape": '"',
@@ -39,12 +46,16 @@ def top_level_csv(folder: str) -> str:
 
 def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_line: bool = True,
                       empty_if_no_match: bool = False) -> DataFrame:
-    """Listing files as 8 text columns (+ ``file_name``, ``file_time``).
+    """Listing files as 8 text columns (+ ``file_name``, ``file_time``, ``file_error``).
 
-    No schema inference: every column is a string, as the files are text. A
+    Columns are taken by the names in each file's header, in whatever order and
+    among whatever others; rows of a file that lacks one, and rows with more
+    fields than the header, say so in ``file_error``. No schema inference: every
+    column is a string, as the files are text. A
     multi-line CSV file is read by one task, so parallelism comes from the
     number of files (result sets Spark writes are split into several part
-    files). Files known to hold no line break inside a value can be read with
+    files). Files known to hold no line break inside a value, and known to have
+    the 8 columns in order (else the read fails), can be read with
     ``multi_line=False``, which makes each file splittable.
 
     A path that does not exist is an error; with ``empty_if_no_match`` a glob
@@ -52,30 +63,71 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_l
     an empty one through a glob, so both read as empty then).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
+    schema = ", ".join(f"c{i} string" for i in range(FIELDS)) if multi_line else LISTING_TEXT_SCHEMA
+    opts = dict(CSV_READ_OPTIONS, multiLine="true", header="false") if multi_line else dict(
+        CSV_READ_OPTIONS, multiLine="false", enforceSchema="false")
     try:
-        df = spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
+        df = spark.read.schema(schema).options(**opts).csv(paths)
     except AnalysisException as e:
-        if not (empty_if_no_match and _no_match(e)):
+        if not (empty_if_no_match and not_found(e)):
             raise
         empty = spark.createDataFrame([], LISTING_TEXT_SCHEMA)
         if not with_file:
             return empty
-        return empty.select(*LISTING_COLUMNS, F.lit(None).cast("string").alias("file_name"),
-                            F.lit(None).cast("timestamp").alias("file_time"))
-    if not with_file:
-        return df
-    return df.select(
-        *LISTING_COLUMNS,
-        file_name_of_path(metadata_file_path()).alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("file_time"),
-    )
+        return empty.select(*LISTING_COLUMNS, *[F.lit(None).cast(t).alias(c) for c, t in _FILE_COLUMNS])
+    at = [file_name_of_path(metadata_file_path()).alias("file_name"), F.col("_metadata.file_modification_time").alias("file_time")]
+    if not multi_line:
+        return df.select(*LISTING_COLUMNS, *at, F.lit(None).cast("string").alias("file_error")) if with_file else df
+    raw = df.select(F.col("_metadata.file_path").alias("_path"), *at, *[f"c{i}" for i in range(FIELDS)])
+    named = raw.mapInArrow(_by_name, ", ".join([*(f"{c} string" for c in LISTING_COLUMNS), *(f"{c} {t}" for c, t in _FILE_COLUMNS)]))
+    return named if with_file else named.select(*LISTING_COLUMNS)
+
+
+_FILE_COLUMNS = (("file_name", "string"), ("file_time", "timestamp"), ("file_error", "string"))
+
+
+def _by_name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Raw fields to the columns by name; the first row of each file is its header.
+
+    A file that is read with line breaks in values is never split, so its rows
+    reach one task together and in order. A row of a file without all columns,
+    or with more fields than its header, carries what is wrong as ``file_error``.
+    """
+    path, places, width, error = None, {}, 0, None
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        cuts = [0, *(i for i in range(1, len(paths)) if paths[i] != paths[i - 1]), len(paths)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            part = batch.slice(lo, hi - lo)
+            if paths[lo] != path:
+                path = paths[lo]
+                header = [part.column(3 + i)[0].as_py() for i in range(FIELDS)]
+                width = max((i + 1 for i, h in enumerate(header) if h is not None), default=0)
+                places = {h.lstrip("\ufeff").strip(): i for i, h in reversed(list(enumerate(header))) if h is not None}
+                missing = [c for c in LISTING_COLUMNS if c not in places]
+                error = f"no column {', '.join(missing)}" if missing else None
+                part = part.slice(1)
+            n = part.num_rows
+            if not n:
+                continue
+            errors = [error] * n
+            if error is None:
+                for i in range(width, FIELDS):
+                    if part.column(3 + i).null_count < n:
+                        errors = ["more fields than the header" if v is not None else e
+                                  for v, e in zip(part.column(3 + i).to_pylist(), errors, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(3 + places[c]) if c in places else pa.nulls(n, pa.string()) for c in LISTING_COLUMNS),
+                 part.column(1), part.column(2), pa.array(errors, pa.string())],
+                names=[*LISTING_COLUMNS, *(c for c, _ in _FILE_COLUMNS)])
 
 
 _FILES_SCHEMA = "file_name string, file_time timestamp, n_bytes bigint"
 
 
-def _no_match(e: AnalysisException) -> bool:
+def not_found(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
 
@@ -88,7 +140,7 @@ def list_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     try:
         listed = spark.read.format("binaryFile").load(top_level_csv(folder))
     except AnalysisException as e:
-        if _no_match(e):
+        if not_found(e):
             return spark.createDataFrame([], _FILES_SCHEMA)
         raise
     return (listed
@@ -98,6 +150,26 @@ def list_listing_files(spark: SparkSession, folder: str) -> DataFrame:
             .agg(F.min("mtime").alias("file_time"), F.sum("length").alias("n_bytes")))
 
 
+def list_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(lpath, path, time, length)`` of every physical file of the listing files in
+    ``folder``; ``lpath`` is the listing file it belongs to: the result-set folder for
+    a part file Spark wrote, else the file itself."""
+    try:
+        listed = spark.read.format("binaryFile").load(top_level_csv(folder))
+    except AnalysisException as e:
+        if not not_found(e):
+            raise
+        return spark.createDataFrame([], "lpath string, path string, time timestamp, length bigint")
+    path = F.col("path")
+    logical = F.when(in_result_set_folder(path), path_dir(path)).otherwise(path)
+    return listed.select(logical.alias("lpath"), "path", F.col("modificationTime").alias("time"), "length")
+
+
+def listing_paths(spark: SparkSession, folder: str) -> list[str]:
+    """The paths of the listing files in ``folder``."""
+    return sorted(r["lpath"] for r in list_parts(spark, folder).select("lpath").distinct().collect())
+
+
 def discover_listing_files(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, file_time, n_bytes, n_rows)`` for every listing file in ``folder``.
 

@@ -1,8 +1,9 @@
 """The stored listing table: parquet, partitioned by load batch and site.
 
-Layout: ``<store>/load_batch=<id>/source=<site>/part-*.parquet``. A load
-replaces only its own ``load_batch`` folder, so re-running a batch after a
-failure replaces its output instead of adding it twice.
+Layout: ``<store>/load_batch=<id>/source=<site>/part-*.parquet``. The store only
+grows: a load adds its own ``load_batch`` folder. A batch of the drop-folder
+ingest, whose id is made from its files, replaces its own folder when it is
+replayed, so it is not added twice.
 """
 
 from __future__ import annotations
@@ -56,15 +57,16 @@ def batch_dir(root: str, batch_id) -> str:
     return f"{root.rstrip('/')}/load_batch={bid}"
 
 
-def append_listings(df: DataFrame, store: str, batch_id) -> None:
-    """Add a batch of listings to the store (8 columns, idempotent per batch).
+def append_listings(df: DataFrame, store: str, batch_id, replay: bool = False) -> None:
+    """Add a batch of listings to the store (8 columns).
 
     The batch is written as its own ``load_batch=<id>`` folder (partitioned by
-    ``source`` inside), replacing that folder whole: a replayed batch leaves no
-    rows of an earlier attempt behind, whatever sites it covers.
+    ``source`` inside). Rows once stored stay: an id that is already there is
+    an error. Only the replay of one and the same batch (its id is made from
+    its files) may write its folder again, whole.
     """
     out = conform_listing(df)
-    out.write.mode("overwrite").partitionBy("source").parquet(batch_dir(store, batch_id))
+    out.write.mode("overwrite" if replay else "errorifexists").partitionBy("source").parquet(batch_dir(store, batch_id))
 
 
 def read_known_keys_jdbc(spark: SparkSession, url: str, table: str, properties: dict, sources=None) -> DataFrame:

@@ -1,140 +1,124 @@
-"""The loader as a Structured Streaming query over the drop folder.
-
-The stream carries the drop folder's files, not their rows: a ``binaryFile``
-file stream with only the path selected (no content is read). The file source
-remembers in its checkpoint which files it has handed out, which replaces
-moving files to ``Processed``. Each micro-batch reads its listing files whole
-and runs the load plan in ``foreachBatch``, so every file, a header-only one
-included, gets an outcome row, and a result set Spark wrote as several part
-files is loaded as one file.
-
-Micro-batch ``n`` writes ``load_batch=stream-<checkpoint hash>-<n>`` (store,
-outcomes, and a log of the physical files it read); a replayed batch
-overwrites its own partitions and ignores its own earlier output as 'known'
-or 'read', so the append is exactly-once.
+"""The loader over the drop folder.
+
+The work is what the folder lists and the read log does not: a physical file
+is known by path, modification time and length, so a file that is corrected
+and put back under its name, or that arrives with an old date, is read. The
+waiting listing files are taken in load order (file time, then name), a
+bounded number per step; each is read whole, all part files of a result set
+Spark wrote included, and every one of them, a header-only or unreadable one
+included, gets an outcome row.
+
+A step's batch id is made from its files: ``load_batch=<tag>-<hash>`` (store,
+outcomes and read log). A step that is run again after a failure writes its own
+partitions again and ignores its own earlier output as 'known', so the append
+is exactly-once. As a service the ingest is a Structured Streaming query whose
+micro-batches are the schedule: each looks for waiting files.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import file_name_of_path, in_result_set_folder, path_dir
-from ..plans.load import load_batch
-from ..sources.listing_csv import read_listings_csv, top_level_csv
+from ..functions.text import file_name_of_path
+from ..operators.dedupe import load_order
+from ..plans.load import load_batch, readable_rows
+from ..session import cut_lineage
+from ..sources.listing_csv import list_parts, not_found
 from ..sources.store import batch_dir
 
-
-# The binaryFile source's fixed schema (a stream must be given it explicitly).
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
-
-def listing_file_stream(spark: SparkSession, drop: str, max_files_per_trigger: int | None = None,
-                        archive_dir: str | None = None) -> DataFrame:
-    """The drop folder's listing files (``path``) as a stream. With ``archive_dir``
-    the file source moves files it has finished with there (``cleanSource=archive``),
-    the counterpart of moving them to ``Processed``; the outcome table stays the
-    record of what happened to each file."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.load(top_level_csv(drop)).select("path")
-
-
-def logical_path(path: Column) -> Column:
-    """The path of the listing file a physical file belongs to: the result-set
-    folder for a part file Spark wrote, else the file itself."""
-    return F.when(in_result_set_folder(path), path_dir(path)).otherwise(path)
-
-
-def _literal_path(p: str) -> str:
-    """Escape glob characters so a file name is read as it is."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", p)
+#: Listing files of one step at most: the driver names that many paths to the reader.
+FILES_PER_STEP = 10_000
 
 
 def stream_tag(checkpoint: str) -> str:
-    """Names this stream's store partitions: stable across restarts (same checkpoint),
-    distinct from other streams and from bulk loads writing the same store."""
+    """Names this ingest's store partitions: stable across restarts (same checkpoint),
+    distinct from other ingests and from bulk loads writing the same store."""
     return "stream-" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
 
 
 def read_log_path(outcomes_path: str) -> str:
-    """Where the stream records which physical files each batch read."""
+    """Where the ingest records which physical files each step read."""
     return outcomes_path.rstrip("/") + "_files_read"
 
 
-def _read_by_others(spark: SparkSession, log_path: str, batch_id: str) -> DataFrame | None:
+def waiting_files(spark: SparkSession, drop: str, outcomes_path: str) -> DataFrame:
+    """One row per listing file with a part that has not been read as it is now: lpath,
+    file_name, file_time, parts (path, time, length)."""
+    parts = list_parts(spark, drop)
     try:
-        log = spark.read.schema("path string, load_batch string").parquet(log_path)
-    except AnalysisException:
-        return None  # nothing read yet
-    return log.filter(F.col("load_batch") != batch_id).select("path")
-
-
-def _current_parts(spark: SparkSession, drop: str) -> DataFrame:
-    """Every physical file of the drop folder's listing files now (metadata only)."""
-    try:
-        listed = spark.read.format("binaryFile").load(top_level_csv(drop))
-    except AnalysisException:
-        return spark.createDataFrame([], "path string, modificationTime timestamp")
-    return listed.select("path", "modificationTime")
-
-
-def load_files(spark: SparkSession, files: DataFrame, drop: str, store: str, batch_id: str,
-               outcomes_path: str) -> None:
-    """Load the listing files the physical files ``files(path)`` belong to, each whole.
-
-    A physical file another batch already read is skipped (the other parts of a
-    result set loaded whole earlier); a file with any part not read yet is read
-    again whole (rewritten result sets, late parts; rows already stored are
-    'known'). Files that vanished since they were listed are left out. The
-    batch's part-file metadata (path, time) is gathered on the driver to name
-    the read and to list the batch once: file names of this batch, as the
-    file listing itself is.
-    """
-    new = files.select("path").distinct()
-    seen = _read_by_others(spark, read_log_path(outcomes_path), batch_id)
-    if seen is not None:
-        new = new.join(seen, "path", "left_anti")
-    wanted = new.select(logical_path(F.col("path")).alias("lpath")).distinct()
-    found = (_current_parts(spark, drop).withColumn("lpath", logical_path(F.col("path")))
-             .join(wanted, "lpath", "left_semi").select("lpath", "path", "modificationTime").collect())
-    if not found:
-        return
-    # the batch's part files, listed once (metadata of this batch's files only)
-    parts = spark.createDataFrame(found, "lpath string, path string, modificationTime timestamp")
-    lpaths = sorted({r["lpath"] for r in found})
-    listing = (parts.groupBy(file_name_of_path(F.col("path")).alias("file_name"))
-               .agg(F.min("modificationTime").alias("file_time")))
-    rows = read_listings_csv(spark, [_literal_path(p) for p in lpaths])
-    load_batch(spark, rows, store, batch_id, outcomes_path, files=listing)
-    parts.select("path").write.mode("overwrite").parquet(batch_dir(read_log_path(outcomes_path), batch_id))
+        log = spark.read.schema("path string, time timestamp, length bigint").parquet(read_log_path(outcomes_path))
+    except AnalysisException as e:
+        if not not_found(e):
+            raise
+        log = spark.createDataFrame([], "path string, time timestamp, length bigint")
+    fresh = parts.join(log, ["path", "time", "length"], "left_anti").select("lpath").distinct()
+    return (parts.join(fresh, "lpath", "left_semi").groupBy("lpath")
+            .agg(F.min("time").alias("file_time"), F.sort_array(F.collect_list(F.struct("path", "time", "length"))).alias("parts"))
+            .withColumn("file_name", file_name_of_path(F.col("parts")[0]["path"])))
+
+
+def _move(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move files that have been read below ``folder``, each in its result set's folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        source = jvm.org.apache.hadoop.fs.Path(p)
+        above = source.getParent()
+        to = jvm.org.apache.hadoop.fs.Path(folder, above.getName() if above.getName().endswith(".csv") else ".")
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(to)
+        if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(to, source.getName())):
+            raise OSError(f"cannot move {p} to {to.toString()}")
+
+
+def ingest_waiting(spark: SparkSession, drop: str, store: str, outcomes_path: str, tag: str,
+                   files_per_step: int = FILES_PER_STEP, archive_dir: str | None = None) -> int:
+    """Load all waiting files, ``files_per_step`` at a time in load order; how many there were."""
+    waiting = cut_lineage(waiting_files(spark, drop, outcomes_path).withColumn("at", load_order("file_time", "file_name")))
+    done, last = 0, None
+    while True:
+        left = waiting if last is None else waiting.where(F.col("at") > last)
+        step = left.orderBy("at").limit(files_per_step).drop("at").collect()  # metadata of at most files_per_step files
+        if not step:
+            return done
+        newest = step[-1]
+        last = F.struct(F.lit(newest["file_time"] is None), F.lit(newest["file_time"]).cast("timestamp"), F.lit(newest["file_name"]))
+        parts = [(p["path"], p["time"], p["length"]) for f in step for p in f["parts"]]
+        batch = f"{tag}-{hashlib.sha1(repr(sorted(parts)).encode()).hexdigest()[:16]}"
+        listing = spark.createDataFrame([(f["file_name"], f["file_time"]) for f in step], "file_name string, file_time timestamp")
+        rows, bad = readable_rows(spark, [f["lpath"] for f in step])
+        names = {f["lpath"]: f["file_name"] for f in step}
+        load_batch(spark, rows, store, batch, outcomes_path, files=listing, replay=True, unreadable=[names[p] for p in bad])
+        (spark.createDataFrame(parts, "path string, time timestamp, length bigint")
+         .write.mode("overwrite").parquet(batch_dir(read_log_path(outcomes_path), batch)))
+        if archive_dir:
+            _move(spark, [p for p, _, _ in parts], archive_dir)
+        done += len(step)
 
 
 def ingest_drop_folder(spark: SparkSession, drop: str, store: str, checkpoint: str, outcomes_path: str,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
                        processing_time: str = "4 hours", archive_dir: str | None = None):
-    """Run the ingest; with ``available_now`` it processes what is there and stops.
-
-    ``max_files_per_trigger=1`` gives the one-file-at-a-time order of the
-    original loader (a file sees the rows of every earlier file as stored);
-    leaving it unset loads all waiting files in one set-based batch.
+    """Run the ingest; with ``available_now`` it loads what is there and returns None.
+
+    Else it returns the running query: every ``processing_time`` a micro-batch
+    of a clock stream (its rows are not used) loads what is waiting then.
+    ``max_files_per_trigger=1`` loads one file at a time (a file sees the rows
+    of every earlier file as stored); otherwise waiting files load in set-based
+    steps, with the same result. ``checkpoint`` names the ingest. With
+    ``archive_dir`` files that have been read are moved there.
     """
-    stream = listing_file_stream(spark, drop, max_files_per_trigger, archive_dir)
-    tag = stream_tag(checkpoint)
+    tag, n = stream_tag(checkpoint), max_files_per_trigger or FILES_PER_STEP
+    if available_now:
+        ingest_waiting(spark, drop, store, outcomes_path, tag, n, archive_dir)
+        return None
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
-    def run_batch(batch_df, batch_id):
-        load_files(batch_df.sparkSession, batch_df, drop, store, f"{tag}-{batch_id}", outcomes_path)
+    def tick(df: DataFrame, _: int) -> None:
+        ingest_waiting(df.sparkSession, drop, store, outcomes_path, tag, n, archive_dir)
 
-    writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    query = writer.start()
-    if available_now:
-        query.awaitTermination()
-    return query
+    return (clock.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=processing_time).start())

@@ -120,7 +120,6 @@ def test_replayed_batch_is_written_once(spark, tmp_dir, monkeypatch):
     """A batch that fails after its append (before the stream commits it) is replayed on
     restart: it replaces its own partition and does not see its own rows as stored."""
     import pytest
-    from pyspark.errors import StreamingQueryException
 
     import jobsift.plans.load as load_mod
 
@@ -136,7 +135,7 @@ def test_replayed_batch_is_written_once(spark, tmp_dir, monkeypatch):
         return real(outcomes, path, batch_id)
 
     monkeypatch.setattr(load_mod, "write_outcomes", flaky)
-    with pytest.raises(StreamingQueryException):
+    with pytest.raises(RuntimeError):
         ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
     assert st.read_listings(spark, root + "/store").count() == 2  # appended, not committed
     ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
@@ -258,11 +257,82 @@ def test_stream_reloads_a_rewritten_result_set(spark, tmp_dir):
     assert [o for _, o in outcomes] == ["LOADED", "LOADED"]
 
 
-def test_replay_with_fewer_sites_leaves_nothing_behind(spark, tmp_dir):
-    rows = spark.createDataFrame([("1", "LinkedIn", "a", "c", "l", "2024-01-01 08:00:00", None, None),
-                                  ("2", "Indeed", "a", "c", "l", "2024-01-01 08:00:00", None, None)],
-                                 ", ".join(f"{c} string" for c in LISTING_COLUMNS))
-    st.append_listings(rows, tmp_dir + "/store", "7")
-    st.append_listings(rows.filter("source = 'Indeed'").selectExpr("'3' AS listing_id", *LISTING_COLUMNS[1:]),
-                       tmp_dir + "/store", "7")
-    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["3"]
+def _text_rows(spark, *rows):
+    return spark.createDataFrame(list(rows), ", ".join(f"{c} string" for c in LISTING_COLUMNS))
+
+
+def test_a_reused_batch_id_never_deletes(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+    one = _text_rows(spark, ("1", "LinkedIn", "a", "c", "l", "2024-01-01 08:00:00", None, None))
+    st.append_listings(one, tmp_dir + "/store", "7")
+    with pytest.raises(AnalysisException):
+        st.append_listings(one.selectExpr("'3' AS listing_id", *LISTING_COLUMNS[1:]), tmp_dir + "/store", "7")
+    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["1"]
+
+
+def test_a_bulk_batch_id_with_other_files_is_an_error(spark, tmp_dir):
+    import pytest
+    d, store = tmp_dir + "/drop", tmp_dir + "/store"
+    _write(d + "/Indeed_20240101_0800.csv", HEADER + "1,Indeed,Dev,Acme,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    load_folder(spark, d, store, "b1")
+    _write(d + "/Indeed_20240102_0800.csv", HEADER + "2,Indeed,Dev,Acme,https://i/2,2024-01-02 08:00:00,Remote,\n")
+    with pytest.raises(ValueError):
+        load_folder(spark, d, store, "b1")
+    assert [r.listing_id for r in st.read_listings(spark, store).collect()] == ["1"]
+
+
+def test_columns_are_taken_by_header_name(spark, tmp_dir):
+    d = tmp_dir + "/drop"
+    swapped = "listing_id,source,company,title,link,time_when_scraped,location,compensation\n"
+    _write(d + "/Indeed_20240101_0800.csv", swapped + "1,Indeed,Acme,Dev,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    _write(d + "/Indeed_20240101_0900.csv", "listing_id,source,title\n2,Indeed,Dev\n")
+    load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/outcomes")
+    assert [(r.title, r.company) for r in st.read_listings(spark, tmp_dir + "/store").collect()] == [("Dev", "Acme")]
+    res = {r.file_name: r.outcome for r in spark.read.parquet(tmp_dir + "/outcomes").collect()}
+    assert res == {"Indeed_20240101_0800.csv": "LOADED", "Indeed_20240101_0900.csv": "ERROR"}
+
+
+def test_a_broken_file_ends_in_error_alone(spark, tmp_dir):
+    d = tmp_dir + "/drop"
+    _write(d + "/Indeed_20240101_0800.csv", HEADER + "1,Indeed,Dev,Acme,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    _write(d + "/Indeed_20240101_0900.csv", HEADER + "2,Indeed,Dev,Acme,https://i/2,2024-01-01 08:00:00,Remote" + "," * 30000 + "x\n")
+    load_folder(spark, d, tmp_dir + "/store", "b1", tmp_dir + "/outcomes")
+    res = {r.file_name: r.outcome for r in spark.read.parquet(tmp_dir + "/outcomes").collect()}
+    assert [r.listing_id for r in st.read_listings(spark, tmp_dir + "/store").collect()] == ["1"]
+    assert res["Indeed_20240101_0800.csv"] == "LOADED" and res["Indeed_20240101_0900.csv"] == "ERROR", res
+
+
+CHAIN = [("A", [("1", "Dev")]), ("B", [("1", None), ("2", "Dev")]), ("C", [("2", None), ("3", "Dev")]),
+         ("D", [("3", None), ("3", "Dev")]), ("E", [("4", "Dev"), ("4", "Dev")]), ("F", [("4", None), ("5", "Dev")])]
+
+
+def test_bulk_equals_one_file_at_a_time_on_chains(spark, tmp_dir):
+    import os
+    d = tmp_dir + "/drop"
+    for k, (name, rows) in enumerate(CHAIN):
+        path = f"{d}/{name}_20240101_0800.csv"
+        _write(path, HEADER + "".join(f"{i},Indeed,{t or ''},Acme,https://i/{i},2024-01-01 08:00:00,Remote,\n" for i, t in rows))
+        os.utime(path, (1_700_000_000 + 60 * k,) * 2)
+    for n, root in ((None, tmp_dir + "/bulk"), (1, tmp_dir + "/single")):
+        ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes", max_files_per_trigger=n)
+    loaded = [sorted(r.listing_id for r in st.read_listings(spark, f"{tmp_dir}/{m}/store").collect()) for m in ("bulk", "single")]
+    outcome = [{r.file_name[0]: r.outcome for r in spark.read.parquet(f"{tmp_dir}/{m}/outcomes").collect()} for m in ("bulk", "single")]
+    # A, B and C load one after the other; D only has what C supplied; E repeats a key; F has a bad copy of what nobody supplied
+    assert loaded[0] == loaded[1] == ["1", "2", "3"]
+    assert outcome[0] == outcome[1] == {"A": "LOADED", "B": "LOADED", "C": "LOADED", "D": "NO_NEW", "E": "ERROR", "F": "ERROR"}
+
+
+def test_a_corrected_and_a_late_old_file_are_read(spark, tmp_dir):
+    import os
+    d, root = tmp_dir + "/drop", tmp_dir + "/s"
+    bad = d + "/Indeed_20240101_0800.csv"
+    _write(bad, HEADER + "1,Indeed,,Acme,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    _write(bad, HEADER + "1,Indeed,Dev,Acme,https://i/1,2024-01-01 08:00:00,Remote,\n")
+    old = d + "/Indeed_20230101_0800.csv"
+    _write(old, HEADER + "2,Indeed,Dev,Acme,https://i/2,2023-01-01 08:00:00,Remote,\n")
+    os.utime(old, (1_000_000_000,) * 2)
+    ingest_drop_folder(spark, d, root + "/store", root + "/ckpt", root + "/outcomes")
+    assert sorted(r.listing_id for r in st.read_listings(spark, root + "/store").collect()) == ["1", "2"]
+    assert sorted(r.outcome for r in spark.read.parquet(root + "/outcomes").collect()) == ["ERROR", "LOADED", "LOADED"]
