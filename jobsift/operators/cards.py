@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions import rules
-from ..functions.text import compensation_gate, listing_link
 
 CARD_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -56,10 +55,14 @@ def _linkedin(doc, url):
 
 
 def _indeed(doc, url):
-    for card in H.find_all(doc, tag="a", has=("data-jk",)):
+    # one walk finds the cards and the boxes of all listings; a box is the first whose class
+    # holds ``job_<id>`` anywhere, as the site's selector has it (so id 1 also fits ``job_12``)
+    nodes = list(doc.iter())
+    boxes = [(n.get("class"), n) for n in nodes if n.tag == "div" and "job_" in (n.get("class") or "")]
+    for card in (n for n in nodes if n.tag == "a" and n.get("data-jk") is not None):
         lid = card.get("data-jk")
         t = H.find(card, attrs={"id": f"jobTitle-{lid}"})
-        box = H.find(doc, tag="div", class_has=f"job_{lid}")
+        box = next((n for names, n in boxes if f"job_{lid}" in names), None)
         company = H.find(box, tag="span", attrs={"data-testid": "company-name"}) if box else None
         location = H.find(box, tag="div", attrs={"data-testid": "text-location"}) if box else None
         pay = H.find(box, tag="div", class_has="salary-snippet-container") if box else None
@@ -104,8 +107,8 @@ def _extract_batches(batches):
         for rule_set, source, page_id, url, html in zip(pdf["_rules"], pdf["source"], pdf["page_id"], pdf["url"],
                                                          pdf["html"]):
             extractor = SITE_EXTRACTORS.get(rule_set)
-            if extractor is None:
-                continue
+            if extractor is None:  # never skipped unseen
+                raise ValueError(f"page {page_id}: no card rules for site {rule_set!r}")
             doc = H.parse(html)
             for i, (lid, title, company, link, location, pay) in enumerate(extractor(doc, url)):
                 out.append((page_id, i, lid, source, title, company, link, location, pay))
@@ -155,25 +158,25 @@ def extract_dice_cards(pages: DataFrame, source_tag: str = "Dice") -> DataFrame:
 
 # --- X5-X7 as Column expressions ---------------------------------------------
 
-def with_listing_link(df: DataFrame, href: str = "link") -> DataFrame:
-    """The link as each site builds it."""
-    return df.withColumn("link", listing_link(F.col("source"), F.col("listing_id"), F.col(href)))
+# What a browser does not show as elements: comments, scripts, styles.
+_NOT_MARKUP = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 
 
-def with_compensation_gate(df: DataFrame) -> DataFrame:
-    """Pay text only when annual."""
-    return df.withColumn("compensation", compensation_gate(F.col("compensation")))
+def _attr(name: str, value: str) -> str:
+    """An attribute in either kind of quotes (a pattern without capturing groups)."""
+    return rf"""{name}\s*=\s*(?:"{value}"|'{value}')"""
 
 
-def _tag(html: Column, tag: str, attr_re: str) -> Column:
-    return F.regexp_extract(html, rf"<{tag}\b[^>]*\b{attr_re}[^>]*>", 0)
+def _tag(html: Column, tag: str, attribute: str) -> Column:
+    """The first opening tag with the attribute; empty when there is none."""
+    return F.regexp_extract(html, rf"<{tag}\s(?:[^>]*\s)?{attribute}[^>]*>", 0)
 
 
 def _next_anchor(source: Column, html: Column) -> Column:
     """The opening tag of the next-page link (Indeed: ``Next Page``; BuiltIn / Dice:
     ``Go to Next Page``); empty when there is none."""
-    return F.when(source == "Indeed", _tag(html, "a", r'aria-label="Next Page"')) \
-        .otherwise(_tag(html, "a", r'aria-label="Go to Next Page"'))
+    return F.when(source == "Indeed", _tag(html, "a", _attr("aria-label", "Next Page"))) \
+        .otherwise(_tag(html, "a", _attr("aria-label", "Go to Next Page")))
 
 
 def _page_number(digits: Column) -> Column:
@@ -197,13 +200,15 @@ def pager(source: Column, html: Column) -> Column:
     next-page link exists; its href (``&`` entities decoded) is the link and
     its ``page`` parameter the number (NULL when the site pages by offset).
     """
-    current = _tag(html, "button", r'aria-current="true"')
-    n = _page_number(F.regexp_extract(current, r'aria-label="Page (\d+)"', 1))
+    html = F.regexp_replace(html, _NOT_MARKUP, "")
+    current = _tag(html, "button", _attr("aria-current", "true"))
+    n = _page_number(F.regexp_extract(current, r"""aria-label\s*=\s*["']Page (\d+)["']""", 1))
     n_next = F.try_add(n, F.lit(1))
-    li_has = F.coalesce(F.instr(html, F.concat(F.lit('aria-label="Page '), n_next.cast("string"), F.lit('"'))) > 0,
-                        F.lit(False))
+    button = F.concat(F.lit(r"""<button\s(?:[^>]*\s)?aria-label\s*=\s*["']Page """), n_next.cast("string"), F.lit(r"""["']"""))
+    li_has = F.coalesce(F.regexp_like(html, button), F.lit(False))
     anchor = _next_anchor(source, html)
-    href = F.regexp_extract(anchor, r'href="([^"]*)"', 1)
+    quoted = F.regexp_extract(anchor, r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)')""", 1)
+    href = F.when(F.length(quoted) > 0, quoted).otherwise(F.regexp_extract(anchor, r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)')""", 2))
     link = F.when(F.length(href) > 0, _unescape_amp(href))
     other_n = _page_number(F.regexp_extract(link, r"[?&]page=(\d+)", 1))
     is_li = source == "LinkedIn"

@@ -93,7 +93,7 @@ def test_search_term_match_tokens(spark):
 
 def test_all_sites_in_one_pass(spark):
     pages = spark.createDataFrame([("LinkedIn", 1, "https://e.com/a", LINKEDIN), ("BuiltIn", 2, "https://e.com/b", BUILTIN),
-                                   ("Indeed", 3, "https://e.com/c", INDEED), ("Other", 4, "https://e.com/d", INDEED)],
+                                   ("Indeed", 3, "https://e.com/c", INDEED)],
                                   "source string, page_id long, url string, html string")
     got = sorted((r.source, r.listing_id) for r in X.extract_listing_cards(pages).collect())
     assert got == [("BuiltIn", "7"), ("Indeed", "5"), ("LinkedIn", "11")]
@@ -159,3 +159,22 @@ def test_dom_text_and_tree_rules():
     nested = H.parse('<div class="s"><div class="s"><div><div>x</div><div>in</div></div></div></div>')
     inner = H.find_chain(nested, [{"tag": "div", "class_token": "s"}, {"tag": "div"}, {"tag": "div", "nth": 2}])
     assert inner is not None and inner.text() == "in"
+
+
+def test_a_page_without_rules_fails_the_job(spark):
+    import pytest
+    from pyspark.errors import PythonException
+    pages = spark.createDataFrame([("linkedin", 4, "https://e.com/d", INDEED)], "source string, page_id long, url string, html string")
+    with pytest.raises(PythonException, match="no card rules for site 'linkedin'"):
+        X.extract_listing_cards(pages).collect()
+
+
+def test_pager_reads_buttons_in_either_quotes_and_no_scripts(spark):
+    df = spark.createDataFrame([
+        ("LinkedIn", "<button aria-current='true' aria-label='Page 2'>2</button><button aria-label='Page 3'>3</button>"),
+        ("LinkedIn", '<button aria-current="true" aria-label="Page 2">2</button><script>x = \'aria-label="Page 3"\'</script>'),
+        ("LinkedIn", '<button aria-current="true" aria-label="Page 2">2</button><!-- <button aria-label="Page 3"> -->'),
+        ("LinkedIn", '<button aria-current="true" aria-label="Page 2">2</button><div aria-label="Page 3">3</div>'),
+        ("Indeed", "<a data-x='1' aria-label='Next Page' href='?page=7'>7</a>")], "source string, html string")
+    got = [tuple(r) for r in X.with_pager(df).select("has_next", "next_page", "next_link").collect()]
+    assert got == [(True, 3, None)] + [(False, None, None)] * 3 + [(True, 7, "?page=7")]
