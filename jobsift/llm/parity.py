@@ -9,11 +9,12 @@ folded to the length of the shorter, never exceeds the symmetric difference.
 With J = |A and B| / |A or B| at least p percent, |A xor B| is at most
 D = (100 - p)(|A| + |B|) / (100 + p). In a band of sizes with the bound D the
 sketch has D + 1 + s segments, so linked texts agree in s + 1 segments at
-least (pigeonhole). A segment value that many texts have is *large*. A text
-with at most s large segments is found through its others: among the s + 1
-that it shares with a partner one is not large. Only texts with more large
-segments than that meet in the large ones too, in rounds that compare texts of
-different components only. All candidates are verified on the texts.
+least (pigeonhole), and each may leave out the s of its segments whose values
+most texts have: one that both keep is still common. Most texts so lose all
+values that many share. Texts that keep *large* ones, as those of big groups
+of similar texts, are paired with a pivot per value first, and then block by
+block within a task, by their folded sketches, with texts of other components.
+All candidates are verified on the texts.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .components import components
 
 #: Texts that share a segment are paired within it up to this many; beyond, the segment is large.
 SMALL = 16
-#: Rounds of stars around changing pivots in large segments, before all that is left is compared.
-STAR_ROUNDS = 1
+#: Texts of a block that are compared in one task, in large segments.
+BLOCK = 4096
 _BAND = np.uint64(63)
 
 
@@ -148,6 +149,60 @@ def _folds(n: int):
     return run
 
 
+def _to_width(fold: np.ndarray, width: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(fold.reshape(-1, width), axis=0)
+
+
+def _near_in_blocks(percent: int):
+    """Rows (key, lo, hi, block, digest, root, n, fold), sorted by the first three, to pairs that may be linked.
+
+    Texts of block ``lo`` meet those of block ``hi``; texts of one component are not compared.
+    """
+
+    def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        lo, hi = rows[0][1], rows[0][2]
+        width = min(len(r[7]) for r in rows)
+        fold = np.array([_to_width(np.array(r[7], dtype=np.int64), width) for r in rows]).view(np.uint64)
+        n = np.array([r[6] for r in rows], dtype=np.int64)
+        roots = np.unique([r[5] for r in rows], return_inverse=True)[1]
+        one = [k for k, r in enumerate(rows) if r[3] == lo]
+        two = [k for k, r in enumerate(rows) if r[3] == hi]
+        step = max(1, (1 << 22) // (width * max(1, len(two))))
+        for at in range(0, len(one), step):
+            x = np.array(one[at:at + step])
+            y = np.array(two)
+            apart = np.bitwise_count(fold[x][:, None, :] ^ fold[y][None, :, :]).sum(axis=2, dtype=np.int64)
+            both, least = n[x][:, None] + n[y][None, :], np.minimum(n[x][:, None], n[y][None, :])
+            fits = (apart * (100 + percent) <= (100 - percent) * both) & (100 * least >= percent * (both - least))
+            fits &= roots[x][:, None] != roots[y][None, :]
+            if lo == hi:
+                fits &= x[:, None] < y[None, :]
+            for i, j in zip(*np.nonzero(fits), strict=True):
+                a, b = rows[x[i]][4], rows[y[j]][4]
+                yield min(a, b), max(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple[bytes, bytes]] = []
+        for batch in batches:
+            for r in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+                if held and held[0][:3] != r[:3]:
+                    out += pairs(held)
+                    held = []
+                held.append(r)
+            if len(out) > 50_000:
+                yield _pair_batch(out)
+                out = []
+        out += pairs(held) if held else []
+        yield _pair_batch(out)
+
+    return run
+
+
+def _pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["da", "db"])
+
+
 def _verified(n: int, percent: int):
     """Rows (a, b, text a, text b): those linked, without the texts."""
 
@@ -191,13 +246,13 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
 
     listed = buckets.where(F.col("size") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("x"))
     pairs = (listed.select(F.explode(F.expr("flatten(transform(x, (a, i) -> transform(slice(x, i + 2, size(x)), b -> struct(a, b))))")).alias("p"))
-             .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("shared")))
+             .select(F.col("p.a").alias("a"), F.col("p.b").alias("b")).distinct())
 
     spares = docs.sparkSession.createDataFrame(list(enumerate(bands.spare)), "band long, spare long")
-    large = buckets.where(F.col("size") > SMALL).withColumn("band", F.col("key").bitwiseAND(F.lit(63)))
-    bound = (large.groupBy("node", "band").agg(F.count("*").alias("n")).join(F.broadcast(spares), "band")
-             .where(F.col("n") > F.col("spare")).select("node", "band"))
-    met = stored(large.join(bound, ["node", "band"]).select("key", "node"), "large")
+    most = Window.partitionBy("node", "band").orderBy(F.desc("size"), "key")
+    met = stored(buckets.where(F.col("size") > SMALL).withColumn("band", F.col("key").bitwiseAND(F.lit(63)))
+                 .withColumn("nth", F.row_number().over(most)).join(F.broadcast(spares), "band")
+                 .where(F.col("nth") > F.col("spare")).select("key", "node"), "large")
 
     # texts of the sets that may be linked, one each
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).unionAll(met.select("node")).distinct()
@@ -222,46 +277,35 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
         full = pairs.select("da", "db").join(one, "da").join(two, "db").select(F.col("da").alias("a"), F.col("db").alias("b"), "ta", "tb")
         return stored(full.mapInArrow(_verified(n, percent), "a binary, b binary"), name)
 
-    def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs whose sets are not known to be in one component."""
-        r = roots.select(F.col("node"), "root")
-        x = pairs.join(r.select(F.col("node").alias("da"), F.col("root").alias("ra")), "da", "left")
-        x = x.join(r.select(F.col("node").alias("db"), F.col("root").alias("rb")), "db", "left")
-        return x.where(F.coalesce("ra", "da") != F.coalesce("rb", "db")).drop("ra", "rb")
-
-    # first one partner of each set, the one with most segments in common; then what is not yet in one component
-    fit = stored(near(pairs), "pairs")
-    best = fit.groupBy("db").agg(F.max_by("da", "shared").alias("da"))
-    edges = verify(best, "links-best")
+    edges = verify(near(pairs), "links")
     roots = components(edges)
-    more = verify(across(fit, roots), "links-rest")
+
+    def mixed(name: str) -> DataFrame:
+        """Large segments' rows whose sets are not all in one component."""
+        at = (met.join(texts.select("node", "digest", "n", "fold"), "node")
+              .join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
+        several = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo != hi")
+        return stored(at.join(several.select("key", "size"), "key"), name)
+
+    at = mixed("large-0")
+    pivot = at.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("digest")).alias("p"))
+    found = (at.join(pivot, "key").where("root != p.root")
+             .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
+    more = verify(near(found), "links-pivot")
     if not more.isEmpty():
-        edges = stored(edges.unionAll(more), "links")
+        edges = stored(edges.unionAll(more), "links-1")
         roots = components(edges)
 
-    here = met.join(texts.select("node", "digest"), "node").select("key", "digest")
-    for k in range(STAR_ROUNDS + 1):
-        at = (here.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-              .select("key", "digest", F.coalesce("root", "digest").alias("root")))
-        mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-        at = stored(at.join(mixed, "key"), f"large-{k}")
-        if at.isEmpty():
-            break
-        if k < STAR_ROUNDS:
-            pivot = at.groupBy("key").agg(F.min_by(F.struct("digest", "root"), F.xxhash64("digest", F.lit(k))).alias("p"))
-            found = at.join(pivot, "key").where("root != p.root").select(F.col("p.digest").alias("x"), F.col("digest").alias("y"))
-        else:
-            other = at.select("key", F.col("digest").alias("y"), F.col("root").alias("other"))
-            found = at.join(other, "key").where("root < other").select(F.col("digest").alias("x"), "y")
-        found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        named = texts.select("node", "digest")
-        found = (found.join(named.select(F.col("digest").alias("x"), F.col("node").alias("a")), "x")
-                 .join(named.select(F.col("digest").alias("y"), F.col("node").alias("b")), "y"))
-        found = near(found).where("da = x AND db = y").select("da", "db")
-        more = verify(found, f"links-large-{k}")
-        if not more.isEmpty():
-            edges = stored(edges.unionAll(more), f"links-{k}")
-            roots = components(edges)
+    at = mixed("large-1").withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
+    at = at.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    dealt = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "digest", "root", "n", "fold")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = (dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+             .mapInArrow(_near_in_blocks(percent), "da binary, db binary").distinct())
+    more = verify(found, "links-blocks")
+    if not more.isEmpty():
+        roots = components(stored(edges.unionAll(more), "links-2"))
     return roots.select(F.col("node").alias("digest"), "root")
 
 
