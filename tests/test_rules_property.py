@@ -25,8 +25,8 @@ def excluded(title: str) -> bool:
     return any(p in low for p in rules.TITLE_EXCLUDED_SUBSTRINGS) or WORD.search(title) is not None
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(TITLE, min_size=20, max_size=200, unique=True))
+@settings(max_examples=100, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TITLE, min_size=1, max_size=60, unique=True))
 def test_title_rules_match_model(spark, titles):
     df = spark.createDataFrame([(t,) for t in titles], "title string")
     kept = {r.title for r in df.filter(S.title_not_excluded("title")).collect()}
