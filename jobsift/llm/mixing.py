@@ -135,12 +135,11 @@ def tempered(cells: DataFrame, d: str, temperature: float = TEMPERATURE, rate: f
     No value is asked for more than a sample of ``rate`` can take of it.
     """
     sums = cells.groupBy(d).agg(F.sum("mass").alias("mass"))
-    whole = sums.agg(F.sum("mass").alias("all"), F.sum(F.pow("mass", F.lit(temperature))).alias("powers"))  # one row
-    share = F.col("mass") / F.col("all")
-    asked = sums.crossJoin(F.broadcast(whole)).select(d, F.when(F.col("all") > 0, F.least(
-        F.pow("mass", F.lit(temperature)) / F.col("powers"), share / F.lit(rate))).otherwise(0.0).alias("p"))
-    left = asked.agg(F.sum("p").alias("sum"))
-    return asked.crossJoin(F.broadcast(left)).select(d, F.when(F.col("sum") > 0, F.col("p") / F.col("sum")).otherwise(0.0).alias("target"))
+    whole, powers = sums.agg(F.sum("mass"), F.sum(F.pow("mass", F.lit(temperature)))).first()
+    if not whole:
+        return sums.select(d, F.lit(0.0).alias("target"))
+    asked = sums.select(d, F.least(F.pow("mass", F.lit(temperature)) / F.lit(powers), F.col("mass") / F.lit(whole * rate)).alias("p"))
+    return asked.select(d, (F.col("p") / F.lit(asked.agg(F.sum("p")).first()[0])).alias("target"))
 
 
 def weighted(facts: DataFrame, targets: dict[str, DataFrame] | None = None, rate: float = RATE) -> DataFrame:
