@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ from ..sources.listing_csv import list_listing_files, list_parts, listing_paths,
 from ..sources.store import append_listings, batch_dir, read_known_keys
 
 
+#: What a file that cannot be read raises, from a query or from a checkpoint.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
+
 def plan_batch(rows: DataFrame, known: DataFrame, files: DataFrame | None = None, checkpoint: bool = True,
                unreadable: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """``(to_append, outcomes)`` for a batch of listing-file rows.
@@ -120,7 +125,7 @@ def readable_rows(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
     """
     try:
         return cut_lineage(read_listings_csv(spark, [literal_path(p) for p in paths])), []
-    except PySparkException as e:
+    except READ_ERRORS as e:
         if "FAILED_READ_FILE" not in str(e):
             raise
         if len(paths) == 1:
@@ -183,7 +188,7 @@ def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes
     unreadable: list[str] = []
     try:
         rows = cut_lineage(read_listings_csv(spark, top_level_csv(folder), empty_if_no_match=True))
-    except PySparkException as e:
+    except READ_ERRORS as e:
         if "FAILED_READ_FILE" not in str(e):
             raise
         rows, bad = readable_rows(spark, listing_paths(spark, folder))

@@ -23,7 +23,7 @@ CSV_READ_OPTIONS = {
     "escape": '"',  # quotes are doubled inside quoted values
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
-    "maxColumns": "1000000",  # a line of many fields is a bad row, not the end of the job
+    "maxColumns": "32",  # a file with a longer line cannot be read (its outcome is ERROR)
 }
 
 #: Fields of a line that are looked at: the columns are found by name among these.
