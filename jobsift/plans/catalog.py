@@ -423,7 +423,7 @@ def q_write_result_set_csv(spark, sf_dir):
     lst = _listings(spark, sf_dir).withColumn("run_time", fx.run_time(F.col("time_when_scraped")))
     folder = scratch_path(spark, "drop")
     csvio.write_result_set_csv(lst, folder, run_time_col="run_time")
-    return csvio.read_listings_csv(spark, csvio.top_level_csv(folder)).drop("file_time")
+    return csvio.read_listings_csv(spark, csvio.top_level_csv(folder)).drop("file_time", "file_error")
 
 
 @register("discover_listing_files", with_views(f"""
