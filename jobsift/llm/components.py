@@ -8,16 +8,24 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node that has an edge; the root is the component's smallest node.
+def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """(node, root) of every node that has an edge (a, b); the root is the component's smallest node.
 
-    Each round a node takes the smallest label among its own and its
-    neighbours', then its label's label. Every round is a pair of joins over
-    stored tables, with partial minima before each shuffle, and the number of
-    rounds grows with the logarithm of the longest chain.
+    ``start`` are components (node, root) found before: the new edges then only
+    join these, and edges within one are left out. Each round a node takes the
+    smallest label among its own and its neighbours', then its label's label.
+    Every round is a pair of joins over stored tables, with partial minima
+    before each shuffle, and the number of rounds grows with the logarithm of
+    the longest chain.
     """
-    pair = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = stored(pair.unionAll(pair.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct(), "edges")
+    pair = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    ends = pair.select("u").unionAll(pair.select("v")).distinct()
+    if start is not None:
+        for end in ("u", "v"):
+            root = start.select(F.col("node").alias(end), F.col("root").alias("r"))
+            pair = pair.join(root, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    pair = pair.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    both = stored(pair.unionAll(pair.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
     labels = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("l")), "labels-0")
     k = 0
     while True:
@@ -28,4 +36,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = stored(met.join(jump, "m").select("u", "l", F.least("m", "j").alias("n")), f"labels-{k}")
         labels = step.select("u", F.col("n").alias("l"))
         if step.where("l != n").isEmpty():
-            return labels.select(F.col("u").alias("node"), F.col("l").alias("root"))
+            break
+    if start is None:
+        return labels.select(F.col("u").alias("node"), F.col("l").alias("root"))
+    nodes = start.unionAll(ends.join(start.select(F.col("node").alias("u")), "u", "left_anti").select("u", "u"))
+    moved = labels.select(F.col("u").alias("root"), "l")
+    return stored(nodes.join(moved, "root", "left").select("node", F.coalesce("l", "root").alias("root")), "roots")

@@ -277,8 +277,7 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
         full = pairs.select("da", "db").join(one, "da").join(two, "db").select(F.col("da").alias("a"), F.col("db").alias("b"), "ta", "tb")
         return stored(full.mapInArrow(_verified(n, percent), "a binary, b binary"), name)
 
-    edges = verify(near(pairs), "links")
-    roots = components(edges)
+    roots = components(verify(near(pairs), "links"))
 
     def mixed(name: str) -> DataFrame:
         """Large segments' rows whose sets are not all in one component."""
@@ -292,9 +291,7 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
     found = (at.join(pivot, "key").where("root != p.root")
              .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
     more = verify(near(found), "links-pivot")
-    if not more.isEmpty():
-        edges = stored(edges.unionAll(more), "links-1")
-        roots = components(edges)
+    roots = components(more, roots)
 
     at = mixed("large-1").withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
     at = at.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
@@ -303,9 +300,7 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
              .mapInArrow(_near_in_blocks(percent), "da binary, db binary").distinct())
-    more = verify(found, "links-blocks")
-    if not more.isEmpty():
-        roots = components(stored(edges.unionAll(more), "links-2"))
+    roots = components(verify(found, "links-blocks"), roots)
     return roots.select(F.col("node").alias("digest"), "root")
 
 
