@@ -338,5 +338,6 @@ def kept_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Texts without words are in no group and stay. Rows with a null id stay.
     """
     groups = near_duplicate_groups(docs, n, percent)
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    # stored first: its size is then known, and the texts are shuffled for this join only if it is large
+    gone = stored(groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
