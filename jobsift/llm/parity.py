@@ -72,7 +72,7 @@ def _digest(members: np.ndarray) -> bytes:
 
 
 def _profiles(n: int):
-    """Rows (id, text) to (doc_id, n_shingles, digest of the set)."""
+    """Rows (id, text, hash) to (doc_id, hash of the text, n_shingles, digest of the set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,8 +81,8 @@ def _profiles(n: int):
                 for members in shingle_sets(lower_bytes(raw), offs, n):
                     sizes.append(len(members))
                     digests.append(_digest(members))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
-                                             names=["doc_id", "n_shingles", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
+                                             names=["doc_id", "hash", "n_shingles", "digest"])
 
     return run
 
@@ -236,7 +236,7 @@ def _hamming(x: str, y: str) -> Column:
 def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -> DataFrame:
     """(digest, root) of all sets that are linked with another set: components of the join's links."""
     bands = Bands(percent)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text", "hash")
     key = Window.partitionBy("key")
     # copies of a set from several tasks fall together here; keys of one set only are dropped
     buckets = (rows.mapInArrow(_keys(n, percent), "key long, node long")
@@ -254,11 +254,13 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
                  .withColumn("nth", F.row_number().over(most)).join(F.broadcast(spares), "band")
                  .where(F.col("nth") > F.col("spare")).select("key", "node"), "large")
 
-    # texts of the sets that may be linked, one each
+    # texts of the sets that may be linked, one each; an id may stand at several texts, so the text's hash tells which
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).unionAll(met.select("node")).distinct()
-    classes = (profiles.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    classes = (profiles.where("n_shingles > 0").groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")).alias("row"))
+               .select("digest", F.col("row.doc_id").alias("_id"), F.col("row.hash").alias("_hash"))
                .withColumn("node", F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")).join(wanted, "node"))
-    texts = (rows.join(classes.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    texts = (rows.join(classes, (F.col("hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
              .select("node", "digest", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["digest"]))
     texts = stored(texts.mapInArrow(_folds(n), "node long, digest binary, text string, n long, fold array<long>"), "texts")
 
@@ -315,8 +317,13 @@ def near_duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     are linked with nothing. Rows that repeat an id are linked as texts; an
     empty table gives an empty result. Only the two columns named are read.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    profiles = stored(docs.mapInArrow(_profiles(n), "doc_id long, n_shingles long, digest binary"), "profiles")
+    return _groups(docs, n, percent, id_col, text_col).drop("hash")
+
+
+def _groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``near_duplicate_groups`` with the hash of their text."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    profiles = stored(docs.mapInArrow(_profiles(n), "doc_id long, hash long, n_shingles long, digest binary"), "profiles")
     roots = linked_classes(docs, profiles, n, percent)
     # digests to their components' smallest ids, summed up before any row of a group is joined
     sets = profiles.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("low")).join(roots, "digest", "left")
@@ -324,7 +331,7 @@ def near_duplicate_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col
     lows = sets.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stored(sets.join(lows, "root").select("digest", "component_id"), "components")
     return (profiles.join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def jaccard_groups_of(docs: DataFrame) -> DataFrame:
@@ -335,9 +342,13 @@ def jaccard_groups_of(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group (the one with the smallest id), columns unchanged.
 
-    Texts without words are in no group and stay. Rows with a null id stay.
+    Texts without words are in no group and stay. Rows with a null id stay. Of
+    an id that stands at several texts, those in a group with a smaller id go.
     """
-    groups = near_duplicate_groups(docs, n, percent)
+    groups = _groups(docs, n, percent)
     # stored first: its size is then known, and the texts are shuffled for this join only if it is large
-    gone = stored(groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = stored(groups.where(F.col("component_id") != F.col("doc_id"))
+                  .select(F.col("doc_id").alias("_gone"), F.col("hash").alias("_text")).distinct(), "gone")
+    # by aliases: the documents may have columns of these names
+    this = (F.col("d.doc_id").cast("long") == F.col("g._gone")) & (F.xxhash64(F.col("d.text").cast("string")) == F.col("g._text"))
+    return docs.alias("d").join(gone.alias("g"), this, "left_anti")

@@ -87,3 +87,19 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 4, 6, 8, 9]
     assert parity.near_duplicate_groups(docs.limit(0)).count() == 0
+
+
+def test_ids_at_several_texts(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(12):  # ids 0 to 3, and none, each at several texts that are linked with texts of other ids
+        text = words(rng, 80)
+        rows += [((0, 1, 2, 3, None)[i % 5], text), (100 + i, edited(rng, text, 1))]
+    rows += [(None, words(rng, 80)), (3, words(rng, 80)), (101, words(rng, 80))]
+    docs = frame(spark, rows)
+    got = parity.near_duplicate_groups(docs, 5, 80).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 5, 80)
+    # a text goes by its own group, not by that of another text with its id
+    kept = {(r.doc_id, r.text) for r in parity.kept_documents(docs).collect()}
+    stays = {rows[2 * i] for i in range(12)} | {rows[2 * i + 1] for i in range(12) if rows[2 * i][0] is None}
+    assert kept == stays | set(rows[-3:])
