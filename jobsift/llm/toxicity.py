@@ -17,14 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lower_bytes, span_hashes, text_chunks, word_spans
+from .common import lower_bytes, span_hashes, stored, text_chunks, word_spans
 from .langid import fold
 
-#: The bound of the training sample, per label and in bytes of text; rows are taken by a hash of their ids.
+#: The bound of the training sample, per label and in bytes of text; texts are taken by their hashes.
 TRAIN_DOCS = 1000
 TRAIN_BYTES = 4 << 20
 #: Feature weights are hashed to this many; the broadcast model is that large.
@@ -33,8 +33,8 @@ BUCKETS = 1 << 18
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Tokens of one chain.
 SEGMENT = 128
-#: Likelihood ratio (nats) and ratio of document rates from which a feature marks toxic tokens.
-MIN_EVIDENCE, MIN_RATIO = 12.0, 8.0
+#: Share of chance among the features that mark toxic tokens, at most, and their least ratio of document rates.
+FALSE_RATE, MIN_RATIO = 0.01, 8.0
 _EPOCHS, _RATE, _L2 = 40, 0.3, 1e-4
 
 _BREAK = np.ones(256, dtype=bool)
@@ -148,6 +148,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
     return w
 
 
+def _marking(evidence: np.ndarray, possible: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Features that mark toxic tokens: those ``apart`` whose evidence (nats) leaves FALSE_RATE of chance at most.
+
+    Chance has a feature's evidence with a probability below exp(-evidence). The
+    smallest of these count as long as the number expected among all features
+    stays below FALSE_RATE of those taken (Benjamini and Hochberg). Features in
+    so few documents that none could count even alone are not among them.
+    """
+    tried = int((possible >= -np.log(FALSE_RATE)).sum())
+    found = np.sort(evidence[apart])[::-1]
+    fits = np.flatnonzero(np.exp(-found) * tried <= FALSE_RATE * np.arange(1, len(found) + 1))
+    return apart & (evidence >= found[fits[-1]]) if len(fits) else np.zeros(len(evidence), dtype=bool)
+
+
 def fit(texts: list[str], toxic: list[int], prior: float = 0.5) -> Model:
     """Train on documents and their labels; ``prior`` is the share of toxic ones where the sample comes from."""
     y = np.array(toxic, dtype=np.int64)
@@ -168,7 +182,8 @@ def fit(texts: list[str], toxic: list[int], prior: float = 0.5) -> Model:
     k = np.maximum(k1 + k0, 1)
     evidence = (np.where(k1 > 0, k1 * np.log(np.maximum(k1, 1) / (k * share)), 0)
                 + np.where(k0 > 0, k0 * np.log(np.maximum(k0, 1) / (k * (1 - share))), 0))
-    marks = (evidence >= MIN_EVIDENCE) & (r1 / r0 >= MIN_RATIO) & (names != 0)
+    known = names != 0
+    marks = _marking(evidence, np.where(known, -k * np.log(share), 0), known & (r1 / r0 >= MIN_RATIO) & (evidence >= -np.log(FALSE_RATE)))
     label = (marks[inverse].reshape(feats.shape).any(axis=1) & (y[doc] == 1)).astype(np.float64)
     # gradient ascent on the conditional likelihood, all chains at once
     at = np.where(feats != 0, (feats >> np.uint64(46)).astype(np.int64), BUCKETS + 1).ravel()
@@ -198,24 +213,45 @@ def fit(texts: list[str], toxic: list[int], prior: float = 0.5) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on a bounded sample of the labelled rows.
+    """Fit on a bounded sample of the labelled documents.
 
-    Per label, the TRAIN_DOCS rows with the smallest hashes of their ids, as far
-    as TRAIN_BYTES of text go; a text that is repeated counts once. Null
-    labels, and ids without a document, are left out. Of an id's differing
-    labels the largest counts.
+    Per label, the TRAIN_DOCS texts with the smallest hashes; a text that is
+    repeated counts once. Where these have more than TRAIN_BYTES, the longest
+    are learned from by a stretch each, of one size, that begins anywhere. Null
+    labels, and ids without a document, are left out. Of an id's or a text's
+    differing labels the largest counts.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).dropna().groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    known = known.withColumn("h", F.xxhash64("_id"))
-    picked = known.where("toxic = 1").orderBy("h", "_id").limit(TRAIN_DOCS).unionAll(known.where("toxic = 0").orderBy("h", "_id").limit(TRAIN_DOCS))
-    # at most 2 * TRAIN_DOCS ids: small enough to send to every task
-    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(picked), F.col("_doc") == F.col("_id")).where("text IS NOT NULL")
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("h", "_id", "text").rowsBetween(Window.unboundedPreceding, 0))
-    sample = rows.withColumn("bytes", so_far).where(F.col("bytes") <= TRAIN_BYTES).select("text", "toxic").toArrow()
-    once = dict(zip(sample.column(0).to_pylist(), sample.column(1).to_pylist(), strict=True))
-    prior = known.agg(F.avg("toxic")).first()[0]
-    return fit(list(once), list(once.values()), prior if prior is not None else 0.5)
+    rows = (docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+            .withColumn("h", F.xxhash64("text")))
+    met = (rows.select("_doc", "h", F.octet_length("text").alias("bytes")).join(known, F.col("_doc") == F.col("_id"))
+           .groupBy("h").agg(F.max("toxic").alias("toxic"), F.min("_id").alias("_id"), F.max("bytes").alias("bytes"), F.count("*").alias("rows")))
+    met = stored(met, "toxic-labelled")
+    ranked = [met.where(f"toxic = {y}").orderBy("h").limit(TRAIN_DOCS) for y in (1, 0)]
+    # at most 2 * TRAIN_DOCS rows: small enough to hold, and to send to every task
+    picked = ranked[0].unionAll(ranked[1]).select("h", "_id", "toxic", "bytes").collect()
+    stretch = _stretch([r.bytes for r in picked])
+    wanted = docs.sparkSession.createDataFrame([(r.h, r._id, r.toxic) for r in picked], T.StructType(
+        [T.StructField("_h", T.LongType()), known.schema["_id"], T.StructField("toxic", T.IntegerType())]))
+    size = F.length("text")
+    # code points, as many as the share of the bytes that is taken
+    take = F.when(F.octet_length("text") <= stretch, size).otherwise(F.floor(size * F.lit(float(stretch)) / F.octet_length("text"))).cast("int")
+    start = F.pmod(F.xxhash64("h", F.lit("stretch")), size - take + 1).cast("int") + 1
+    sample = (rows.join(F.broadcast(wanted), (F.col("_doc") == F.col("_id")) & (F.col("h") == F.col("_h")))
+              .select("h", "toxic", F.substring("text", start, take).alias("text")).groupBy("h").agg(F.first("text"), F.first("toxic"))
+              .orderBy("h").toArrow())
+    prior = met.agg(F.sum(F.col("toxic") * F.col("rows")) / F.sum("rows")).first()[0]
+    return fit(sample.column(1).to_pylist(), sample.column(2).to_pylist(), prior if prior is not None else 0.5)
+
+
+def _stretch(sizes: list[int], limit: int = TRAIN_BYTES) -> int:
+    """The largest bound that, put on each size, leaves ``limit`` together at most."""
+    left, sizes = limit, sorted(sizes)
+    for k, n in enumerate(sizes):
+        if n * (len(sizes) - k) > left:
+            return left // (len(sizes) - k)
+        left -= n
+    return max(sizes, default=0)
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("p", T.DoubleType())]))
