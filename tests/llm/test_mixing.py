@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from jobsift.llm import mixing
 from pyspark.sql import functions as F
 
-from .helpers import frame, odd_rows
+from .helpers import frame, odd_rows, words
 
 
 def test_raked_marginals_meet_their_targets(spark):
@@ -41,3 +43,37 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.kept and r.doc_id is not None} | (
         {None} if any(r.kept and r.doc_id is None for r in got) else set())
     assert mixing.mixture_of(docs.limit(0)).count() == 0
+
+
+def test_copies_take_one_centre_and_all_documents_count(spark):
+    rng = random.Random(6)
+    kinds = [words(rng, 40).split() for _ in range(8)]
+    rows = [(i, " ".join(rng.choices(kinds[i % 8], k=60))) for i in range(160)]
+    copy = rows[0][1]
+    rows += [(1000 + i, copy) for i in range(3000)]
+    docs = frame(spark, rows)
+    centres = mixing.topic_centres(docs)
+    assert (centres @ centres.T - np.eye(8)).max() < 0.95
+    again = mixing.topic_centres(docs.repartition(7, "text"))
+    assert np.array_equal(centres, again)
+    got = mixing.with_topics(docs.select("doc_id", "text"), centres, "text").collect()
+    assert len({r.topic for r in got if r.doc_id >= 1000}) == 1 and len({r.topic for r in got}) > 4
+    # the centre of the copies is the mean of all texts that are nearest to it
+    texts, topic = dict(rows), {r.doc_id: r.topic for r in got}
+    x = {i: next(mixing._features(pa.array([t])))[0][0] for i, t in texts.items() if topic[i] == topic[1000]}
+    mean = sum(x.values())
+    assert mean @ centres[topic[1000]] / np.linalg.norm(mean) > 0.99999
+
+
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    # two by two cells whose mass lies on one diagonal: slow to move to the targets
+    cells = spark.createDataFrame([("a", "x", 0, 1000.0), ("b", "y", 0, 1000.0), ("a", "y", 0, 4.0), ("b", "x", 0, 4.0)],
+                                  "source string, lang string, topic int, mass double")
+    table = lambda d, shares: spark.createDataFrame(list(shares.items()), f"{d} {'int' if d == 'topic' else 'string'}, target double")
+    targets = {"source": table("source", {"a": 0.52, "b": 0.48}), "lang": table("lang", {"x": 0.517, "y": 0.483}), "topic": table("topic", {0: 1.0})}
+    got = mixing.rake(cells, targets, rate=0.4).collect()
+    taken = sum(r.mass * r.probability for r in got)
+    gap = abs(sum(r.mass * r.probability for r in got if r.source == "a") / taken - 0.52)
+    assert gap < 2 * mixing.TOLERANCE / 0.4 and got[0].gap < mixing.TOLERANCE
+    targets["lang"] = table("lang", {"x": 0.4, "y": 0.6})
+    assert mixing.rake(cells.where("mass > 10"), targets, rate=0.4).first().gap > mixing.TOLERANCE
