@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bcr, chaining, grace, langid, mixing, packing, parity, pii, toxicity, vamana
+from . import bcr, chaining, grace, langid, mixing, nbsvm, packing, parity, pii, toxicity, vamana
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_raked_mixture": lambda spark, sf_dir: mixing.mixture_of(table(spark, sf_dir, "documents")),
     "op9_grace_dedup": lambda spark, sf_dir: grace.exact_groups_of(table(spark, sf_dir, "documents")),
     "op10_disclosure_sanitising": lambda spark, sf_dir: pii.personal_data_of(table(spark, sf_dir, "documents")),
+    "op11_nb_support_vectors": lambda spark, sf_dir: nbsvm.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
 }
 
 ORACLE: dict[str, str] = {
