@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bcr, chaining, grace, langid, mixing, nbsvm, packing, parity, pii, toxicity, vamana
+from . import bcr, chaining, dualtree, grace, langid, mixing, nbsvm, packing, parity, pii, toxicity, vamana
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_grace_dedup": lambda spark, sf_dir: grace.exact_groups_of(table(spark, sf_dir, "documents")),
     "op10_disclosure_sanitising": lambda spark, sf_dir: pii.personal_data_of(table(spark, sf_dir, "documents")),
     "op11_nb_support_vectors": lambda spark, sf_dir: nbsvm.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op12_dual_tree_search": lambda spark, sf_dir: dualtree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
 }
 
 ORACLE: dict[str, str] = {
@@ -30,4 +31,19 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
                sha256(norm) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op12_dual_tree_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+             q AS (SELECT item_id, t, count(*) AS repeats
+                   FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+                   GROUP BY ALL),
+             total AS (SELECT count(*) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l FROM d WHERE len(terms) > 0),
+             tf AS (SELECT doc_id, t, count(*) AS tf, any_value(n) AS n
+                    FROM (SELECT doc_id, unnest(terms) AS t, len(terms) AS n FROM d) WHERE t IN (SELECT t FROM q) GROUP BY doc_id, t),
+             w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY t),
+             s AS (SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * big_n) // big_l))))) AS BIGINT) AS score
+                   FROM q JOIN tf USING (t) JOIN w USING (t), total GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }
