@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bcr, chaining, dualtree, grace, langid, mixing, nbsvm, packing, parity, pii, toxicity, vamana
+from . import automata, bcr, chaining, dualtree, grace, langid, mixing, nbsvm, packing, parity, pii, toxicity, vamana
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_disclosure_sanitising": lambda spark, sf_dir: pii.personal_data_of(table(spark, sf_dir, "documents")),
     "op11_nb_support_vectors": lambda spark, sf_dir: nbsvm.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op12_dual_tree_search": lambda spark, sf_dir: dualtree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op13_count_transducers": lambda spark, sf_dir: automata.collocations(table(spark, sf_dir, "documents")),
 }
 
 ORACLE: dict[str, str] = {
@@ -46,4 +47,24 @@ ORACLE: dict[str, str] = {
                    FROM q JOIN tf USING (t) JOIN w USING (t), total GROUP BY item_id, doc_id)
         SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
         FROM s WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_count_transducers": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+             words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+             total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+             grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                       FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS k))),
+             f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING f >= 100),
+             inside AS (SELECT DISTINCT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:k - 1], ' '),
+                                                         array_to_string(string_split(phrase, ' ')[2:k], ' ')]) AS phrase FROM f WHERE k > 2),
+             cuts AS (SELECT lang, k, phrase, f AS a, unnest(range(1, k)) AS c
+                      FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase AND i.f = f.f)),
+             scored AS (SELECT lang, cuts.phrase, a, x.f AS l, y.f AS r, n, c,
+                               CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+                        FROM cuts JOIN f x USING (lang) JOIN f y USING (lang) JOIN total USING (lang)
+                        WHERE x.phrase = array_to_string(string_split(cuts.phrase, ' ')[1:c], ' ')
+                          AND y.phrase = array_to_string(string_split(cuts.phrase, ' ')[c + 1:cuts.k], ' ')),
+             best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+        SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, n, score
+        FROM best QUALIFY rank <= 2000""",
 }
