@@ -3,6 +3,8 @@
 Indicators (presence, not counts) of byte n-grams, word n-grams and n-grams of word shapes are hashed
 to BUCKETS columns. As Spark jobs:
 
+0. One row stands for every distinct labelled text: ids and text hashes meet the labels first, the texts
+   are moved once, for the chosen ids.
 1. Documents per class and bucket, counted over all distinct labelled texts (partial counts per task,
    summed by bucket), give the class log-count ratios that scale the indicators.
 2. Labelled texts are dealt by a hash of the text to shards of about SHARD_DOCS texts and SHARD_BYTES
@@ -16,8 +18,10 @@ to BUCKETS columns. As Spark jobs:
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,6 +43,8 @@ SHARD_DOCS, SHARD_BYTES = 4096, 32 << 20
 CALIBRATION = 5
 #: Bound of a dual variable (per class, balanced), passes at most, and the stopping gap of projected gradients.
 COST, EPOCHS, GAP = 1.0, 60, 0.05
+#: Bits of the map of ids that are learned from (1 MB broadcast, whatever the input; a wrong hit costs a row's shuffle).
+MAP_BITS = 23
 #: Margins are counted in bins of this width, up to this many on either side of zero.
 _BIN, _BINS = 0.02, 2000
 _SHIFT = np.uint64(64 - BITS)
@@ -158,6 +164,37 @@ def _margins(rows: Iterator[np.ndarray], ratios: np.ndarray, weights: np.ndarray
         yield (float(weights[r] @ x) / norm if norm > 0 else 0.0) + bias
 
 
+def _id_map(marks: DataFrame) -> np.ndarray:
+    """A bit per id of the rows (by hash, MAP_BITS of them): one row per 32,768 bits reaches the driver."""
+    at = marks.select((F.pmod(F.crc32(F.col("id").cast("string")), F.lit(1 << MAP_BITS)) + 1).alias("b"))
+    rows = (at.groupBy(F.bitmap_bucket_number("b").alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+            .toArrow().to_pylist())
+    out = np.zeros(1 << (MAP_BITS - 3), dtype=np.uint8)
+    for r in rows:
+        out[(r["slice"] - 1) * 4096:][:len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def _first_of_map(chosen) -> Callable:
+    """Rows whose id is on the map, each (id, text) once per task: a repeated row is not sent on again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = chosen.value
+        seen: set[tuple] = set()
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            at = np.fromiter((zlib.crc32(str(i).encode()) for i in ids), dtype=np.int64, count=len(ids)) & ((1 << MAP_BITS) - 1)
+            keep = []
+            for k in np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1):
+                digest = (ids[k], hashlib.blake2b(batch.column(1)[k].as_buffer(), digest_size=16).digest())
+                if digest not in seen:
+                    seen.add(digest)
+                    keep.append(k)
+            if keep:
+                yield batch.take(pa.array(keep))
+
+    return run
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = np.zeros((2, BUCKETS), dtype=np.int64)
     for batch in batches:
@@ -249,10 +286,15 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Mod
     text counts once per label, however many rows repeat it. With one class only, or none, every
     text gets that class's smoothed share as its score.
     """
-    marked = labels.select(F.col("doc_id").alias("label_id"), (F.col(label_col).cast("double") >= 0.5).cast("int").alias("y")).dropna()
+    marked = labels.select(F.col("doc_id").alias("id"), (F.col(label_col).cast("double") >= 0.5).cast("int").alias("y")).dropna()
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).dropna()
-    rows = texts.join(marked, F.col("id") == F.col("label_id")).select("y", "text").distinct()
-    rows = stored(rows.select("y", F.xxhash64("text").alias("h"), "text"), "nbsvm-rows")
+    # one id stands for a text and label; the texts themselves move once, and only those of such ids
+    marks = texts.select("id", F.xxhash64("text").alias("h")).join(marked.hint("merge"), "id").groupBy("y", "h").agg(F.min("id").alias("id"))
+    marks = stored(marks, "nbsvm-marks")
+    chosen = docs.sparkSession.sparkContext.broadcast(_id_map(marks))
+    at = texts.schema["id"].dataType.simpleString()
+    found = texts.mapInArrow(_first_of_map(chosen), f"id {at}, text string").withColumn("h", F.xxhash64("text"))
+    rows = stored(found.join(marks.hint("merge"), ["id", "h"]).groupBy("id", "h", "y").agg(F.any_value("text").alias("text")), "nbsvm-rows")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.sum("y").alias("n1")).first()
     n, n1 = size["n"], size["n1"] or 0
     if not n1 or n1 == n:
