@@ -5,6 +5,7 @@
   python -m jobsift screen STORE [--junior] [--fix-list] [--out DIR]
   python -m jobsift report STORE {day,week,year,estimate} [--out DIR]
   python -m jobsift extract PAGES DROP --run-time "2024-07-01 04:00:00"
+  python -m jobsift compact STORE [--small-bytes N] [--keep-hours H]
   python -m jobsift sql STORE "SELECT ... FROM job_listings ..." [--out DIR]
 
 Reports are written to ``--out`` (parquet) or shown on the console.
@@ -71,6 +72,9 @@ def main(argv=None, spark=None):
     p = sub.add_parser("sql")
     p.add_argument("store"), p.add_argument("statement"), p.add_argument("--out")
     p.add_argument("--show", type=int, default=50)
+    p = sub.add_parser("compact")
+    p.add_argument("store"), p.add_argument("--small-bytes", type=int, default=1 << 30)
+    p.add_argument("--keep-hours", type=float, default=24.0)
     p = sub.add_parser("extract")
     p.add_argument("pages"), p.add_argument("drop"), p.add_argument("--run-time", required=True)
     ap.add_argument("--input-bytes", type=int, help="data volume, to size splits and shuffle partitions")
@@ -89,7 +93,7 @@ def main(argv=None, spark=None):
         _emit(screen.screen_listings(store.read_listings(spark, a.store), a.fix_list, a.junior), a.out, a.show)
     elif a.cmd == "report":
         if a.kind == "estimate":
-            df = trends.estimated_row_count(spark, a.store)
+            df = trends.estimated_row_count(spark, store.live_paths(spark, a.store) or a.store)
         else:
             fn = {"day": trends.jobs_per_day, "week": trends.jobs_per_week, "year": trends.jobs_per_year}[a.kind]
             df = fn(store.read_listings(spark, a.store))
@@ -97,6 +101,8 @@ def main(argv=None, spark=None):
     elif a.cmd == "sql":
         register_store(spark, a.store)
         _emit(spark.sql(a.statement), a.out, a.show)
+    elif a.cmd == "compact":
+        print(store.compact_store(spark, a.store, a.small_bytes, a.keep_hours) or "nothing to compact")
     elif a.cmd == "extract":
         extract_to_drop(spark, a.pages, a.drop, a.run_time)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import KEY
+from ..session import cut_lineage
 from .joins import bounded_broadcast
 
 # Up to this many incoming keys the stored table is probed by broadcast joins
@@ -25,7 +26,7 @@ def new_listings(incoming: DataFrame, known: DataFrame, key=KEY,
     plain anti join runs as a shuffle join.
     """
     key = list(key)
-    keys = incoming.select(*key).distinct()
+    keys = cut_lineage(incoming.select(*key).distinct())  # counted, then joined
     small = bounded_broadcast(keys, broadcast_key_limit)
     if small is keys:  # too many incoming keys to broadcast
         return incoming.join(known.select(*key), key, "left_anti")

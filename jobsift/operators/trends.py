@@ -50,14 +50,14 @@ def jobs_per_year(df: DataFrame, ts_col: str = "time_when_scraped", sort: bool =
     return out.orderBy("year") if sort else out
 
 
-def estimated_row_count(spark: SparkSession, path: str) -> DataFrame:
+def estimated_row_count(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A4: row count of a parquet table from file metadata.
 
     The scan reads no column (``ReadSchema: struct<>``): row counts come from
     the row-group footers, no page is decoded.
     """
     try:
-        table = spark.read.parquet(path)
+        table = spark.read.parquet(*([path] if isinstance(path, str) else path))
     except AnalysisException as e:
         if "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise

@@ -487,9 +487,9 @@ def q_read_known_keys(spark, sf_dir):
 def q_append_listings(spark, sf_dir):
     store = scratch_path(spark, "store")
     stored = fx.stored_listings(spark, sf_dir)
-    st.append_listings(stored, store, "0")
+    st.append_listings(stored, store, "0", identity="stored")
     st.append_listings(D.new_listings(_listings(spark, sf_dir), stored.select(*KEY)), store, "1")
-    st.append_listings(stored, store, "0", replay=True)  # a replayed batch replaces itself, it is not added twice
+    st.append_listings(stored, store, "0", identity="stored")  # the same batch again is not added twice
     return st.read_listings(spark, store)
 
 

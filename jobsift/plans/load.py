@@ -25,7 +25,7 @@ from ..operators.quality import (conform_listing, file_flags, file_quarantine, i
 from ..schema import LISTING_COLUMNS
 from ..session import cut_lineage
 from ..sources.listing_csv import list_listing_files, list_parts, listing_paths, not_found, read_listings_csv, top_level_csv
-from ..sources.store import append_listings, batch_dir, read_known_keys
+from ..sources.store import append_listings, batch_dir, batch_outcomes, bucket_of, holds_batch, read_known_keys, store_buckets
 
 
 #: What a file that cannot be read raises, from a query or from a checkpoint.
@@ -103,9 +103,9 @@ def with_loaded_counts(stats: DataFrame, to_append: DataFrame) -> DataFrame:
 MAX_SITES = 64
 
 
-def known_keys_or_empty(spark: SparkSession, store: str, exclude_batch=None, sources=None) -> DataFrame:
+def known_keys_or_empty(spark: SparkSession, store: str, sources=None, buckets=None) -> DataFrame:
     try:
-        return read_known_keys(spark, store, sources, exclude_batch=None if exclude_batch is None else str(exclude_batch))
+        return read_known_keys(spark, store, sources, buckets=buckets)
     except AnalysisException as e:
         if not not_found(e):
             raise
@@ -140,50 +140,59 @@ def write_outcomes(outcomes: DataFrame, path: str, batch_id) -> None:
     outcomes.write.mode("overwrite").parquet(batch_dir(path, batch_id))
 
 
-def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outcomes_path: str | None = None,
-               files: DataFrame | None = None, replay: bool = False, unreadable: list[str] | None = None) -> None:
-    """Plan and write one batch: its rows go to ``load_batch=<batch_id>``.
+def touched_partitions(spark: SparkSession, rows: DataFrame, store: str) -> tuple[list | None, list | None]:
+    """The sites and key buckets of the batch (None: too many sites to name, or a store without buckets)."""
+    buckets = store_buckets(spark, store)
+    bucket = bucket_of(F.col("listing_id"), buckets) if buckets else F.lit(None).cast("int")
+    # at most sites x buckets rows, both bounded
+    found = rows.select("source", bucket.alias("bucket")).distinct().limit((MAX_SITES + 1) * (buckets or 1)).collect()
+    sites = {r["source"] for r in found if r["source"] is not None}
+    hit = {r["bucket"] for r in found}
+    many = len(sites) > MAX_SITES
+    return None if many else sorted(sites), None if many or not buckets or len(hit) == buckets else sorted(hit)
 
-    An id that the store holds already is an error; with ``replay`` (ids made
-    from the batch's files) it is the same batch again, which replaces its
-    partition and ignores it as 'known'. The store is probed in the partitions
-    of the batch's sites only.
-    """
-    sites = [r["source"] for r in rows.select("source").distinct().limit(MAX_SITES + 1).collect()]
-    sites = None if len(sites) > MAX_SITES else [s for s in sites if s is not None]
-    known = known_keys_or_empty(spark, store, exclude_batch=batch_id if replay else None, sources=sites)
-    to_append, outcomes = plan_batch(rows, known, files, unreadable=unreadable)
-    append_listings(to_append.drop("file_name"), store, batch_id, replay)
-    if outcomes_path:
+
+def finish_batch(spark: SparkSession, store: str, batch_id, outcomes_path: str | None) -> None:
+    """Copy the outcomes kept with a stored batch to ``outcomes_path`` (again, if a run ended before it)."""
+    outcomes = batch_outcomes(spark, store, batch_id) if outcomes_path else None
+    if outcomes is not None:
         write_outcomes(outcomes, outcomes_path, batch_id)
 
 
-def _same_input_again(spark: SparkSession, folder: str, store: str, batch_id) -> bool:
-    """Whether the batch was begun before with the files the folder holds now; an error if with others.
+def load_batch(spark: SparkSession, rows: DataFrame, store: str, batch_id, outcomes_path: str | None = None,
+               files: DataFrame | None = None, identity: str | None = None, unreadable: list[str] | None = None) -> None:
+    """Plan and write one batch: its rows go to ``load_batch=<batch_id>``.
 
-    A batch's identity is its files (path, time, length), kept beside the store.
+    An id that the store holds already is an error; with the same ``identity`` it is
+    the same batch again, which stays as it is. The store is probed in the
+    partitions (site, key bucket) of the batch's keys only. The outcomes are published with the
+    rows, so a run that ends before they reach ``outcomes_path`` is finished from the store.
     """
+    if not holds_batch(spark, store, batch_id, identity):
+        sites, buckets = touched_partitions(spark, rows, store)
+        known = known_keys_or_empty(spark, store, sites, buckets)
+        to_append, outcomes = plan_batch(rows, known, files, unreadable=unreadable)
+        append_listings(to_append.drop("file_name"), store, batch_id, identity, outcomes)
+    finish_batch(spark, store, batch_id, outcomes_path)
+
+
+def folder_identity(spark: SparkSession, folder: str) -> str:
+    """What a bulk batch is made from: the files (path, time, length) the folder holds now."""
     one = F.xxhash64("path", "time", "length").cast("decimal(38,0)")
-    now = list_parts(spark, folder).agg(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum(one), F.lit(0)).cast("string")).alias("value"))
-    at = batch_dir(store.rstrip("/") + "_inputs", batch_id)
-    try:
-        before = spark.read.text(at).first()
-    except AnalysisException as e:
-        if not not_found(e):
-            raise
-        now.write.text(at)
-        return False
-    if before is None or before["value"] != now.first()["value"]:
-        raise ValueError(f"batch {batch_id} is already in the store, with other files")
-    return True
+    r = list_parts(spark, folder).agg(F.count("*").alias("n"), F.coalesce(F.sum(one), F.lit(0)).cast("string").alias("value")).first()
+    return f"{r['n']}:{r['value']}"
 
 
 def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes_path: str | None = None) -> None:
     """Bulk load of every listing file in ``folder`` (header-only files reported as EMPTY).
 
-    A batch id is used once; loading the same files under it again replays the batch.
+    A batch id is used once: with the same files it is done, with others, or where the store holds it without
+    knowing its files, it is an error and nothing is written.
     """
-    replay = _same_input_again(spark, folder, store, batch_id)
+    identity = folder_identity(spark, folder)
+    if holds_batch(spark, store, batch_id, identity):
+        finish_batch(spark, store, batch_id, outcomes_path)
+        return
     files = list_listing_files(spark, folder).select("file_name", "file_time")
     unreadable: list[str] = []
     try:
@@ -193,4 +202,4 @@ def load_folder(spark: SparkSession, folder: str, store: str, batch_id, outcomes
             raise
         rows, bad = readable_rows(spark, listing_paths(spark, folder))
         unreadable = [p.rstrip("/").rsplit("/", 1)[-1].removeprefix("file_name=") for p in bad]
-    load_batch(spark, rows, store, batch_id, outcomes_path, files, replay, unreadable)
+    load_batch(spark, rows, store, batch_id, outcomes_path, files, identity, unreadable)

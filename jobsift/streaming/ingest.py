@@ -9,9 +9,11 @@ Spark wrote included, and every one of them, a header-only or unreadable one
 included, gets an outcome row.
 
 A step's batch id is made from its files: ``load_batch=<tag>-<hash>`` (store,
-outcomes and read log). A step that is run again after a failure writes its own
-partitions again and ignores its own earlier output as 'known', so the append
-is exactly-once. As a service the ingest is a Structured Streaming query whose
+outcomes and read log). The step's files are recorded before anything is stored.
+Rows and outcomes are published together, so a step that was cut off is either
+finished from the store (its outcomes and its read log are written, whatever files
+have come since) or, if nothing was published, forgotten: its files wait again. The
+read log is compacted to what the folder still holds. As a service the ingest is a Structured Streaming query whose
 micro-batches are the schedule: each looks for waiting files.
 """
 
@@ -19,19 +21,23 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name_of_path
 from ..operators.dedupe import load_order
-from ..plans.load import load_batch, readable_rows
+from ..plans.load import finish_batch, load_batch, readable_rows
 from ..session import cut_lineage
-from ..sources.listing_csv import list_parts, not_found
-from ..sources.store import batch_dir
+from ..sources import batches
+from ..sources.batches import batch_dir
+from ..sources.listing_csv import list_parts
+from ..sources.store import holds_batch
 
 #: Listing files of one step at most: the driver names that many paths to the reader.
 FILES_PER_STEP = 10_000
+#: Folders of the read log, each of one step, from which on it is compacted.
+LOG_FOLDERS = 32
+_PARTS = "path string, time timestamp, length bigint"
 
 
 def stream_tag(checkpoint: str) -> str:
@@ -45,16 +51,41 @@ def read_log_path(outcomes_path: str) -> str:
     return outcomes_path.rstrip("/") + "_files_read"
 
 
+def steps_path(outcomes_path: str) -> str:
+    """Where a step's files are recorded while it runs."""
+    return outcomes_path.rstrip("/") + "_steps"
+
+
+def read_log(spark: SparkSession, outcomes_path: str) -> DataFrame:
+    """The physical files that have been read: path, time, length."""
+    found = [f.path for f in batches.live(batches.folders(spark, read_log_path(outcomes_path)))]
+    return spark.read.schema(_PARTS).parquet(*found) if found else spark.createDataFrame([], _PARTS)
+
+
+def compact_read_log(spark: SparkSession, drop: str, outcomes_path: str, keep_hours: float = 24.0) -> None:
+    """Rewrite the log of many steps as one folder, without files that have left the drop folder.
+
+    Such a file can only come back as a new one (with its own time), so nothing is read twice; what a run
+    reads of the log is bounded by the folder and LOG_FOLDERS steps, not by the history.
+    """
+    root = read_log_path(outcomes_path)
+    batches.remove_replaced(spark, root, keep_hours)
+    found = batches.folders(spark, root)
+    now = batches.live(found)
+    if len(now) < LOG_FOLDERS:
+        return
+    name = batches.next_compacted(found)
+    staged = batches.staging(root, name)
+    kept = read_log(spark, outcomes_path).join(list_parts(spark, drop), ["path", "time", "length"], "left_semi").distinct()
+    kept.write.parquet(staged)
+    batches.publish(spark, staged, root, name, {"replaces": [f.batch for f in now]})
+
+
 def waiting_files(spark: SparkSession, drop: str, outcomes_path: str) -> DataFrame:
     """One row per listing file with a part that has not been read as it is now: lpath,
     file_name, file_time, parts (path, time, length)."""
     parts = list_parts(spark, drop)
-    try:
-        log = spark.read.schema("path string, time timestamp, length bigint").parquet(read_log_path(outcomes_path))
-    except AnalysisException as e:
-        if not not_found(e):
-            raise
-        log = spark.createDataFrame([], "path string, time timestamp, length bigint")
+    log = read_log(spark, outcomes_path)
     fresh = parts.join(log, ["path", "time", "length"], "left_anti").select("lpath").distinct()
     return (parts.join(fresh, "lpath", "left_semi").groupBy("lpath")
             .agg(F.min("time").alias("file_time"), F.sort_array(F.collect_list(F.struct("path", "time", "length"))).alias("parts"))
@@ -62,21 +93,46 @@ def waiting_files(spark: SparkSession, drop: str, outcomes_path: str) -> DataFra
 
 
 def _move(spark: SparkSession, paths: list[str], folder: str) -> None:
-    """Move files that have been read below ``folder``, each in its result set's folder."""
+    """Move files that have been read below ``folder``, each in its result set's folder; a corrected file replaces
+    the one archived before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         source = jvm.org.apache.hadoop.fs.Path(p)
+        if not batches.exists(spark, p):
+            continue  # moved by the run that this one finishes
         above = source.getParent()
         to = jvm.org.apache.hadoop.fs.Path(folder, above.getName() if above.getName().endswith(".csv") else ".")
-        fs = source.getFileSystem(conf)
-        fs.mkdirs(to)
-        if not fs.rename(source, jvm.org.apache.hadoop.fs.Path(to, source.getName())):
-            raise OSError(f"cannot move {p} to {to.toString()}")
+        source.getFileSystem(conf).mkdirs(to)
+        batches.rename(spark, p, jvm.org.apache.hadoop.fs.Path(to, source.getName()).toString(), replace=True)
+
+
+def _finish_step(spark: SparkSession, batch: str, store: str, outcomes_path: str, archive_dir: str | None) -> None:
+    """What follows once a step's batch is stored: its outcomes, its read log, the archive."""
+    finish_batch(spark, store, batch, outcomes_path)
+    record = batch_dir(steps_path(outcomes_path), batch)
+    parts = spark.read.schema(_PARTS).parquet(record)
+    parts.write.mode("overwrite").parquet(batch_dir(read_log_path(outcomes_path), batch))
+    if archive_dir:
+        _move(spark, [r["path"] for r in parts.select("path").collect()], archive_dir)  # at most a step's files
+    batches.delete(spark, record)
+
+
+def finish_steps(spark: SparkSession, store: str, outcomes_path: str, tag: str, archive_dir: str | None = None) -> None:
+    """Finish the steps of this ingest that were cut off after their rows were published; forget the others."""
+    for f in batches.folders(spark, steps_path(outcomes_path)):
+        if not f.batch.startswith(tag + "-"):
+            continue
+        if holds_batch(spark, store, f.batch, f.batch):
+            _finish_step(spark, f.batch, store, outcomes_path, archive_dir)
+        else:
+            batches.delete(spark, f.path)
 
 
 def ingest_waiting(spark: SparkSession, drop: str, store: str, outcomes_path: str, tag: str,
                    files_per_step: int = FILES_PER_STEP, archive_dir: str | None = None) -> int:
     """Load all waiting files, ``files_per_step`` at a time in load order; how many there were."""
+    finish_steps(spark, store, outcomes_path, tag, archive_dir)
+    compact_read_log(spark, drop, outcomes_path)
     waiting = cut_lineage(waiting_files(spark, drop, outcomes_path).withColumn("at", load_order("file_time", "file_name")))
     done, last = 0, None
     while True:
@@ -91,11 +147,9 @@ def ingest_waiting(spark: SparkSession, drop: str, store: str, outcomes_path: st
         listing = spark.createDataFrame([(f["file_name"], f["file_time"]) for f in step], "file_name string, file_time timestamp")
         rows, bad = readable_rows(spark, [f["lpath"] for f in step])
         names = {f["lpath"]: f["file_name"] for f in step}
-        load_batch(spark, rows, store, batch, outcomes_path, files=listing, replay=True, unreadable=[names[p] for p in bad])
-        (spark.createDataFrame(parts, "path string, time timestamp, length bigint")
-         .write.mode("overwrite").parquet(batch_dir(read_log_path(outcomes_path), batch)))
-        if archive_dir:
-            _move(spark, [p for p, _, _ in parts], archive_dir)
+        (spark.createDataFrame(parts, _PARTS).coalesce(1).write.mode("overwrite").parquet(batch_dir(steps_path(outcomes_path), batch)))
+        load_batch(spark, rows, store, batch, None, files=listing, identity=batch, unreadable=[names[p] for p in bad])
+        _finish_step(spark, batch, store, outcomes_path, archive_dir)
         done += len(step)
 
 
