@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +77,9 @@ def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col:
     With ``file_time_col`` the result is that of loading the files one at a
     time in load order (file time, then name): a row whose key an earlier
     *good* file supplies is known by then, so it counts neither as new nor as
-    bad. Whether a file is good hangs on earlier files only, so the set of bad
-    files is the one that reproduces itself; it is found by repeating bad files
-    -> supplied keys -> bad files until nothing changes (after k rounds at
-    least the first k files are settled). Each round is grouped counts over one
-    checkpointed row per (file, key).
+    bad. Only contested rows (an earlier file has a clean row of their key) can be
+    known; all others are counted once. Which files are good is settled over the
+    contested bad rows of the files that nothing else makes bad (``bad_files_in_order``).
     """
     agg = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("null_bad")).alias("n_null_bad")]
     if file_time_col:
@@ -89,19 +88,83 @@ def file_flags(new_rows: DataFrame, file_col: str = "file_name", file_time_col:
     bad = F.when(F.col("n") > 1, F.col("n")).otherwise(F.col("n_null_bad"))
     if not file_time_col:
         return per_key.groupBy(file_col).agg(F.sum("n").alias("n_new"), F.sum(bad).alias("n_bad"))
-    per_key = cut_lineage(per_key.withColumn("_order", load_order("_ft", file_col)).withColumn("_bad", bad))
-    clean = per_key.filter((F.col("n") == 1) & (F.col("n_null_bad") == 0))
-    dirty = cut_lineage(per_key.groupBy(file_col).agg(F.sum("_bad").alias("n_bad")).filter("n_bad > 0").select(file_col))
-    shadowed = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
+    per_key = per_key.select(file_col, *KEY, "n", bad.alias("_bad"), load_order("_ft", file_col).alias("_order"))
+    per_key = cut_lineage(per_key)
+    first = per_key.filter(F.col("_bad") == 0).groupBy(*KEY).agg(F.min("_order").alias("_first"))
+    contested = F.coalesce(F.col("_first") < F.col("_order"), F.lit(False))
+    rows = cut_lineage(per_key.join(first, KEY, "left").select(*per_key.columns, contested.alias("_contested")))
+    dirty = bad_files_in_order(rows, file_col)
+    supply = (rows.filter(F.col("_bad") == 0).join(dirty, file_col, "left_anti")
+              .join(rows.filter("_contested").select(*KEY).distinct(), KEY, "left_semi").groupBy(*KEY).agg(F.min("_order").alias("_first")))
+    known = rows.filter("_contested").join(supply, KEY).filter(F.col("_first") < F.col("_order")).groupBy(file_col).agg(
+        F.sum("n").alias("_n"), F.sum("_bad").alias("_b"))
+    whole = rows.groupBy(file_col).agg(F.sum("n").alias("n_new"), F.sum("_bad").alias("n_bad"))
+    return cut_lineage(whole.join(known, file_col, "left").select(
+        file_col, (F.col("n_new") - F.coalesce("_n", F.lit(0))).alias("n_new"), (F.col("n_bad") - F.coalesce("_b", F.lit(0))).alias("n_bad")))
+
+
+#: Up to this many undecided rows (file, key) one task walks the files in load order; more are first thinned by rounds.
+WALK_ROWS = 1_000_000
+
+
+def bad_files_in_order(rows: DataFrame, file_col: str) -> DataFrame:
+    """The files with a bad row that no earlier good file supplies.
+
+    ``rows``: per (file, key) ``_bad`` (bad rows), ``_order`` and ``_contested`` (an earlier file has
+    a clean row of the key). A file with an uncontested bad row is bad, one without bad rows is good. The
+    others are undecided: of them only bad rows whose key no surely good file supplies earlier, and
+    clean rows of such keys, are looked at. Within ``WALK_ROWS`` of these, one task takes the files in
+    order and keeps the keys supplied so far. Beyond, each round settles the files all of whose keys have settled
+    suppliers, and settled files leave.
+    """
+    has = F.col("_bad") > 0
+    files = cut_lineage(rows.filter(has).groupBy(file_col).agg(F.count_if(~F.col("_contested")).alias("_sure")))
+    dirty = files.filter("_sure > 0").select(file_col)
+    undecided = files.filter("_sure = 0").select(file_col)
+    bad = cut_lineage(rows.filter(has).join(undecided, file_col, "left_semi").select(file_col, *KEY, "_order"))
+    clean = cut_lineage(rows.filter(~has).join(bad.select(*KEY).distinct(), KEY, "left_semi").join(dirty, file_col, "left_anti")
+                        .select(file_col, *KEY, "_order"))
     while True:
-        supply = clean.join(dirty, file_col, "left_anti").groupBy(*KEY).agg(F.min("_order").alias("_first"))
-        flags = cut_lineage(per_key.join(supply, KEY, "left").groupBy(file_col).agg(
-            F.sum(F.when(shadowed, 0).otherwise(F.col("n"))).alias("n_new"),
-            F.sum(F.when(shadowed, 0).otherwise(F.col("_bad"))).alias("n_bad")))
-        now = flags.filter(F.col("n_bad") > 0).select(file_col)
-        if now.exceptAll(dirty).isEmpty() and dirty.exceptAll(now).isEmpty():
-            return flags
-        dirty = now
+        open_clean = clean.join(undecided, file_col, "left_semi")
+        good = clean.join(undecided, file_col, "left_anti").groupBy(*KEY).agg(F.min("_order").alias("_good"))
+        waiting = open_clean.groupBy(*KEY).agg(F.min("_order").alias("_open"))
+        left = cut_lineage(bad.join(good, KEY, "left").filter(~F.coalesce(F.col("_good") < F.col("_order"), F.lit(False)))
+                           .select(file_col, *KEY, "_order"))
+        # a file without such a row is good (the events below still hold what it brings)
+        undecided = cut_lineage(left.select(file_col).distinct())
+        if left.limit(1).count() == 0:
+            return dirty
+        events = left.withColumn("_is_bad", F.lit(True)).unionByName(
+            open_clean.join(left.select(*KEY).distinct(), KEY, "left_semi").withColumn("_is_bad", F.lit(False)))
+        events = cut_lineage(events)
+        if events.count() <= WALK_ROWS:
+            one = events.select(F.col(file_col).alias("file"), *KEY, "_is_bad", "_order").repartition(1).sortWithinPartitions("_order")
+            found = one.select("file", *KEY, "_is_bad").mapInPandas(_walk, "file string")
+            return cut_lineage(dirty.unionByName(found.withColumnRenamed("file", file_col)))
+        sure = left.join(waiting, KEY, "left").filter(~F.coalesce(F.col("_open") < F.col("_order"), F.lit(False))).select(file_col).distinct()
+        dirty = cut_lineage(dirty.unionByName(sure))
+        undecided = cut_lineage(undecided.join(sure, file_col, "left_anti"))
+        bad = cut_lineage(left.join(sure, file_col, "left_anti"))
+        clean = cut_lineage(clean.join(sure, file_col, "left_anti"))
+
+
+def _walk(batches):
+    """Files in load order with their undecided rows: the bad ones. Keys that good files supply are kept."""
+    supplied: set = set()
+    file, wanted, brings = None, [], []
+    for pdf in batches:
+        bad = []
+        for name, listing_id, source, is_bad in pdf.itertuples(index=False):
+            if name != file:
+                if wanted and any(k not in supplied for k in wanted):
+                    bad.append(file)
+                else:
+                    supplied.update(brings)
+                file, wanted, brings = name, [], []
+            (wanted if is_bad else brings).append((listing_id, source))
+        yield pd.DataFrame({"file": pd.Series(bad, dtype=object)})
+    if wanted and any(k not in supplied for k in wanted):
+        yield pd.DataFrame({"file": [file]})
 
 
 def outcome(n_rows: Column, n_new: Column, n_bad: Column) -> Column:
