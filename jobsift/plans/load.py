@@ -12,8 +12,6 @@ drop-folder ingest with one file per step, which loads the same rows.
 
 from __future__ import annotations
 
-import re
-
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +22,7 @@ from ..operators.quality import (conform_listing, file_flags, file_quarantine, i
                                  violates_not_null)
 from ..schema import LISTING_COLUMNS
 from ..session import cut_lineage
-from ..sources.listing_csv import list_listing_files, list_parts, listing_paths, not_found, read_listings_csv, top_level_csv
+from ..sources.listing_csv import list_listing_files, list_parts, listing_paths, literal_path, not_found, read_listings_csv, top_level_csv
 from ..sources.store import append_listings, batch_dir, batch_outcomes, bucket_of, holds_batch, read_known_keys, store_buckets
 
 
@@ -112,11 +110,6 @@ def known_keys_or_empty(spark: SparkSession, store: str, sources=None, buckets=N
         return spark.createDataFrame([], "listing_id string, source string")  # no store yet
 
 
-def literal_path(p: str) -> str:
-    """Escape glob characters so a file name is read as it is."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", p)
-
-
 def readable_rows(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
     """The rows of the listing files ``paths``, stored, and the paths that cannot be read.
 

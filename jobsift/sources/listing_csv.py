@@ -7,15 +7,20 @@ X.csv``) counts as one listing file, like a flat ``X.csv``.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import file_name_of_path, in_result_set_folder, metadata_file_path, path_dir, result_set_file_name
 from ..schema import LISTING_COLUMNS, LISTING_TEXT_SCHEMA, TIME_TEXT_FORMAT
+from ..session import cut_lineage
 
 CSV_READ_OPTIONS = {
     "header": "true",
@@ -23,11 +28,12 @@ CSV_READ_OPTIONS = {
     "escape": '"',  # quotes are doubled inside quoted values
     "encoding": "UTF-8",
     "mode": "PERMISSIVE",
-    "maxColumns": "32",  # a file with a longer line cannot be read (its outcome is ERROR)
 }
 
-#: Fields of a line that are looked at: the columns are found by name among these.
-FIELDS = 32
+#: Distinct headers among the files of one read that are read one by one; beyond, the files go through ``_by_name``.
+HEADERS = 16
+#: Columns of a file that ``_by_name`` looks at.
+FIELDS = 256
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -38,6 +44,11 @@ CSV_WRITE_OPTIONS = {
 }
 
 
+def literal_path(p: str) -> str:
+    """Escape glob characters so a file name is read as it is."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", p)
+
+
 def top_level_csv(folder: str) -> str:
     """Glob of the listing files directly in ``folder`` (case-sensitive ``.csv``;
     sub-folders such as ``Processed/`` and ``Errors/`` are not matched)."""
@@ -49,8 +60,10 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_l
     """Listing files as 8 text columns (+ ``file_name``, ``file_time``, ``file_error``).
 
     Columns are taken by the names in each file's header, in whatever order and
-    among whatever others; rows of a file that lacks one, and rows with more
-    fields than the header, say so in ``file_error``. No schema inference: every
+    among however many others; rows of a file that lacks one, and rows with more
+    fields than the header (a value after the last named column, which a plain read would
+    drop unseen), say so in ``file_error``. The distinct header lines are read first; all files of one
+    header are then one JVM-side read. No schema inference: every
     column is a string, as the files are text. A
     multi-line CSV file is read by one task, so parallelism comes from the
     number of files (result sets Spark writes are split into several part
@@ -63,26 +76,76 @@ def read_listings_csv(spark: SparkSession, path, with_file: bool = True, multi_l
     an empty one through a glob, so both read as empty then).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    schema = ", ".join(f"c{i} string" for i in range(FIELDS)) if multi_line else LISTING_TEXT_SCHEMA
-    opts = dict(CSV_READ_OPTIONS, multiLine="true", header="false") if multi_line else dict(
-        CSV_READ_OPTIONS, multiLine="false", enforceSchema="false")
+    opts = dict(CSV_READ_OPTIONS, multiLine="false", enforceSchema="false")
     try:
-        df = spark.read.schema(schema).options(**opts).csv(paths)
+        heads = _header_lines(spark, paths) if multi_line else None
+        df = None if multi_line else spark.read.schema(LISTING_TEXT_SCHEMA).options(**opts).csv(paths)
     except AnalysisException as e:
         if not (empty_if_no_match and not_found(e)):
             raise
+        heads, df = {}, None
+    if df is not None:
+        named = df.select(*LISTING_COLUMNS, *_file_columns(F.lit(None).cast("string"))) if with_file else df
+    elif not heads:
         empty = spark.createDataFrame([], LISTING_TEXT_SCHEMA)
-        if not with_file:
-            return empty
-        return empty.select(*LISTING_COLUMNS, *[F.lit(None).cast(t).alias(c) for c, t in _FILE_COLUMNS])
-    at = [file_name_of_path(metadata_file_path()).alias("file_name"), F.col("_metadata.file_modification_time").alias("file_time")]
-    if not multi_line:
-        return df.select(*LISTING_COLUMNS, *at, F.lit(None).cast("string").alias("file_error")) if with_file else df
-    raw = df.select(F.col("_metadata.file_path").alias("_path"), *at, *[f"c{i}" for i in range(FIELDS)])
-    named = raw.mapInArrow(_by_name, ", ".join([*(f"{c} string" for c in LISTING_COLUMNS), *(f"{c} {t}" for c, t in _FILE_COLUMNS)]))
+        named = empty.select(*LISTING_COLUMNS, *[F.lit(None).cast(t).alias(c) for c, t in _FILE_COLUMNS])
+    elif len(heads) > HEADERS or any(header_columns(line) is None for line in heads):
+        named = _read_by_name(spark, paths)
+    else:
+        named = None
+        for line, files in heads.items():
+            part = _read_header(spark, paths if len(heads) == 1 else [literal_path(f) for f in files], header_columns(line))
+            named = part if named is None else named.unionByName(part)
     return named if with_file else named.select(*LISTING_COLUMNS)
 
 
+def _file_columns(error: Column) -> list[Column]:
+    return [file_name_of_path(metadata_file_path()).alias("file_name"), F.col("_metadata.file_modification_time").alias("file_time"),
+            error.alias("file_error")]
+
+
+def _header_lines(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each distinct first line (the paths only where there are several, and at most HEADERS, of them)."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    first = (lines.filter("at = 0").withColumn("row", F.monotonically_increasing_id()).groupBy("path")
+             .agg(F.min_by("value", "row").alias("line")))
+    first = cut_lineage(first)
+    found = {r["line"]: [] for r in first.select("line").distinct().limit(HEADERS + 1).collect()}
+    if 1 < len(found) <= HEADERS:
+        for r in first.collect():  # one path per file, as the listing of the read holds them
+            found[r["line"]].append(unquote(r["path"]))
+    return found
+
+
+def header_columns(line: str) -> list[str] | None:
+    """The column names of a header line; None where a quoted name goes on in the next line."""
+    if line.count('"') % 2:
+        return None
+    return [h.strip() for h in next(csv.reader([line.lstrip("\ufeff")]), [])]
+
+
+def _read_header(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
+    """Files of one header: its columns by position, the 8 by name, and one field beyond for surplus values."""
+    places = {h: i for i, h in reversed(list(enumerate(names)))}
+    missing = [c for c in LISTING_COLUMNS if c not in places]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    df = spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(paths)
+    if missing:
+        error = F.lit(f"no column {', '.join(missing)}")
+    else:
+        error = F.when(F.col(f"c{len(names)}").isNotNull(), F.lit("more fields than the header"))
+    return df.select(*((F.col(f"c{places[c]}") if c in places else F.lit(None).cast("string")).alias(c) for c in LISTING_COLUMNS),
+                     *_file_columns(error))
+
+
+def _read_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of many headers, or of headers over several lines: every row passes ``_by_name``."""
+    schema = ", ".join(f"c{i} string" for i in range(FIELDS))
+    df = spark.read.schema(schema).options(**dict(CSV_READ_OPTIONS, header="false")).csv(paths)
+    raw = df.select(F.col("_metadata.file_path").alias("_path"), *_file_columns(F.lit(None).cast("string"))[:2], *[f"c{i}" for i in range(FIELDS)])
+    return raw.mapInArrow(_by_name, ", ".join([*(f"{c} string" for c in LISTING_COLUMNS), *(f"{c} {t}" for c, t in _FILE_COLUMNS)]))
+
+
 _FILE_COLUMNS = (("file_name", "string"), ("file_time", "timestamp"), ("file_error", "string"))
 
 
