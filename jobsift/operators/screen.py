@@ -8,6 +8,7 @@ and that sort is range-partitioned.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,24 +133,49 @@ def newest_first(df: DataFrame, ts_col: str = "time_when_scraped", rank_col: str
     """O1: newest first (NULLs first, as a descending PostgreSQL sort).
 
     The sort is range-partitioned. With ``rank_col`` the global 1-based
-    position is attached without a single-partition window: the sorted rows
-    are checkpointed with their (partition, offset) id, the partition sizes are
-    counted (one row per partition, a bounded broadcast), and each row's rank
-    is its partition's start plus its offset.
+    position is attached without a single-partition window and without a copy of the
+    table: time and key alone are range-partitioned first, which gives the ranges' first
+    rows and sizes (one row per range reaches the driver); each row of the table then
+    finds its range by comparing with those first rows, and its rank is the
+    range's start plus its place there. Rows equal in time and key share a range.
     """
-    from ..session import cut_lineage
-
     order = [F.col(ts_col).desc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tie_break]
-    ordered = df.orderBy(*order)
     if not rank_col:
-        return ordered
-    ordered = cut_lineage(ordered.withColumn("_mid", F.monotonically_increasing_id()))
-    part = F.shiftright(F.col("_mid"), 33)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ordered.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.withColumn(
-        "_start", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
-                             F.lit(0)))
-    return (ordered.join(F.broadcast(starts.select("_p", "_start")), part == F.col("_p"))
-            .withColumn(rank_col, F.col("_start") + pos + 1)
-            .drop("_mid", "_p", "_start"))
+        return df.orderBy(*order)
+    keys = df.select(F.col(ts_col).alias("t"), F.struct(*tie_break).alias("k"))
+    by = [F.col("t").desc_nulls_first(), F.col("k").asc_nulls_first()]
+    dealt = keys.repartitionByRange(*by).sortWithinPartitions(*by)
+    found = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.first(F.struct("t", "k")).alias("first"), F.count(F.lit(1)).alias("n"))
+    ranges = sorted(found.collect(), key=lambda r: r["p"])
+    starts = [0]
+    for r in ranges:
+        starts.append(starts[-1] + r["n"])
+    placed = df.withColumn("_range", _range_of([r["first"] for r in ranges], keys, ts_col, tie_break))
+    window = Window.partitionBy("_range").orderBy(*order)
+    start = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in starts]), F.col("_range") + 1)
+    # ranges in order over the partitions, each sorted once for the window: the output is in order as well
+    return (placed.repartitionByRange(max(1, len(ranges)), "_range").withColumn(rank_col, start + F.row_number().over(window))
+            .drop("_range"))
+
+
+def _range_of(firsts: list, keys: DataFrame, ts_col: str, tie_break) -> Column:
+    """The number (from 0) of the last range whose first row is not after this row: a search in two steps of about
+    the square root of the ranges each."""
+    if len(firsts) < 2:
+        return F.lit(0)
+    kind = keys.schema
+    edges = [F.struct(F.lit(f["t"]).cast(kind["t"].dataType).alias("t"),
+                      F.struct(*[F.lit(v).cast(c.dataType).alias(c.name) for v, c in zip(f["k"], kind["k"].dataType.fields, strict=True)]).alias("k"))
+             for f in firsts[1:]]
+    step = max(1, math.isqrt(len(edges)))
+    t, k = F.col(ts_col), F.struct(*tie_break)
+
+    def not_after(edge: Column) -> Column:
+        e = edge["t"]
+        before = (e.isNull() & t.isNotNull()) | F.coalesce(e > t, F.lit(False))
+        return before | (e.eqNullSafe(t) & (edge["k"] <= k))
+
+    coarse = F.size(F.filter(F.array(*edges[::step]), not_after))
+    blocks = F.array(*[F.array(*edges[i:i + step]) for i in range(0, len(edges), step)])
+    fine = F.size(F.filter(F.element_at(blocks, F.greatest(coarse, F.lit(1))), not_after))
+    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + fine).cast("int")

@@ -94,3 +94,31 @@ def test_recency_accepts_dates_and_rejects_zoned_instants(spark):
     assert S.recency_filter(df, dt.date(2024, 1, 2)).count() == 24
     with pytest.raises(ValueError):
         S.recency_filter(df, dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
+
+
+def test_ranks_over_many_ranges_with_nulls_and_ties(spark):
+    """Every range count, hot times, NULL times and keys, repeated rows; the output is in order and only time and key are dealt."""
+    import datetime as dt
+    import random
+    rng = random.Random(4)
+    rows = [(None if rng.random() < 0.05 else dt.datetime(2024, 1, 1) + dt.timedelta(days=min(int(rng.expovariate(1)), 5)),
+             None if rng.random() < 0.05 else f"k{rng.randint(0, 400)}", rng.choice(["a", "b", None]), i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "time_when_scraped timestamp_ntz, listing_id string, source string, n int").repartition(7)
+
+    def place(r):
+        t = r["time_when_scraped"]
+        return (t is not None, -t.timestamp() if t else 0, r["listing_id"] is not None, r["listing_id"] or "", r["source"] is not None, r["source"] or "")
+
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 2, 3, 17, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got = S.newest_first(df).collect()
+            assert [r["rank"] for r in got] == list(range(1, 1501)), n
+            assert [place(r) for r in got] == sorted(map(place, df.collect())), n
+            assert len({r["n"] for r in got}) == 1500
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert S.newest_first(df.limit(0)).collect() == []
