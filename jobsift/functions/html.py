@@ -6,6 +6,7 @@ is gathered on the driver.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
@@ -24,13 +25,20 @@ SCOPE_LIMIT = {"#document", "html", "body", "table", "ul", "ol", "dl", "select",
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    #: ``number``: place in document order; ``last``: that of its last descendant; ``nth``: place among its element siblings
+    __slots__ = ("tag", "attrs", "children", "parent", "number", "last", "nth", "elements")
 
-    def __init__(self, tag, attrs, parent):
+    def __init__(self, tag, attrs, parent, number=0):
         self.tag = tag
         self.attrs = attrs
         self.children = []
         self.parent = parent
+        self.number = self.last = number
+        self.elements = 0
+        self.nth = 1
+        if parent is not None:
+            parent.elements += 1
+            self.nth = parent.elements
 
     def get(self, name):
         return self.attrs.get(name)
@@ -81,6 +89,7 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#document", {}, None)
         self.cur = self.root
+        self.nodes = [self.root]
 
     def _close_implied(self, tag):
         """HTML5 implied end tags, for the common cases: a block start closes an
@@ -100,7 +109,8 @@ class _Builder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._close_implied(tag)
-        n = Node(tag, _attrs(attrs), self.cur)
+        n = Node(tag, _attrs(attrs), self.cur, len(self.nodes))
+        self.nodes.append(n)
         self.cur.children.append(n)
         if tag not in VOID:
             self.cur = n
@@ -120,11 +130,15 @@ class _Builder(HTMLParser):
         self.cur.children.append(data)
 
 
-def parse(html: str) -> Node:
+def _parsed(html: str) -> _Builder:
     b = _Builder()
     b.feed(html or "")
     b.close()
-    return b.root
+    return b
+
+
+def parse(html: str) -> Node:
+    return _parsed(html).root
 
 
 # --- element tests -----------------------------------------------------------
@@ -161,7 +175,7 @@ def find_all(node: Node, **test):
 
 
 def nth_child(node: Node) -> int:
-    return node.parent.element_children().index(node) + 1 if node.parent is not None else 1
+    return node.nth
 
 
 def _step_ok(n: Node, step: dict) -> bool:
@@ -179,18 +193,47 @@ def find_chain(node: Node, steps):
     Each step is a dict of ``match`` arguments plus an optional ``nth`` (1-based
     position among the parent's element children, ``:nth-child``).
     """
-    for n in node.iter():
-        if not _step_ok(n, steps[-1]):
-            continue
-        p, good = n, True
-        for step in reversed(steps[:-1]):
-            p = p.parent
-            if p is None or not _step_ok(p, step):
-                good = False
-                break
-        if good:
-            return n
-    return None
+    return next((n for n in node.iter() if _chain_ok(n, steps)), None)
+
+
+def _chain_ok(n: Node, steps) -> bool:
+    for step in reversed(steps):
+        if n is None or not _step_ok(n, step):
+            return False
+        n = n.parent
+    return True
+
+
+class Page:
+    """A parsed page with an index: per named rule (a chain of steps, see ``find_chain``) its elements in document order.
+
+    Every element is looked at once, for the rules of its tag; what lies inside an element is
+    then found by its numbers, so the work grows with the page, not with cards x fields x elements.
+    """
+
+    def __init__(self, html: str, rules: dict[str, list[dict]]):
+        nodes = _parsed(html).nodes
+        self.root = nodes[0]
+        of_tag: dict = {}
+        for name, steps in rules.items():
+            of_tag.setdefault(steps[-1].get("tag"), []).append((name, steps))
+        self.found: dict[str, list[Node]] = {name: [] for name in rules}
+        self.numbers: dict[str, list[int]] = {name: [] for name in rules}
+        any_tag = of_tag.pop(None, [])
+        for n in nodes[1:]:
+            for name, steps in (*any_tag, *of_tag.get(n.tag, ())):
+                if _chain_ok(n, steps):
+                    self.found[name].append(n)
+                    self.numbers[name].append(n.number)
+        for n in reversed(nodes[1:]):
+            n.parent.last = max(n.parent.last, n.last)
+
+    def first(self, name: str, inside: Node) -> Node | None:
+        """First element of a rule below ``inside``; None when absent."""
+        at = bisect_right(self.numbers[name], inside.number)
+        if at < len(self.numbers[name]) and self.numbers[name][at] <= inside.last:
+            return self.found[name][at]
+        return None
 
 
 def has_ancestor(n: Node, tag: str) -> bool:

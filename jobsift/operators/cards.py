@@ -31,56 +31,85 @@ CARD_SCHEMA = T.StructType([
 
 CARD_COLUMNS = ["listing_id", "source", "title", "company", "link", "location", "compensation"]
 
-# Child-combinator paths below a BuiltIn-style card.
 _BOUNDED = {"tag": "div", "class_token": "bounded-attribute-section"}
-_LOCATION_PATH = [_BOUNDED, {"tag": "div"}, {"tag": "div"}, {"tag": "div", "nth": 2}]
-_PAY_PATH = [_BOUNDED, {"tag": "div"}, {"tag": "div", "nth": 2}, {"tag": "div", "nth": 2}]
+
+# Rules per card layout: where a card and its fields are (child-combinator chains, see ``html.find_chain``).
+_LINKEDIN_RULES = {
+    "card": [{"has": ("data-job-id",)}],
+    "title": [{"tag": "a", "class_token": "job-card-container__link", "has": ("aria-label",), "attrs": {"tabindex": "0"}}],
+    "company": [{"tag": "span", "class_has": "job-card-container__primary-description"}],
+    "location": [{"tag": "div", "class_has": "artdeco-entity-lockup__caption"}],
+    "pay": [{"tag": "div", "class_has": "artdeco-entity-lockup__metadata"}],
+}
+_INDEED_RULES = {
+    "card": [{"tag": "a", "has": ("data-jk",)}],
+    "titled": [{"has": ("id",)}],
+    "box": [{"tag": "div", "class_has": "job_"}],
+    "company": [{"tag": "span", "attrs": {"data-testid": "company-name"}}],
+    "location": [{"tag": "div", "attrs": {"data-testid": "text-location"}}],
+    "pay": [{"tag": "div", "class_has": "salary-snippet-container"}],
+}
+_BUILTIN_RULES = {
+    "card": [{"tag": "div", "attrs": {"data-id": "job-card"}}],
+    "company": [{"tag": "div", "attrs": {"data-id": "company-title"}}],
+    "title": [{"tag": "h2"}, {"tag": "a"}],
+    "location": [_BOUNDED, {"tag": "div"}, {"tag": "div"}, {"tag": "div", "nth": 2}],
+    "pay": [_BOUNDED, {"tag": "div"}, {"tag": "div", "nth": 2}, {"tag": "div", "nth": 2}],
+}
 
 
 def _text(n):
     return n.text() if n is not None else None
 
 
-def _linkedin(doc, url):
-    for card in H.find_all(doc, has=("data-job-id",)):
+def _linkedin(page, url):
+    for card in page.found["card"]:
         lid = card.get("data-job-id")
-        a = H.find(card, tag="a", class_token="job-card-container__link", has=("aria-label",),
-                   attrs={"tabindex": "0"})
-        company = H.find(card, tag="span", class_has="job-card-container__primary-description")
-        location = H.find(card, tag="div", class_has="artdeco-entity-lockup__caption")
-        pay = H.find(card, tag="div", class_has="artdeco-entity-lockup__metadata")
-        if a is None or company is None or location is None or pay is None:
+        fields = [page.first(name, card) for name in ("title", "company", "location", "pay")]
+        if any(f is None for f in fields):
             continue  # any missing field skips the card
+        a, company, location, pay = fields
         yield (lid, a.get("aria-label"), _text(company), rules.LINKEDIN_VIEW_BASE + lid, _text(location), _text(pay))
 
 
-def _indeed(doc, url):
-    # one walk finds the cards and the boxes of all listings; a box is the first whose class
-    # holds ``job_<id>`` anywhere, as the site's selector has it (so id 1 also fits ``job_12``)
-    nodes = list(doc.iter())
-    boxes = [(n.get("class"), n) for n in nodes if n.tag == "div" and "job_" in (n.get("class") or "")]
-    for card in (n for n in nodes if n.tag == "a" and n.get("data-jk") is not None):
+def _boxes(page):
+    """Per listing id of the page the first box whose class holds ``job_<id>`` anywhere, as the
+    site's selector has it (so id 1 also fits ``job_12``): each box names its ids by the text after ``job_``."""
+    ids = {card.get("data-jk") for card in page.found["card"]}
+    longest = max(map(len, ids), default=0)
+    out = {}
+    for box in page.found["box"]:
+        for text in box.get("class").split("job_")[1:]:
+            for n in range(min(len(text), longest) + 1):
+                if text[:n] in ids:
+                    out.setdefault(text[:n], box)
+    return out
+
+
+def _indeed(page, url):
+    boxes = _boxes(page)
+    titled: dict = {}
+    for n in page.found["titled"]:
+        titled.setdefault(n.get("id"), []).append(n)
+    for card in page.found["card"]:
         lid = card.get("data-jk")
-        t = H.find(card, attrs={"id": f"jobTitle-{lid}"})
-        box = next((n for names, n in boxes if f"job_{lid}" in names), None)
-        company = H.find(box, tag="span", attrs={"data-testid": "company-name"}) if box else None
-        location = H.find(box, tag="div", attrs={"data-testid": "text-location"}) if box else None
-        pay = H.find(box, tag="div", class_has="salary-snippet-container") if box else None
+        t = next((n for n in titled.get(f"jobTitle-{lid}", ()) if card.number < n.number <= card.last), None)
+        box = boxes.get(lid)
+        company, location, pay = (page.first(name, box) if box else None for name in ("company", "location", "pay"))
         yield (lid, t.get("title") if t is not None else None, _text(company), rules.INDEED_VIEW_BASE + lid,
                _text(location), _text(pay))
 
 
 def _builtin_like(resolve_href):
-    def extract(doc, url):
-        for card in H.find_all(doc, tag="div", attrs={"data-id": "job-card"}):
-            ct = H.find(card, tag="div", attrs={"data-id": "company-title"})
-            a = H.find_chain(card, [{"tag": "h2"}, {"tag": "a"}])
+    def extract(page, url):
+        for card in page.found["card"]:
+            ct, a = page.first("company", card), page.first("title", card)
             lid = ct.get("data-builtin-track-job-id") if ct is not None else None
             href = a.get("href") if a is not None else None
-            pay = _text(H.find_chain(card, _PAY_PATH))
+            pay = _text(page.first("pay", card))
             if pay is not None and rules.ANNUAL_PAY_MARKER not in pay:
                 pay = None
-            yield (lid, _text(a), _text(ct), resolve_href(url, href), _text(H.find_chain(card, _LOCATION_PATH)), pay)
+            yield (lid, _text(a), _text(ct), resolve_href(url, href), _text(page.first("location", card)), pay)
     return extract
 
 
@@ -89,29 +118,36 @@ def _resolve_href(url, href):
     return urljoin(url or "", href) if href is not None else None
 
 
-# Per-site rule sets: site tag -> card extractor. BuiltIn and Dice share the
+# Per-site rule sets: site tag -> rules and card extractor. BuiltIn and Dice share the
 # card layout; both links are the anchor's resolved href.
 SITE_EXTRACTORS = {
-    "LinkedIn": _linkedin,
-    "Indeed": _indeed,
-    "BuiltIn": _builtin_like(_resolve_href),
-    "Dice": _builtin_like(_resolve_href),
+    "LinkedIn": (_LINKEDIN_RULES, _linkedin),
+    "Indeed": (_INDEED_RULES, _indeed),
+    "BuiltIn": (_BUILTIN_RULES, _builtin_like(_resolve_href)),
+    "Dice": (_BUILTIN_RULES, _builtin_like(_resolve_href)),
 }
 
+#: Cards of about so many bytes of pages go out at a time; one page is parsed at a time, so a task holds its
+#: input batch, one page's elements and these cards.
+OUT_BYTES = 4 << 20
+
 
 def _extract_batches(batches):
     """Parse each page with the rule set named in its ``_rules`` column; tag the
     cards with its ``source`` column."""
     for pdf in batches:
-        out = []
+        out, size = [], 0
         for rule_set, source, page_id, url, html in zip(pdf["_rules"], pdf["source"], pdf["page_id"], pdf["url"],
                                                          pdf["html"]):
-            extractor = SITE_EXTRACTORS.get(rule_set)
-            if extractor is None:  # never skipped unseen
+            if rule_set not in SITE_EXTRACTORS:  # never skipped unseen
                 raise ValueError(f"page {page_id}: no card rules for site {rule_set!r}")
-            doc = H.parse(html)
-            for i, (lid, title, company, link, location, pay) in enumerate(extractor(doc, url)):
+            page_rules, extractor = SITE_EXTRACTORS[rule_set]
+            for i, (lid, title, company, link, location, pay) in enumerate(extractor(H.Page(html, page_rules), url)):
                 out.append((page_id, i, lid, source, title, company, link, location, pay))
+            size += len(html or "")
+            if size >= OUT_BYTES:
+                yield pd.DataFrame(out, columns=CARD_SCHEMA.fieldNames())
+                out, size = [], 0
         yield pd.DataFrame(out, columns=CARD_SCHEMA.fieldNames())
 
 

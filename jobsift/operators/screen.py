@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from ..functions import rules
 from ..functions.text import has_whole_word, ilike_any, work_mode, work_mode_allowed
 from ..schema import KEY, SCREEN_COLUMNS
+from ..session import cut_lineage
+from .joins import bounded_broadcast
 
 
 def company_not_blocked(company="company", fix_list: bool = False) -> Column:
@@ -47,6 +49,25 @@ def junior_title(title="title") -> Column:
     return ilike_any(title, rules.JUNIOR_TITLE_SUBSTRINGS)
 
 
+#: Names of a blocklist table up to which it is broadcast.
+BLOCKLIST_BROADCAST_LIMIT = 1_000_000
+
+
+def company_blocklist_table(df: DataFrame, names: DataFrame, name_col: str = "name", company: str = "company") -> DataFrame:
+    """P4 with the list as data: ``company NOT IN (SELECT name FROM names)``, exact and case-sensitive.
+
+    The null-aware rules of ``NOT IN``: a NULL company is dropped, a NULL name in the list drops
+    everything, an empty list drops nothing. The list is counted, broadcast within
+    BLOCKLIST_BROADCAST_LIMIT and joined by a shuffle (anti join) beyond.
+    """
+    listed = cut_lineage(names.select(F.col(name_col).cast("string").alias("_name")).distinct())
+    if listed.limit(1).count() == 0:
+        return df
+    if listed.filter(F.col("_name").isNull()).limit(1).count():
+        return df.limit(0)
+    return df.filter(F.col(company).isNotNull()).join(bounded_broadcast(listed, BLOCKLIST_BROADCAST_LIMIT), F.col(company) == F.col("_name"), "left_anti")
+
+
 def company_blocklist(df: DataFrame, fix_list: bool = False) -> DataFrame:
     """Drop listings of blocked companies (becomes an INSET filter, pushed to parquet)."""
     return df.filter(company_not_blocked("company", fix_list))

@@ -6,6 +6,9 @@ one row per group and task is shuffled, however skewed the dates are.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +66,17 @@ def estimated_row_count(spark: SparkSession, path: str | list[str]) -> DataFrame
             raise
         return spark.createDataFrame([(0,)], "estimate bigint")  # a table with no data files yet
     return table.agg(F.count(F.lit(1)).alias("estimate"))
+
+
+def estimated_table_rows(spark: SparkSession, table: str) -> DataFrame:
+    """A4 for a catalog table: its row count from the catalog's statistics, without any scan.
+
+    The statistics are those of the last ``ANALYZE TABLE ... COMPUTE STATISTICS`` and are not kept up by
+    later writes, as an estimate's are not. A table that has none is counted from its file footers, and
+    so is one of 0 rows (what a ``NOSCAN`` analysis, which takes sizes only, reports).
+    """
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    rows = re.search(r"(\d+) rows", info.get("Statistics") or "")
+    if rows and int(rows.group(1)):
+        return spark.createDataFrame(pa.table({"estimate": pa.array([int(rows.group(1))], pa.int64())}))
+    return spark.table(table).agg(F.count(F.lit(1)).alias("estimate"))

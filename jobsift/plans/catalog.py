@@ -88,6 +88,21 @@ def q_company_blocklist(spark, sf_dir):
     return S.company_blocklist(_listings(spark, sf_dir))
 
 
+# A blocklist that is data: customers with little on their account, and all other names.
+_BLOCKLIST_SQL = """SELECT concat('Customer#', CAST(c_custkey AS STRING)) AS name FROM customer WHERE c_acctbal < 1000
+UNION ALL SELECT company FROM listings WHERE company NOT LIKE 'Customer#%'"""
+
+
+@register("company_blocklist_table", with_views(
+    f"SELECT {_L8} FROM listings WHERE company NOT IN ({_BLOCKLIST_SQL})", "listings"))
+def q_company_blocklist_table(spark, sf_dir):
+    listings = _listings(spark, sf_dir)
+    poor = fx.table(spark, sf_dir, "customer").filter("c_acctbal < 1000")
+    names = poor.select(F.concat(F.lit("Customer#"), F.col("c_custkey").cast("string")).alias("name")).unionByName(
+        listings.filter(~F.col("company").like("Customer#%")).select(F.col("company").alias("name")))
+    return S.company_blocklist_table(listings, names)
+
+
 @register("title_pattern_exclusion", with_views(
     f"SELECT {_L8} FROM listings WHERE NOT ({_TITLE_SUBSTR})", "listings"))
 def q_title_pattern_exclusion(spark, sf_dir):
@@ -398,6 +413,31 @@ def q_search_term_match(spark, sf_dir):
     return J.search_term_match(_listings(spark, sf_dir), load_search_terms(spark))
 
 
+# Every part is a listing (its name and type the title) and a term (its type's start and its name's last word).
+_PART_LISTINGS = """part_listings AS (SELECT CAST(p_partkey AS VARCHAR) AS listing_id,
+  CASE p_partkey % 4 WHEN 0 THEN 'LinkedIn' WHEN 1 THEN 'Indeed' WHEN 2 THEN 'BuiltIn' ELSE 'Dice' END AS source,
+  p_name || ' ' || p_type || ' ' || CAST(p_size AS VARCHAR) AS title, CASE WHEN p_partkey % 3 = 0 THEN 'Remote' ELSE 'Columbus, OH' END AS location,
+  p_partkey AS idx, substring(p_type, 1, 4) || ' ' || split_part(p_name, ' ', 2) || ' ' || CAST(p_partkey % 600 AS VARCHAR) AS keyword FROM part)"""
+
+
+@register("search_term_match_index", f"""WITH {_PART_LISTINGS}
+SELECT l.listing_id, l.source, t.idx AS term_idx, t.keyword, t.location AS search_location,
+       CASE WHEN t.source = 'BuiltIn' AND t.location = 'Remote' THEN 'United States' ELSE t.location END AS query_location
+FROM part_listings l JOIN part_listings t ON l.source = t.source
+WHERE list_bool_and(list_transform(string_split_regex(lower(trim(t.keyword)), '\\s+'), lambda tok: position(tok IN lower(l.title)) > 0))
+  AND {_MODE_OK_SQL.format(sl='t.location', src='l.source', m=_WORK_MODE_SQL)}""")
+def q_search_term_match_index(spark, sf_dir):
+    part = fx.table(spark, sf_dir, "part")
+    rows = part.select(
+        F.col("p_partkey").cast("string").alias("listing_id"),
+        F.element_at(F.array(*[F.lit(x) for x in ("LinkedIn", "Indeed", "BuiltIn", "Dice")]), (F.col("p_partkey") % 4 + 1).cast("int")).alias("source"),
+        F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string")).alias("title"),
+        F.when(F.col("p_partkey") % 3 == 0, "Remote").otherwise("Columbus, OH").alias("location"), F.col("p_partkey").alias("idx"),
+        F.concat_ws(" ", F.substring("p_type", 1, 4), F.element_at(F.split("p_name", " "), 2), (F.col("p_partkey") % 600).cast("string")).alias("keyword"))
+    return J.search_term_match(rows.select("listing_id", "source", "title", "location"), rows.select("source", "idx", "keyword", "location"),
+                               broadcast_limit=0)
+
+
 # --- S1-S8: files and store -------------------------------------------------
 
 @register("read_listings_csv", with_views(f"""
