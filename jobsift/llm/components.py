@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
@@ -34,11 +34,15 @@ def components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
         met = labels.join(near, "u").select("u", "l", F.least("l", "m").alias("m"))
         jump = labels.select(F.col("u").alias("m"), F.col("l").alias("j"))
         step = stored(met.join(jump, "m").select("u", "l", F.least("m", "j").alias("n")), f"labels-{k}")
+        discard(labels)
         labels = step.select("u", F.col("n").alias("l"))
         if step.where("l != n").isEmpty():
             break
+    discard(both)
     if start is None:
         return labels.select(F.col("u").alias("node"), F.col("l").alias("root"))
     nodes = start.unionAll(ends.join(start.select(F.col("node").alias("u")), "u", "left_anti").select("u", "u"))
     moved = labels.select(F.col("u").alias("root"), "l")
-    return stored(nodes.join(moved, "root", "left").select("node", F.coalesce("l", "root").alias("root")), "roots")
+    roots = stored(nodes.join(moved, "root", "left").select("node", F.coalesce("l", "root").alias("root")), "roots")
+    discard(labels)
+    return roots

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_bytes, mix, shingle_sets, stored, text_chunks
+from .common import discard, lower_bytes, mix, shingle_sets, stored, text_chunks
 from .components import components
 
 #: Texts that share a segment are paired within it up to this many; beyond, the segment is large.
@@ -132,10 +132,14 @@ def _key_batch(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
 
 
 def _folds(n: int):
-    """Rows (node, digest, text) with the size of the set and its folded sketch."""
+    """Rows (node, digest, text) with the size of the set and its folded sketch, each set once per task (rows that
+    repeat an id and its text lie in one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
+            new = [d not in seen and not seen.add(d) for d in batch.column(1).to_pylist()]
+            batch = batch.filter(pa.array(new, pa.bool_()))
             sizes, folds = [], []
             for _, _, raw, offs in text_chunks(batch.column(2)):
                 for members in shingle_sets(lower_bytes(raw), offs, n):
@@ -153,10 +157,11 @@ def _to_width(fold: np.ndarray, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(fold.reshape(-1, width), axis=0)
 
 
-def _near_in_blocks(percent: int):
+def _near_in_blocks(percent: int, forest: bool):
     """Rows (key, lo, hi, block, digest, root, n, fold), sorted by the first three, to pairs that may be linked.
 
-    Texts of block ``lo`` meet those of block ``hi``; texts of one component are not compared.
+    Texts of block ``lo`` meet those of block ``hi``; texts of one component are not compared. With ``forest`` only
+    pairs that join components not yet joined by the block's pairs before: fewer than there are components.
     """
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
@@ -165,6 +170,13 @@ def _near_in_blocks(percent: int):
         fold = np.array([_to_width(np.array(r[7], dtype=np.int64), width) for r in rows]).view(np.uint64)
         n = np.array([r[6] for r in rows], dtype=np.int64)
         roots = np.unique([r[5] for r in rows], return_inverse=True)[1]
+        above = list(range(len(rows)))
+
+        def find(k: int) -> int:
+            while above[k] != k:
+                above[k] = k = above[above[k]]
+            return k
+
         one = [k for k, r in enumerate(rows) if r[3] == lo]
         two = [k for k, r in enumerate(rows) if r[3] == hi]
         step = max(1, (1 << 22) // (width * max(1, len(two))))
@@ -178,6 +190,11 @@ def _near_in_blocks(percent: int):
             if lo == hi:
                 fits &= x[:, None] < y[None, :]
             for i, j in zip(*np.nonzero(fits), strict=True):
+                if forest:
+                    p, q = find(roots[x[i]]), find(roots[y[j]])
+                    if p == q:
+                        continue
+                    above[p] = q
                 a, b = rows[x[i]][4], rows[y[j]][4]
                 yield min(a, b), max(a, b)
 
@@ -261,7 +278,7 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
                .select("digest", F.col("row.doc_id").alias("_id"), F.col("row.hash").alias("_hash"))
                .withColumn("node", F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")).join(wanted, "node"))
     texts = (rows.join(classes, (F.col("hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-             .select("node", "digest", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["digest"]))
+             .select("node", "digest", F.coalesce("text", F.lit("")).alias("text")))
     texts = stored(texts.mapInArrow(_folds(n), "node long, digest binary, text string, n long, fold array<long>"), "texts")
 
     def near(pairs: DataFrame) -> DataFrame:
@@ -279,11 +296,17 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
         full = pairs.select("da", "db").join(one, "da").join(two, "db").select(F.col("da").alias("a"), F.col("db").alias("b"), "ta", "tb")
         return stored(full.mapInArrow(_verified(n, percent), "a binary, b binary"), name)
 
-    roots = components(verify(near(pairs), "links"))
+    def joined(links: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+        out = components(links, roots)
+        discard(links)
+        return out
+
+    roots = joined(verify(near(pairs), "links"))
+    discard(buckets)
 
     def mixed(name: str) -> DataFrame:
-        """Large segments' rows whose sets are not all in one component."""
-        at = (met.join(texts.select("node", "digest", "n", "fold"), "node")
+        """Large segments' rows whose sets are not all in one component; their sketches are joined where they are compared."""
+        at = (met.join(texts.select("node", "digest"), "node")
               .join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
         several = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo != hi")
         return stored(at.join(several.select("key", "size"), "key"), name)
@@ -292,17 +315,23 @@ def linked_classes(docs: DataFrame, profiles: DataFrame, n: int, percent: int) -
     pivot = at.groupBy("key").agg(F.min_by(F.struct("node", "root"), F.xxhash64("digest")).alias("p"))
     found = (at.join(pivot, "key").where("root != p.root")
              .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
-    more = verify(near(found), "links-pivot")
-    roots = components(more, roots)
+    roots = joined(verify(near(found), "links-pivot"), roots)
+    discard(at)
 
-    at = mixed("large-1").withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-    at = at.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    dealt = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "digest", "root", "n", "fold")
+    # blocks of large segments: first pairs that would join their components, then, with what held of these, all pairs left
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = (dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-             .mapInArrow(_near_in_blocks(percent), "da binary, db binary").distinct())
-    roots = components(verify(found, "links-blocks"), roots)
+    for forest in (True, False):
+        at = mixed(f"large-{1 if forest else 2}")
+        blocks = at.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
+        blocks = blocks.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+        dealt = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "digest", "root")
+        dealt = dealt.join(texts.select("digest", "n", "fold"), "digest").select("key", "lo", "hi", "block", "digest", "root", "n", "fold")
+        found = (dealt.repartition(parts, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                 .mapInArrow(_near_in_blocks(percent, forest), "da binary, db binary").distinct())
+        roots = joined(verify(found, f"links-blocks-{1 if forest else 2}"), roots)
+        discard(at)
+    discard(texts, met)
     return roots.select(F.col("node").alias("digest"), "root")
 
 
