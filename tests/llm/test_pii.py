@@ -1,6 +1,12 @@
 import hashlib
+import math
 import random
 import re
+import time
+from collections import defaultdict
+
+import pytest
+import regex
 
 from jobsift.llm import pii
 
@@ -68,3 +74,75 @@ def test_odd_rows(spark):
     got = pii.personal_data_of(docs).collect()
     assert len(got) == len(odd_rows()) and all(r.spans == "" for r in got)
     assert pii.personal_data_of(docs.limit(0)).count() == 0
+
+
+def brute_terms(texts, generalise, remove):
+    """Every entity against every term: the score of the module's head, word by word."""
+    texts, entity, held, low, named = sorted(set(texts) - {""}), defaultdict(set), defaultdict(set), set(), set()
+    for i, text in enumerate(texts):
+        for span in brute(text):
+            kind, a, b = span.split(":")
+            entity[kind, text[int(a):int(b)].lower()].add(i)
+        left = text
+        for kind, pattern in pii.PATTERNS.items():
+            left = regex.sub(pattern, " ", left) if (pii.HINTS[kind] or "") in text else left
+        for word in regex.findall(r"[\p{L}\p{N}]+", left):
+            held[word.lower()].add(i)
+            if word == word.lower():
+                low.add(word)
+        named |= {w.lower() for w in regex.findall(r"(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}\p{N}]*", left)}
+    n, out = len(texts), {}
+    for e in entity.values():
+        for term, t in held.items():
+            both = len(e & t)
+            if both and len(e) < n:
+                like_name = (term in named and term not in low) or (regex.search(r"\p{L}", term) and regex.search(r"\p{N}", term))
+                share = math.log2(both * n / len(e) / len(t)) / math.log2(n / len(e)) * both / (both + (pii.CHANCE_NAMED if like_name else pii.CHANCE))
+                if share >= generalise:
+                    out[term] = max(out.get(term, 0), share)
+    return {t: (share, share >= remove) for t, share in out.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_terms_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    people = [("Ann", "ann@x.org"), ("Bo7", "1.2.3.4"), ("Cy", "+1 555 123 4567"), ("dee", "4111 1111 1111 1111")]
+    rows = []
+    for i in range(120):
+        name, value = rng.choice(people)
+        body = [rng.choice(["red", "green", "blue", "tall", "Short", "12", "a1", "über"]) for _ in range(rng.randint(0, 6))]
+        body += [name, value] * (rng.random() < 0.4) + [f"p{rng.randint(0, 30)}@q.io"] * (rng.random() < 0.4)
+        rng.shuffle(body)
+        rows.append((i, " ".join(body)))
+    rows += rows[:20] + [(900 + i, rows[0][1]) for i in range(50)] + [(None, None)]
+    for generalise in (0.4, 0.65):
+        texts = pii.distinct_texts(pii._rows(frame(spark, rows), "doc_id", "text"))
+        got = {r.term: (r.share, r.removed) for r in pii.disclosing_terms(texts, generalise, 0.9)[0].collect()}
+        want = brute_terms([t or "" for _, t in rows], generalise, 0.9)
+        assert want and set(got) == set(want)
+        assert all(abs(got[t][0] - want[t][0]) < 1e-9 and got[t][1] == want[t][1] for t in want)
+
+
+def test_a_name_beside_an_address_that_stands_once(spark):
+    rng = random.Random(5)
+    near = "the offer went to Quixnard at boss@acme.example last week"
+    far = f"a letter to Zorblatt {words(rng, 400)} kim@acme.example"
+    rows = [(1, near), (2, far)] + [(10 + i, near) for i in range(5)] + [(100 + i, words(rng, 60) + " the offer went to at last week a letter") for i in range(300)]
+    got = {r.doc_id: r for r in pii.sanitise(frame(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i in (1, 10, 14):
+        assert got[i].text == "the offer went to  at [email] last week" and got[i].n_email == 1
+    assert "Zorblatt" not in got[2].text
+    assert all(got[100 + i].spans == "" for i in range(300))
+
+
+def test_very_long_texts(spark):
+    numbers = " ".join(str(i * 7919 % 100000) for i in range(180_000))
+    mails = " ".join(f"u{i}@mail.example" for i in range(60_000))
+    at = time.time()
+    got = {r.doc_id: r for r in pii.sanitise(frame(spark, [(1, numbers), (2, mails), (3, "short")])).collect()}
+    assert time.time() - at < 120
+    base = brute(numbers)
+    assert got[1].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+    assert got[2].n_email == 60_000 and got[2].text == " ".join(["[email]"] * 60_000)
+    assert got[2].base_sha256 == hashlib.sha256(",".join(brute(mails)).encode()).hexdigest()
