@@ -48,8 +48,9 @@ CHANCE_NAMED = 0.1
 #: there are at most FREQUENT times the mean number of different words a text of these.
 FREQUENT = 1000
 #: Matches whose places are added up in one go; the sums of such blocks are added up after that.
-BLOCK = 128
+BLOCK = 32
 _WORD = r"[^\p{L}\p{N}]+"
+_RUN = r"[\p{L}\p{N}]++"
 #: A capitalised word inside a sentence.
 _NAME = r"(?<=[\p{L}\p{N},;]\x20)\p{Lu}[\p{L}\p{N}]*+"
 
@@ -126,9 +127,14 @@ def with_base_spans(rows: DataFrame) -> DataFrame:
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
-    """The different texts of ``rows`` that are not empty, once each, with their base spans: (_text, text, base)."""
-    texts = rows.where("text != ''").select(F.xxhash64("text").alias("_text"), "text").groupBy("_text").agg(F.first("text").alias("text"))
-    return stored(with_base_spans(texts), "pii-texts")
+    """The different texts of ``rows`` that are not empty, once each, with their base spans: (_text, text, base).
+
+    Only texts that stand more than once are brought together, and combined within tasks first.
+    """
+    keyed = rows.where("text != ''").select(F.xxhash64("text").alias("_text"), "text")
+    several = stored(keyed.groupBy("_text").agg(F.count("*").alias("n")).where("n > 1").select("_text"), "pii-several")
+    again = keyed.join(several, "_text", "left_semi").groupBy("_text").agg(F.first("text").alias("text"))
+    return stored(with_base_spans(keyed.join(several, "_text", "left_anti").unionByName(again)), "pii-texts")
 
 
 def _words(texts: DataFrame) -> DataFrame:
@@ -201,19 +207,15 @@ def disclosing_terms(texts: DataFrame, generalise: float = GENERALISE_SHARE, rem
 
 def with_spans(texts: DataFrame, terms: DataFrame, frequent: DataFrame) -> DataFrame:
     """(_text, base, all): base spans, and those with the spans of disclosing terms, of every text of ``distinct_texts``."""
-    by_text = (_words(texts).select("_text", "term").join(F.broadcast(frequent), "term", "left_anti").join(terms, "term").groupBy("_text")
-               .agg(F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_out"), F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("_by")))
-    # stored first: its size is then known, and the texts are shuffled for this join only if it is large
-    rows = texts.select("_text", "text").join(stored(by_text, "pii-holders"), "_text")
-    none, shape, all_terms = F.expr("cast(array() as array<string>)"), "array<struct<kind:int,s:int,e:int>>", []
-    for k, column in ((len(KINDS), "_by"), (len(KINDS) + 1, "_out")):
-        m, g, at = f"_m{k}", f"_g{k}", f"_at{k}"
-        word = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(column, "|"), F.lit(r")(?![\p{L}\p{N}])"))
-        rows = rows.withColumn("_word", F.when(F.size(column) > 0, word).otherwise(F.lit("(?!)")))
-        rows = rows.withColumn(m, F.regexp_extract_all("text", F.col("_word"), F.lit(0)))
-        rows = rows.withColumn(g, F.when(F.size(m) > 0, F.split("text", F.col("_word"), F.lit(-1))).otherwise(none)).withColumn(at, _starts(g, m))
-        all_terms.append(F.transform(F.transform(F.col(m), _span(k, at)), lambda x: F.struct(x["kind"], x["s"], x["e"])).cast(shape))
-    more = stored(rows.select("_text", F.concat(*all_terms).alias("_more")), "pii-term-spans")
+    shape = "array<struct<kind:int,s:int,e:int>>"
+    # places are found where the text is: what is joined with the terms are words and places, not texts
+    cut = (texts.select("_text", F.regexp_extract_all("text", F.lit(_RUN), F.lit(0)).alias("_m"), F.split("text", _RUN, -1).alias("_g"))
+           .withColumn("_at", _starts("_g", "_m")))
+    placed = (cut.select("_text", F.inline(F.arrays_zip(F.transform("_m", F.lower).alias("term"), F.col("_at").alias("s"), F.col("_m").alias("word"))))
+              .select("_text", "term", "s", (F.col("s") + F.length("word")).alias("e")))
+    kind = F.when(F.col("removed"), len(KINDS) + 1).otherwise(len(KINDS))
+    more = stored(placed.join(F.broadcast(frequent), "term", "left_anti").join(terms, "term").groupBy("_text")
+                  .agg(F.collect_list(F.struct(kind.alias("kind"), "s", "e")).cast(shape).alias("_more")), "pii-term-spans")
     base = F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e"))).cast(shape)
     every = F.concat(base, F.coalesce("_more", F.expr(f"cast(array() as {shape})")))
     by_start = F.array_sort(every, lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["kind"] - b["kind"]))
