@@ -212,10 +212,11 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = cards.repartition(n_parts, "source", "page_id").groupBy("source", "page_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "card_html"))),
                                  lambda x: x["card_html"]), "").alias("cards_html"))
-    # each site's last page, from the ids directly (one partial aggregate, no second pass over the pages)
+    # each site's last page, from the ids directly (one partial aggregate, no second pass over the pages); four rows,
+    # broadcast whatever their estimated size: joined by shuffle, all pages of a site would meet in one task
     last = b.groupBy("source").agg(F.floor(F.max(seq) / PAGE_SPAN).cast("bigint").alias("last_page_id"))
     n = F.col("page_id") + 1
-    return (pages.join(last, "source")
+    return (pages.join(F.broadcast(last), "source")
             .select("source", "page_id",
                     F.concat(F.lit(PAGE_URL_BASE), F.lower("source"), F.lit("/search?page="), n.cast("string"))
                     .alias("url"),
