@@ -73,7 +73,11 @@ def _answers_by_index(lst: DataFrame, t: DataFrame) -> DataFrame:
     asked = t.filter("_size > 0").select("_no", "t_source", wanted.alias("_all")).select(
         "_no", "t_source", F.size("_all").alias("_of"), F.explode("_all").alias("_gram"))
     held = grams.groupBy(F.col("source").alias("t_source"), "_gram").agg(F.count(F.lit(1)).alias("_titles"))
-    rarest = (asked.join(held, ["t_source", "_gram"]).groupBy("_no").agg(
+    # The grams of all terms are streamed past the titles' (one row a gram), whatever the estimates say, and sorted by term in
+    # the session's count of tasks: by an explicit count, as AQE joins small shuffles into as many tasks as there are cores.
+    n_parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = asked.join(held.hint("shuffle_hash"), ["t_source", "_gram"]).repartition(n_parts, "_no")
+    rarest = (met.groupBy("_no").agg(
         F.count(F.lit(1)).alias("_found"), F.max("_of").alias("_of"), F.min(F.struct("_titles", "_gram")).alias("_best"))
         .filter("_found = _of").select("_no", F.col("_best._gram").alias("_gram")))
     looked_up = t.join(rarest.withColumnRenamed("_gram", "_key"), "_no").drop("_size")

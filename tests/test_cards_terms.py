@@ -178,3 +178,15 @@ def test_pager_reads_buttons_in_either_quotes_and_no_scripts(spark):
         ("Indeed", "<a data-x='1' aria-label='Next Page' href='?page=7'>7</a>")], "source string, html string")
     got = [tuple(r) for r in X.with_pager(df).select("has_next", "next_page", "next_link").collect()]
     assert got == [(True, 3, None)] + [(False, None, None)] * 3 + [(True, 7, "?page=7")]
+
+
+def test_grams_of_terms_are_not_sorted_in_as_few_tasks_as_aqe_likes(spark):
+    """However small the tables look: the terms' grams are no build side, and are sorted by term in the session's count of tasks."""
+    rows = spark.range(400).selectExpr("cast(id as string) listing_id", "'Dice' source", "concat('title ', id) title", "'Remote' location", "id idx",
+                                       "concat('tit ', id) keyword")
+    out = search_term_match(rows.drop("idx", "keyword"), rows.select("source", "idx", "keyword", "location"), broadcast_limit=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    by_term = [line for line in plan.splitlines() if "hashpartitioning(_no" in line]
+    assert "ShuffledHashJoin" in plan and any(f", {parts}), REPARTITION_BY_NUM" in line for line in by_term)
+    assert out.count() == sum(str(k) in f"title {i}" for i in range(400) for k in range(400))
