@@ -81,16 +81,20 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def write_json(spark: SparkSession, path: str, value: dict) -> bool:
-    """Create a small file; False if it is there already."""
-    p, fs = _path(spark, path)
-    if fs.exists(p):
+    """Create a small file, seen whole or not at all; False if it is there already, also from another writer at the same time."""
+    if exists(spark, path):
         return False
+    written = f"{path}.{uuid.uuid4().hex[:12]}"
+    p, fs = _path(spark, written)
     out = fs.create(p, False)
     try:
         out.write(bytearray(json.dumps(value).encode()))
     finally:
         out.close()
-    return True
+    if rename(spark, written, path):
+        return True
+    delete(spark, written)
+    return False
 
 
 def read_json(spark: SparkSession, path: str) -> dict | None:
