@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from jobsift.llm import parity
+from jobsift.llm import common, components, parity
 
 from .helpers import frame, odd_rows, words
 
@@ -103,3 +103,31 @@ def test_ids_at_several_texts(spark):
     kept = {(r.doc_id, r.text) for r in parity.kept_documents(docs).collect()}
     stays = {rows[2 * i] for i in range(12)} | {rows[2 * i + 1] for i in range(12) if rows[2 * i][0] is None}
     assert kept == stays | set(rows[-3:])
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_components_of_long_chains_read_few_rows_a_round(spark, monkeypatch, shuffled):
+    rng = random.Random(31)
+    n = 600
+    names = list(range(n))
+    if shuffled:
+        rng.shuffle(names)
+    edges = [(names[k], names[k + 1]) for k in range(n - 1) if k % 200 != 199] + [(1000, 1001), (1002, 1002)]
+    read = []
+
+    def stored(df, name):
+        out = common.stored(df, name)
+        if name == "edges":
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "stored", stored)
+    frame_of = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    got = {r.node: r.root for r in components.components(frame_of(edges)).collect()}
+    least = [min(names[k:k + 200]) for k in (0, 200, 400)]
+    assert got == {**{names[k]: least[k // 200] for k in range(n)}, 1000: 1000, 1001: 1000}
+    assert sum(read) <= 4 * len(edges)
+    start = components.components(frame_of(edges))
+    joined = {r.node: r.root for r in components.components(frame_of([(names[0], names[599]), (1001, 2000)]), start).collect()}
+    assert joined == {**got, **{x: min(least[0], least[2]) for x, r in got.items() if r in (least[0], least[2])}, 2000: 1000}
+    assert components.components(frame_of([])).count() == 0
